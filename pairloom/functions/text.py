@@ -24,7 +24,7 @@ def double_text(x: Column, digits: int | None = None) -> Column:
     return F.format_string(f"%.{digits}f", x)
 
 
-def word_tokens(text: Column) -> Column:
-    """Distinct lower-cased words of a text, split at white space."""
-    words = F.split(F.lower(text), r"[ \t\n\r\f]+")
-    return F.array_distinct(F.filter(words, lambda w: w != F.lit("")))
+def words(text: Column) -> Column:
+    """Lower-cased words of a text, split at white space."""
+    parts = F.split(F.lower(text), r"[ \t\n\r\f]+")
+    return F.filter(parts, lambda w: w != F.lit(""))

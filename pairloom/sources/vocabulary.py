@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.functions.text import word_tokens
+from pairloom.functions.text import words
 from pairloom.operators.examples import shard_column
 from pairloom.operators.lookup import lookup
 from pairloom.plans.scratch import new_run_dir, write_table
@@ -48,34 +48,42 @@ def build_vocabulary(tokens: DataFrame) -> Vocabulary:
 
 
 def indexed_examples(tokens: DataFrame, vocabulary: Vocabulary, limit_bytes: int = 64 << 20) -> DataFrame:
-    """Wide one-hot examples from ``tokens(example_id, label, token)``, value 1.0 each.
+    """Wide examples from ``tokens(example_id, label, token, x)``.
 
-    A token outside the vocabulary, or a null token of an example that has
+    A token outside the vocabulary, or the null token of an example that has
     none, adds no feature; the example stays.
     """
-    sharded = tokens.withColumn("shard", shard_column(1024, "hash"))
+    salted = tokens.withColumn("shard", shard_column(1024, "hash"))
     long = lookup(
-        sharded, vocabulary.frame, "token", table_rows=vocabulary.size, row_bytes=96, limit_bytes=limit_bytes
+        salted, vocabulary.frame, "token", table_rows=vocabulary.size, row_bytes=96, limit_bytes=limit_bytes
     )
-    indices = F.array_sort(F.collect_list("j"))
-    return long.groupBy("example_id", "label").agg(indices.alias("indices")).withColumn(
-        "values", F.transform("indices", lambda j: F.lit(1.0))
+    pair = F.when(F.col("j").isNotNull(), F.struct("j", "x"))
+    pairs = F.array_sort(F.collect_list(pair))
+    return long.groupBy("example_id", "label").agg(pairs.alias("pairs")).select(
+        "example_id", "label", F.col("pairs.j").alias("indices"), F.col("pairs.x").alias("values")
     )
 
 
 def field_tokens(df: DataFrame, example_id: Column, label: Column, fields: dict[str, Column]) -> DataFrame:
-    """One ``name=value`` token per field and row."""
+    """One ``name=value`` token with value 1.0 per field and row."""
     tokens = F.array(*[F.concat(F.lit(f"{name}="), value.cast("string")) for name, value in fields.items()])
     return df.select(
         example_id.cast("long").alias("example_id"), label.cast("double").alias("label"),
-        F.explode(tokens).alias("token"),
+        F.explode(tokens).alias("token"), F.lit(1.0).alias("x"),
     )
 
 
 def text_tokens(df: DataFrame, example_id: Column, label: Column, text: Column) -> DataFrame:
-    """One row per distinct word of the whole text; a null token for a text without words."""
-    return df.select(
-        example_id.cast("long").alias("example_id"), label.cast("double").alias("label"),
-        F.explode_outer(word_tokens(text)).alias("token"),
-    )
+    """One row per distinct word of the whole text with its count.
 
+    A text without words has one row with a null token.
+    """
+    found = words(text)
+    return (
+        df.select(
+            example_id.cast("long").alias("example_id"), label.cast("double").alias("label"),
+            F.explode_outer(found).alias("token"),
+        )
+        .groupBy("example_id", "label", "token")
+        .agg(F.count("token").cast("double").alias("x"))
+    )
