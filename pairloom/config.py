@@ -25,9 +25,8 @@ class FMConfig:
 
     ``num_shards`` is part of the model, not a Spark tuning knob: every shard
     runs one sequential local epoch from the same start and the results are
-    averaged, so another shard count gives other parameters. How many Spark
-    partitions carry the shards is ``shard_partitions`` and changes nothing
-    in the result.
+    averaged, so another shard count gives other parameters. ``slots`` is how
+    many tasks carry the shards; it changes nothing in the result.
     """
 
     task: int = CLASSIFICATION
@@ -46,7 +45,7 @@ class FMConfig:
     # which rows of label 0 give no gradient beyond the L2 terms.
     residual: str = "cross_entropy"
     eval_every: int = 1
-    shard_partitions: int | None = None
+    slots: int | None = None
     # Parameters are broadcast only when their estimated size is below this.
     broadcast_limit_bytes: int = 64 << 20
 

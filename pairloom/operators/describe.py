@@ -50,18 +50,19 @@ def shard_profile(sharded: DataFrame) -> DataFrame:
     The distinct features are counted from one row per shard and feature, so
     a feature that many rows share is collapsed before anything moves.
     """
-    rows = sharded.groupBy("shard").agg(
+    rows = sharded.groupBy("slot", "shard").agg(
         F.count("*").alias("n_rows"),
         F.sum(F.size("indices")).cast("long").alias("n_nonzero"),
         F.count_if(positive(F.col("label"))).alias("n_pos"),
     )
     used = (
-        sharded.select("shard", F.explode("indices").alias("j"))
+        sharded.select("slot", "shard", F.explode("indices").alias("j"))
         .distinct()
-        .groupBy("shard")
+        .groupBy("slot", "shard")
         .agg(F.count("*").alias("n_distinct"))
     )
-    return rows.join(used, "shard", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
+    joined = rows.join(used, ["slot", "shard"], "left")
+    return joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0))).drop("slot")
 
 
 def not_one_hot(examples: DataFrame) -> DataFrame:

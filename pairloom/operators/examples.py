@@ -7,7 +7,7 @@ non-zero: ``example_id, label, j, x``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -31,28 +31,47 @@ def shard_column(num_shards: int, method: str = "modulo") -> Column:
     return F.pmod(key, F.lit(num_shards).cast("long")).cast("int")
 
 
-def default_partitions(df: DataFrame, num_shards: int) -> int:
-    """Partitions that carry the shards: enough for all cores, at most one per shard."""
-    spark = df.sparkSession
+def default_slots(spark: SparkSession, num_shards: int) -> int:
+    """Number of slots: enough for all cores, at most one per shard."""
     cores = spark.sparkContext.defaultParallelism
     sized = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(num_shards, max(4 * cores, sized)))
+    return max(1, min(num_shards, max(cores, sized)))
+
+
+def slot_labels(spark: SparkSession, slots: int) -> list[int]:
+    """One label per slot, chosen so that hash partitioning spreads them evenly.
+
+    Plain numbers 0..n-1 would collide in some partitions and leave others
+    empty. Only balance depends on this, never a result.
+    """
+    label = F.col("id").cast("int")
+    part = F.pmod(F.hash(label), F.lit(slots)).alias("part")
+    found = spark.range(64 * slots).groupBy(part).agg(F.min(label).alias("label")).collect()
+    labels = [row["label"] for row in found]
+    return labels if len(labels) == slots else list(range(slots))
 
 
 def assign_shard(
-    examples: DataFrame, num_shards: int, partitions: int | None = None, method: str = "modulo"
+    examples: DataFrame, num_shards: int, slots: int | None = None, method: str = "modulo"
 ) -> DataFrame:
-    """Add ``shard`` and place every shard whole, in id order, in one partition.
+    """Add ``shard`` and ``slot`` and place every slot whole in one partition.
 
-    The shard is the unit of local training; the order inside it is the order
-    of ``example_id``.
+    The shard is the unit of local training and part of the model. A slot is
+    a set of whole shards that one task handles; it says where rows are, and
+    its number changes no result.
     """
-    n = partitions or default_partitions(examples, num_shards)
-    return (
-        examples.withColumn("shard", shard_column(num_shards, method))
-        .repartition(n, "shard")
-        .sortWithinPartitions("shard", "example_id")
-    )
+    spark = examples.sparkSession
+    n = slots or default_slots(spark, num_shards)
+    labels = ",".join(str(label) for label in sorted(slot_labels(spark, n)))
+    label_of = F.split(F.lit(labels), ",").cast("array<int>")
+    slot = F.get(label_of, F.pmod(F.col("shard"), F.lit(n)))
+    return examples.withColumn("shard", shard_column(num_shards, method)).withColumn("slot", slot).repartition(n, "slot")
+
+
+def number_steps(sharded: DataFrame) -> DataFrame:
+    """Add ``step``, the position of a row in its shard in the order of ids."""
+    in_shard = Window.partitionBy("slot", "shard").orderBy("example_id")
+    return sharded.withColumn("step", F.row_number().over(in_shard)).sortWithinPartitions("slot", "step", "shard")
 
 
 def to_long(examples: DataFrame, keep: list[str] | None = None) -> DataFrame:

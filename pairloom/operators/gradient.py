@@ -24,9 +24,9 @@ def gradient(sharded: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConf
     """
     k2 = meta.k2
     scored = residuals(sharded, params, meta, **how).select(
-        "shard", "example_id", "residual", *[f"s_{f}" for f in range(k2)]
+        "slot", "example_id", "residual", *[f"s_{f}" for f in range(k2)]
     )
-    rows = sharded.select("shard", "example_id", "indices", "values").join(scored, ["shard", "example_id"])
+    rows = sharded.select("slot", "example_id", "indices", "values").join(scored, ["slot", "example_id"])
     indices, values = F.col("indices"), F.col("values")
     if meta.k0:
         indices = F.concat(F.array(F.lit(0)), indices)

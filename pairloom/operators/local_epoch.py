@@ -1,11 +1,13 @@
 """One epoch: sequential local training in every shard, then averaging.
 
 Row t + 1 of a shard sees the update of row t, so the walk over a shard
-cannot be a set-based aggregate; it is the one step in Python. Spark brings
-each shard its own examples and only the parameters these use, as one sorted
-stream (parameters first, examples in id order), so the walk holds the
-parameters of its shard and one batch of rows, never the shard itself. It
-returns the change of each parameter; averaging is a plain aggregation.
+cannot be a set-based aggregate; it is the one step in Python. Shards do not
+see each other, so the rows with the same step of all shards in a slot are
+updated together, as one array operation. Spark brings each slot its own
+examples and only the parameters these use, as one sorted stream (parameters
+first, then examples by step), so a task holds the parameters of its shards
+and one batch of rows, never the shards themselves. It returns the change of
+each parameter; averaging is a plain aggregation.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.config import CLASSIFICATION, FMConfig, ModelMeta
+from pairloom.operators.examples import number_steps
 
 # Fixed values of the update rules.
 SGD_BOUND = 20.0
@@ -32,7 +35,8 @@ _CHUNK = 16384
 
 def sgd_rule(theta, g, state, step):
     """Bounded step, then clipping of the parameter."""
-    return np.clip(theta - step * g / np.sqrt(g * g + 1.0), -SGD_BOUND, SGD_BOUND), ()
+    moved = theta - step * g / np.sqrt(g * g + 1.0)
+    return np.minimum(np.maximum(moved, -SGD_BOUND), SGD_BOUND), ()
 
 
 def adam_rule(theta, g, state, step):
@@ -52,108 +56,129 @@ def rmsprop_rule(theta, g, state, step):
 RULES = {"sgd": sgd_rule, "adam": adam_rule, "rmsprop": rmsprop_rule}
 
 
-def residual_of(cfg: FMConfig, meta: ModelMeta) -> Callable[[float, float], float]:
-    """dLoss/dz as a function of the raw score and the label."""
+def residual_of(cfg: FMConfig, meta: ModelMeta) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """dLoss/dz as a function of raw scores and labels."""
     if meta.task != CLASSIFICATION:
         low, high = meta.label_min, meta.label_max
-        return lambda z, y: min(max(z, low), high) - y
+        return lambda z, y: np.minimum(np.maximum(z, low), high) - y
     if cfg.residual == "label_weighted" and cfg.optimizer != "sgd":
         return lambda z, y: -y * (1.0 - 1.0 / (1.0 + np.exp(-y * (0.5 + 0.5 * np.tanh(0.5 * z)))))
     return lambda z, y: 0.5 + 0.5 * np.tanh(0.5 * z) - y
 
 
-def _row_step(theta, state, rows, x, y, cfg, residual, rule):
-    """Update the parameter rows one example touches, in place.
+def _update(theta, state, rows, x, starts, y, cfg, residual, rule):
+    """Update, in place, the parameter rows that one example of each shard touches.
 
-    With a bias, the first of ``rows`` is its row and the first ``x`` is 1.
+    ``rows`` and ``x`` are the concatenated non-zeros of the examples, which
+    begin at ``starts``. With a bias, each example begins with its row, x = 1.
     """
     block = theta[rows]
-    xcol = x[:, None]
-    vx = block[:, 1:] * xcol
-    s = vx.sum(axis=0)
-    z = float(block[:, 0] @ x + 0.5 * (s @ s - np.vdot(vx, vx)))
-    m = residual(z, y)
+    vx = block[:, 1:] * x[:, None]
+    s = np.add.reduceat(vx, starts, axis=0)
+    own = np.add.reduceat(block[:, 0] * x - 0.5 * np.einsum("ij,ij->i", vx, vx), starts)
+    m = residual(own + 0.5 * np.einsum("ij,ij->i", s, s), y)
+    example = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(x)]))
+    mx = m[example] * x
     r0, r1, r2 = cfg.reg
     g = np.empty_like(block)
-    g[:, 0] = m * x + r1 * block[:, 0] if cfg.k1 else 0.0
-    g[:, 1:] = (s - vx) * (m * xcol) + r2 * block[:, 1:]
+    g[:, 0] = mx + r1 * block[:, 0] if cfg.k1 else 0.0
+    g[:, 1:] = (s[example] - vx) * mx[:, None] + r2 * block[:, 1:]
     if cfg.k0:
-        g[0, 0] = m + r0 * block[0, 0]
-        g[0, 1:] = 0.0
+        g[starts, 0] = m + r0 * block[starts, 0]
+        g[starts, 1:] = 0.0
     theta[rows], new_state = rule(block, g, [part[rows] for part in state], cfg.step_size)
     for part, value in zip(state, new_state):
         part[rows] = value
 
 
-def _rows_of(batch: pa.RecordBatch, features: np.ndarray, with_bias: bool):
-    """Parameter rows, values, row bounds and labels of a batch of examples."""
-    indices, values = batch.column("indices"), batch.column("values")
-    j = indices.flatten().to_numpy()
-    x = values.flatten().to_numpy()
-    bounds = np.r_[0, np.cumsum(indices.value_lengths().to_numpy())]
+def _keys(shard: np.ndarray, j: np.ndarray, n_features: int) -> np.ndarray:
+    """One sortable number per shard and feature."""
+    return shard.astype(np.int64) * (n_features + 1) + j
+
+
+def _waves(batch: pa.RecordBatch, known: np.ndarray, n_features: int, with_bias: bool):
+    """Per step in a batch of examples: parameter rows, values, starts and labels."""
+    indices = batch.column("indices")
+    j, x = indices.flatten().to_numpy(), batch.column("values").flatten().to_numpy()
+    lengths = indices.value_lengths().to_numpy()
+    bounds = np.r_[0, np.cumsum(lengths)]
     if with_bias:
         j, x = np.insert(j, bounds[:-1], 0), np.insert(x, bounds[:-1], 1.0)
-        bounds = bounds + np.arange(len(bounds))
-    rows = np.searchsorted(features, j)
-    if len(j) and (rows.max() >= len(features) or (features[rows] != j).any()):
+        lengths, bounds = lengths + 1, bounds + np.arange(len(bounds))
+    wanted = _keys(np.repeat(batch.column("shard").to_numpy(), lengths), j, n_features)
+    rows = np.searchsorted(known, wanted)
+    if len(rows) and (rows.max() >= len(known) or (known[rows] != wanted).any()):
         raise ValueError("an example uses a feature without parameters")
-    return rows, x, bounds, batch.column("label").to_numpy()
+    labels, step = batch.column("label").to_numpy(), batch.column("step").to_numpy()
+    first = np.r_[0, np.flatnonzero(np.diff(step)) + 1, len(step)]
+    for a, b in zip(first[:-1], first[1:]):
+        p, q = bounds[a], bounds[b]
+        yield rows[p:q], x[p:q], bounds[a:b] - p, labels[a:b]
+
+
+def _check_order(batch: pa.RecordBatch, last: tuple) -> tuple:
+    """Raise unless rows strictly ascend by (step, shard, id); return the last."""
+    columns = [batch.column(c).to_numpy().astype(np.int64) for c in ("step", "shard", "row_id")]
+    ascends = np.zeros(batch.num_rows - 1, dtype=bool)
+    for c in reversed(columns):
+        d = np.diff(c)
+        ascends = (d > 0) | ((d == 0) & ascends)
+    if not ascends.all() or tuple(c[0] for c in columns) <= last:
+        raise ValueError("the rows of a slot arrived unsorted or with repeated ids")
+    return tuple(c[-1] for c in columns)
 
 
 def _walk(cfg: FMConfig, meta: ModelMeta):
-    """The function that trains one shard from its sorted stream."""
+    """The function that trains the shards of one slot from their sorted stream.
+
+    Parameter rows have step 0, examples count from 1.
+    """
     width, slots = 1 + cfg.k2, 1 + len(cfg.state_slots)
     residual, rule = residual_of(cfg, meta), RULES[cfg.optimizer]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, loaded, theta, last = [], [], None, (-1, -1)
+        keys, loaded, now, last = [], [], None, (-1, -1, -1)
         for batch in batches:
-            kind = batch.column("kind").to_numpy()
-            row_id = batch.column("row_id").to_numpy()
-            order = list(zip((kind[0], kind[-1]), (row_id[0], row_id[-1])))
-            within = (np.diff(kind) > 0) | ((np.diff(kind) == 0) & (np.diff(row_id) > 0))
-            if order[0] <= last or not within.all():
-                raise ValueError("the rows of a shard arrived unsorted or with repeated ids")
-            last = order[1]
-            n_params = int(np.searchsorted(kind, 1))
+            if batch.num_rows == 0:
+                continue
+            last = _check_order(batch, last)
+            n_params = int(np.searchsorted(batch.column("step").to_numpy(), 1))
             if n_params:
-                ids.append(row_id[:n_params])
-                flat = batch.column("values").slice(0, n_params).flatten().to_numpy()
-                loaded.append(flat.reshape(n_params, slots, width))
+                sent = batch.slice(0, n_params)
+                keys.append(_keys(sent.column("shard").to_numpy(), sent.column("row_id").to_numpy(), meta.n_features))
+                loaded.append(sent.column("values").flatten().to_numpy().reshape(n_params, slots, width))
             if n_params == batch.num_rows:
                 continue
-            if theta is None:
-                features = np.concatenate(ids)
-                start = np.concatenate(loaded).transpose(1, 0, 2).copy()
+            if now is None:
+                known = np.concatenate(keys) if keys else np.empty(0, np.int64)
+                start = np.concatenate(loaded).transpose(1, 0, 2).copy() if loaded else np.empty((slots, 0, width))
                 now = start.copy()
-                theta, state = now[0], list(now[1:])
-            rows, x, bounds, labels = _rows_of(batch.slice(n_params), features, cfg.k0)
-            for i, y in enumerate(labels):
-                a, b = bounds[i], bounds[i + 1]
-                if b > a:
-                    _row_step(theta, state, rows[a:b], x[a:b], y, cfg, residual, rule)
-        if theta is None:
+            for rows, x, starts, y in _waves(batch.slice(n_params), known, meta.n_features, cfg.k0):
+                _update(now[0], list(now[1:]), rows, x, starts, y, cfg, residual, rule)
+        if now is None:
             return
-        change = (now - start).transpose(1, 0, 2).reshape(len(features), slots * width)
-        for a in range(0, len(features), _CHUNK):
-            part = change[a : a + _CHUNK]
+        change = (now - start).transpose(1, 0, 2).reshape(len(known), slots * width)
+        j, place = np.unique(known % (meta.n_features + 1), return_inverse=True)
+        total = np.zeros((len(j), slots * width))
+        np.add.at(total, place, change)
+        for a in range(0, len(j), _CHUNK):
+            part = total[a : a + _CHUNK]
             offsets = pa.array(np.arange(len(part) + 1, dtype=np.int32) * (slots * width))
             lists = pa.ListArray.from_arrays(offsets, pa.array(part.ravel()))
-            j = pa.array(features[a : a + _CHUNK].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([j, lists], names=["j", "change"])
+            yield pa.RecordBatch.from_arrays([pa.array(j[a : a + _CHUNK].astype(np.int32)), lists], names=["j", "change"])
 
     return walk
 
 
 def needed_features(sharded: DataFrame, cfg: FMConfig) -> DataFrame:
-    """``shard, j``: the parameter rows each shard uses, its bias included.
+    """``slot, shard, j``: the parameter rows each shard uses, its bias included.
 
     It depends on the examples only, so a training run computes it once.
     """
     indices = F.col("indices")
     if cfg.k0:
         indices = F.concat(F.array(F.lit(0)), indices)
-    return sharded.select("shard", F.explode(indices).alias("j")).distinct()
+    return sharded.select("slot", "shard", F.explode(indices).alias("j")).distinct()
 
 
 def _slot_columns(cfg: FMConfig) -> list[tuple[str, str]]:
@@ -170,35 +195,35 @@ def _packed(cfg: FMConfig) -> Column:
 
 
 def local_changes(
-    sharded: DataFrame, needed: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig, partitions: int
+    stepped: DataFrame, needed: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig, slots: int
 ) -> DataFrame:
-    """``j, change``: what every shard's local epoch changed, one row per shard and feature.
+    """``j, change``: what the local epochs of a slot's shards changed, summed per feature.
 
-    Both sides of the union have the same hash partitioning by shard, which it
+    Both sides of the union have the same hash partitioning by slot, which it
     keeps: the examples stay where they are and only parameter rows travel.
     """
     row_bytes = 8 * (1 + cfg.k2) * (1 + len(cfg.state_slots)) + 64
     table = params
     if (meta.n_features + 1) * row_bytes <= cfg.broadcast_limit_bytes:
         table = F.broadcast(params)
-    no_ints = F.array().cast("array<int>")
     sent = (
         needed.join(table, "j")
         .select(
-            "shard",
-            F.lit(0).cast("byte").alias("kind"),
+            "slot", "shard",
+            F.lit(0).alias("step"),
             F.col("j").cast("long").alias("row_id"),
             F.lit(0.0).alias("label"),
-            no_ints.alias("indices"),
+            F.array().cast("array<int>").alias("indices"),
             _packed(cfg).alias("values"),
         )
-        .repartition(partitions, "shard")
+        .repartition(slots, "slot")
     )
-    examples = sharded.select(
-        "shard", F.lit(1).cast("byte").alias("kind"), F.col("example_id").alias("row_id"), "label", "indices", "values"
+    used = stepped if cfg.k0 else stepped.where(F.size("indices") > 0)
+    examples = used.select(
+        "slot", "shard", "step", F.col("example_id").alias("row_id"), "label", "indices", "values"
     )
-    stream = examples.unionByName(sent).sortWithinPartitions("shard", "kind", "row_id")
-    return stream.groupBy("shard").applyInArrow(_walk(cfg, meta), "j int, change array<double>")
+    stream = examples.unionByName(sent).sortWithinPartitions("slot", "step", "shard", "row_id")
+    return stream.groupBy("slot").applyInArrow(_walk(cfg, meta), "j int, change array<double>")
 
 
 def average_changes(params: DataFrame, changes: DataFrame, cfg: FMConfig) -> DataFrame:
@@ -227,10 +252,11 @@ def local_epoch(
     meta: ModelMeta,
     cfg: FMConfig,
     *,
-    partitions: int,
+    slots: int,
     needed: DataFrame | None = None,
 ) -> DataFrame:
-    """Parameters (and optimizer state) after one epoch over ``sharded`` examples."""
-    needed = needed if needed is not None else needed_features(sharded, cfg)
-    changes = local_changes(sharded, needed, params, meta, cfg, partitions)
+    """Parameters (and optimizer state) after one epoch over examples placed in ``slots`` slots."""
+    stepped = sharded if "step" in sharded.columns else number_steps(sharded)
+    needed = needed if needed is not None else needed_features(stepped, cfg)
+    changes = local_changes(stepped, needed, params, meta, cfg, slots)
     return average_changes(params, changes, cfg)

@@ -14,23 +14,19 @@ def lookup(
     table_rows: int,
     row_bytes: int,
     limit_bytes: int,
-    partitions: int | None = None,
 ) -> DataFrame:
-    """Left-join ``rows(shard, key, ...)`` with ``table(key, ...)``.
+    """Left-join ``rows(slot, key, ...)`` with ``table(key, ...)``.
 
     Up to ``limit_bytes`` (a bound known from the row count) the table is
-    broadcast and ``rows`` keep their partitioning. Beyond it, every shard
+    broadcast and ``rows`` keep their partitioning. Beyond it, every slot
     first asks for the distinct keys it uses and receives one copy of each of
-    their rows; the join then runs on ``(shard, key)``. A key that occurs in a
-    third of all rows is thereby spread over all shards, and what travels is
-    one row per shard and key rather than one per occurrence. ``partitions``
-    is the number of hash partitions of ``rows`` by shard, if they have them:
-    the copies are sent straight there and ``rows`` are not shuffled at all.
+    their rows; the join then runs on ``(slot, key)``. A key that occurs in a
+    third of all rows is thereby spread over all slots, and what travels is
+    one row per slot and key rather than one per occurrence. Rows that are
+    hash-partitioned by ``slot`` are not shuffled for it (see
+    ``plans.session``).
     """
     if table_rows * row_bytes <= limit_bytes:
         return rows.join(F.broadcast(table), key, "left")
-    wanted = rows.where(F.col(key).isNotNull()).select("shard", key).distinct()
-    copies = wanted.join(table, key)
-    if partitions is not None:
-        copies = copies.repartition(partitions, "shard")
-    return rows.join(copies, ["shard", key], "left")
+    wanted = rows.where(F.col(key).isNotNull()).select("slot", key).distinct()
+    return rows.join(wanted.join(table, key), ["slot", key], "left")

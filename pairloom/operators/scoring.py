@@ -24,22 +24,21 @@ def example_sums(
     params: DataFrame,
     meta: ModelMeta,
     *,
-    partitions: int | None = None,
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Per example: ``linear`` = w0 + sum w x, ``sum_sqr`` = sum |v|^2 x^2, ``s_f`` = sum v_f x.
 
     The bias takes part as feature 0 with value 1 in every example, which also
     keeps examples without features. Features without parameters add nothing.
-    ``partitions`` says that ``examples`` are hash-partitioned by ``shard``
-    into that many partitions; then neither join nor aggregation moves them.
+    Examples placed by ``assign_shard`` are moved by neither join nor
+    aggregation; others are aggregated to one row each before they move.
     """
     row_bytes = 8 * (meta.k2 + 2) + 64
     table_rows = meta.n_features + 1
-    if "shard" not in examples.columns and table_rows * row_bytes > limit_bytes:
-        partitions = int(examples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        examples = assign_shard(examples, partitions, partitions, method="hash")
-    keys = [c for c in ("shard", "split", "example_id", "label") if c in examples.columns]
+    if "slot" not in examples.columns and table_rows * row_bytes > limit_bytes:
+        slots = int(examples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        examples = assign_shard(examples, slots, slots, method="hash").drop("shard")
+    keys = [c for c in ("slot", "shard", "split", "example_id", "label") if c in examples.columns]
     indices, values = F.col("indices"), F.col("values")
     if meta.k0:
         indices = F.concat(F.array(F.lit(0)), indices)
@@ -47,7 +46,7 @@ def example_sums(
     long = examples.select(*keys, F.inline_outer(F.arrays_zip(indices.alias("j"), values.alias("x"))))
     attached = lookup(
         long, scoring_table(params, meta.k2), "j",
-        table_rows=table_rows, row_bytes=row_bytes, limit_bytes=limit_bytes, partitions=partitions,
+        table_rows=table_rows, row_bytes=row_bytes, limit_bytes=limit_bytes,
     )
     x = F.col("x")
 
@@ -79,7 +78,7 @@ def link(sums: DataFrame, meta: ModelMeta, keep_sums: bool = False) -> DataFrame
 
 
 def score(examples: DataFrame, params: DataFrame, meta: ModelMeta, *, keep_sums: bool = False, **how) -> DataFrame:
-    """``example_id, label, raw, score`` (and ``shard``, ``split`` where given) of every example."""
+    """``example_id, label, raw, score`` (and ``slot``, ``shard``, ``split`` where given) of every example."""
     return link(example_sums(examples, params, meta, **how), meta, keep_sums)
 
 

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from pairloom.config import REGRESSION, FMConfig, ModelMeta
 from pairloom.operators.describe import check_examples, feature_dim, label_range
 from pairloom.operators.evaluation import metrics
-from pairloom.operators.examples import assign_shard, binarise_label, default_partitions
+from pairloom.operators.examples import assign_shard, binarise_label, default_slots, number_steps
 from pairloom.operators.local_epoch import local_epoch, needed_features
 from pairloom.operators.params import add_state, init_params
 from pairloom.operators.scoring import score
 from pairloom.plans.scratch import new_run_dir
+from pairloom.plans.session import settings
 from pairloom.sources.history import history_schema, metric_columns
 
 
@@ -56,10 +57,10 @@ class ParamStore:
         return self._spark.read.schema(params.schema).parquet(path)
 
 
-def _sharded(examples: DataFrame, cfg: FMConfig, partitions: int) -> DataFrame:
+def _placed(examples: DataFrame, cfg: FMConfig, slots: int) -> DataFrame:
     labelled = examples if cfg.task == REGRESSION else binarise_label(examples)
     columns = labelled.select("example_id", F.col("label").cast("double"), "indices", "values")
-    return assign_shard(columns, cfg.num_shards, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    return number_steps(assign_shard(columns, cfg.num_shards, slots)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _metric_row(train: DataFrame, valid: DataFrame, params: DataFrame, meta: ModelMeta, how: dict) -> dict:
@@ -89,12 +90,17 @@ def fit(
     in id order, the changes are averaged, and both sets are evaluated. Rows
     are not reshuffled between epochs and the step size stays constant.
     """
+    with settings(train.sparkSession):
+        return _fit(train, valid, cfg, params, n_features)
+
+
+def _fit(train, valid, cfg, params, n_features) -> FMModel:
     spark = train.sparkSession
-    partitions = cfg.shard_partitions or default_partitions(train, cfg.num_shards)
+    slots = cfg.slots or default_slots(spark, cfg.num_shards)
     held = []
     try:
-        train = _sharded(train, cfg, partitions)
-        valid = _sharded(valid, cfg, partitions)
+        train = _placed(train, cfg, slots)
+        valid = _placed(valid, cfg, slots)
         needed = needed_features(train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
         held = [train, valid, needed]
         check_examples(train, cfg)
@@ -104,7 +110,7 @@ def fit(
         store = ParamStore(spark)
         start = params if params is not None else init_params(spark, n, cfg)
         current = store.save(add_state(start, cfg), 0)
-        how = {"partitions": partitions, "limit_bytes": cfg.broadcast_limit_bytes}
+        how = {"limit_bytes": cfg.broadcast_limit_bytes}
 
         lines = []
 
@@ -115,7 +121,7 @@ def fit(
         report(0, None)
         for epoch in range(1, cfg.epochs + 1):
             begin = time.monotonic()
-            updated = local_epoch(train, current, meta, cfg, partitions=partitions, needed=needed)
+            updated = local_epoch(train, current, meta, cfg, slots=slots, needed=needed)
             current = store.save(updated, epoch)
             if epoch % cfg.eval_every == 0 or epoch == cfg.epochs:
                 report(epoch, None)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pairloom.config import FMConfig, ModelMeta
 from pairloom.operators import describe, evaluation, scoring
 from pairloom.operators.examples import (
-    assign_shard, binarise_label, default_partitions, preview, split_examples, to_long,
+    assign_shard, binarise_label, default_slots, preview, split_examples, to_long,
 )
 from pairloom.operators.gradient import gradient
 from pairloom.operators.local_epoch import local_epoch
@@ -19,7 +19,8 @@ from pairloom.operators.params import (
 )
 from pairloom.plans import datasets
 from pairloom.plans.fit import fit
-from pairloom.plans.scratch import new_run_dir
+from pairloom.plans.scratch import new_run_dir, write_table
+from pairloom.plans.session import apply_settings
 from pairloom.sources.libsvm import libsvm_lines, read_libsvm, write_libsvm
 from pairloom.sources.model_text import export_lines, read_params_text, write_params_text
 
@@ -43,10 +44,20 @@ def rounded(column: str | Column, digits: int = 6) -> Column:
     return F.round(c, digits) + F.lit(0.0)
 
 
+_stored: dict[tuple, DataFrame] = {}
+
+
 def start_params(spark: SparkSession, n_features: int, cfg: FMConfig) -> DataFrame:
-    """Random start with a bias other than zero, so that the bias shows in every result."""
-    w = F.when(F.col("j") == 0, F.lit(START_BIAS)).otherwise(F.col("w"))
-    return init_params(spark, n_features, cfg).withColumn("w", w)
+    """Random start, stored as a table once per session.
+
+    The bias is not zero, so that it shows in every result.
+    """
+    key = (spark.sparkContext.applicationId, n_features, cfg.k0, cfg.k1, cfg.k2, cfg.init_std, cfg.seed)
+    if key not in _stored:
+        w = F.when(F.col("j") == 0, F.lit(START_BIAS)).otherwise(F.col("w"))
+        params = init_params(spark, n_features, cfg).withColumn("w", w)
+        _stored[key] = write_table(params, new_run_dir(spark, "start"))
+    return _stored[key]
 
 
 def _orders(spark, sf_dir, cfg: FMConfig = SCORE):
@@ -199,10 +210,11 @@ def fm_predict(spark, sf_dir):
 
 def fm_predict_sharded(spark, sf_dir):
     """The path for parameters too large to broadcast: copies travel to the shards."""
+    apply_settings(spark)
     examples, params, meta = _orders(spark, sf_dir)
-    n = default_partitions(examples, NUM_SHARDS)
+    n = default_slots(spark, NUM_SHARDS)
     sharded = assign_shard(examples, NUM_SHARDS, n)
-    return _scored_columns(scoring.score(sharded, params, meta, partitions=n, limit_bytes=0))
+    return _scored_columns(scoring.score(sharded, params, meta, limit_bytes=0))
 
 
 def fm_predict_documents(spark, sf_dir):
@@ -215,7 +227,7 @@ def fm_predict_terms_off(spark, sf_dir):
     """Neither bias nor linear term: the pairwise term alone."""
     data = datasets.order_examples(spark, sf_dir)
     cfg = SCORE.with_(k0=False, k1=False)
-    params = init_params(spark, data.n_features, cfg)
+    params = start_params(spark, data.n_features, cfg)
     return _scored_columns(scoring.score(data.examples, params, ModelMeta.of(cfg, data.n_features)))
 
 
@@ -237,8 +249,8 @@ def fm_predict_regression(spark, sf_dir):
 
 def fm_gradient(spark, sf_dir):
     examples, params, meta = _orders(spark, sf_dir)
-    n = default_partitions(examples, NUM_SHARDS)
-    grad = gradient(assign_shard(examples, NUM_SHARDS, n), params, meta, SCORE, partitions=n)
+    n = default_slots(spark, NUM_SHARDS)
+    grad = gradient(assign_shard(examples, NUM_SHARDS, n), params, meta, SCORE)
     return _flat(grad, SCORE.k2, (("gw", "gv"),))
 
 
@@ -248,9 +260,9 @@ def _local_epoch(optimizer: str, residual: str = "cross_entropy") -> Query:
 
     def query(spark, sf_dir):
         examples, params, meta = _orders(spark, sf_dir, cfg)
-        n = default_partitions(examples, NUM_SHARDS)
+        n = default_slots(spark, NUM_SHARDS)
         after = local_epoch(
-            assign_shard(examples, NUM_SHARDS, n), add_state(params, cfg), meta, cfg, partitions=n
+            assign_shard(examples, NUM_SHARDS, n), add_state(params, cfg), meta, cfg, slots=n
         )
         return _flat(after, cfg.k2, names)
 

@@ -53,7 +53,7 @@ def indexed_examples(tokens: DataFrame, vocabulary: Vocabulary, limit_bytes: int
     A token outside the vocabulary, or the null token of an example that has
     none, adds no feature; the example stays.
     """
-    salted = tokens.withColumn("shard", shard_column(1024, "hash"))
+    salted = tokens.withColumn("slot", shard_column(1024, "hash"))
     long = lookup(
         salted, vocabulary.frame, "token", table_rows=vocabulary.size, row_bytes=96, limit_bytes=limit_bytes
     )

@@ -54,7 +54,7 @@ def test_gradient(params, examples):
 @pytest.mark.parametrize("optimizer", sorted(UPDATES))
 def test_update(params, examples, optimizer):
     cfg = CFG.with_(optimizer=optimizer)
-    after = {r.j: r for r in local_epoch(examples, add_state(params, cfg), META, cfg, partitions=1).collect()}
+    after = {r.j: r for r in local_epoch(examples, add_state(params, cfg), META, cfg, slots=1).collect()}
     for j, w, v in UPDATES[optimizer]:
         assert after[j].w == pytest.approx(w, abs=1e-9)
         assert after[j].v == pytest.approx(v, abs=1e-9)
