@@ -69,8 +69,9 @@ def assign_shard(
 
 
 def number_steps(sharded: DataFrame) -> DataFrame:
-    """Add ``step``, the position of a row in its shard in the order of ids."""
-    in_shard = Window.partitionBy("slot", "shard").orderBy("example_id")
+    """Add ``step``, the position of a row in its shard (and split) in the order of ids."""
+    within = [c for c in ("slot", "shard", "split") if c in sharded.columns]
+    in_shard = Window.partitionBy(*within).orderBy("example_id")
     return sharded.withColumn("step", F.row_number().over(in_shard)).sortWithinPartitions("slot", "step", "shard")
 
 

@@ -66,27 +66,27 @@ def residual_of(cfg: FMConfig, meta: ModelMeta) -> Callable[[np.ndarray, np.ndar
     return lambda z, y: 0.5 + 0.5 * np.tanh(0.5 * z) - y
 
 
-def _update(theta, state, rows, x, starts, y, cfg, residual, rule):
+def _update(theta, state, rows, x, example, starts, y, cfg, residual, rule):
     """Update, in place, the parameter rows that one example of each shard touches.
 
-    ``rows`` and ``x`` are the concatenated non-zeros of the examples, which
-    begin at ``starts``. With a bias, each example begins with its row, x = 1.
+    ``rows``, ``x`` and ``example`` (number of the example) are the
+    concatenated non-zeros of the examples, which begin at ``starts``. With a
+    bias, each example begins with its row, x = 1.
     """
-    block = theta[rows]
+    block = theta.take(rows, axis=0)
     vx = block[:, 1:] * x[:, None]
     s = np.add.reduceat(vx, starts, axis=0)
     own = np.add.reduceat(block[:, 0] * x - 0.5 * np.einsum("ij,ij->i", vx, vx), starts)
     m = residual(own + 0.5 * np.einsum("ij,ij->i", s, s), y)
-    example = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(x)]))
-    mx = m[example] * x
+    mx = m.take(example) * x
     r0, r1, r2 = cfg.reg
     g = np.empty_like(block)
     g[:, 0] = mx + r1 * block[:, 0] if cfg.k1 else 0.0
-    g[:, 1:] = (s[example] - vx) * mx[:, None] + r2 * block[:, 1:]
+    g[:, 1:] = (s.take(example, axis=0) - vx) * mx[:, None] + r2 * block[:, 1:]
     if cfg.k0:
         g[starts, 0] = m + r0 * block[starts, 0]
         g[starts, 1:] = 0.0
-    theta[rows], new_state = rule(block, g, [part[rows] for part in state], cfg.step_size)
+    theta[rows], new_state = rule(block, g, [part.take(rows, axis=0) for part in state], cfg.step_size)
     for part, value in zip(state, new_state):
         part[rows] = value
 
@@ -97,7 +97,7 @@ def _keys(shard: np.ndarray, j: np.ndarray, n_features: int) -> np.ndarray:
 
 
 def _waves(batch: pa.RecordBatch, known: np.ndarray, n_features: int, with_bias: bool):
-    """Per step in a batch of examples: parameter rows, values, starts and labels."""
+    """Per step in a batch of examples: parameter rows, values, example numbers, starts, labels."""
     indices = batch.column("indices")
     j, x = indices.flatten().to_numpy(), batch.column("values").flatten().to_numpy()
     lengths = indices.value_lengths().to_numpy()
@@ -109,11 +109,12 @@ def _waves(batch: pa.RecordBatch, known: np.ndarray, n_features: int, with_bias:
     rows = np.searchsorted(known, wanted)
     if len(rows) and (rows.max() >= len(known) or (known[rows] != wanted).any()):
         raise ValueError("an example uses a feature without parameters")
+    example = np.repeat(np.arange(batch.num_rows), lengths)
     labels, step = batch.column("label").to_numpy(), batch.column("step").to_numpy()
-    first = np.r_[0, np.flatnonzero(np.diff(step)) + 1, len(step)]
+    first = np.r_[0, np.flatnonzero(np.diff(step)) + 1, len(step)].tolist()
     for a, b in zip(first[:-1], first[1:]):
         p, q = bounds[a], bounds[b]
-        yield rows[p:q], x[p:q], bounds[a:b] - p, labels[a:b]
+        yield rows[p:q], x[p:q], example[p:q] - a, bounds[a:b] - p, labels[a:b]
 
 
 def _check_order(batch: pa.RecordBatch, last: tuple) -> tuple:
@@ -153,14 +154,18 @@ def _walk(cfg: FMConfig, meta: ModelMeta):
                 known = np.concatenate(keys) if keys else np.empty(0, np.int64)
                 start = np.concatenate(loaded).transpose(1, 0, 2).copy() if loaded else np.empty((slots, 0, width))
                 now = start.copy()
-            for rows, x, starts, y in _waves(batch.slice(n_params), known, meta.n_features, cfg.k0):
-                _update(now[0], list(now[1:]), rows, x, starts, y, cfg, residual, rule)
+                keys.clear(), loaded.clear()
+            for wave in _waves(batch.slice(n_params), known, meta.n_features, cfg.k0):
+                _update(now[0], list(now[1:]), *wave, cfg, residual, rule)
         if now is None:
             return
         change = (now - start).transpose(1, 0, 2).reshape(len(known), slots * width)
-        j, place = np.unique(known % (meta.n_features + 1), return_inverse=True)
-        total = np.zeros((len(j), slots * width))
-        np.add.at(total, place, change)
+        if not len(known):
+            return
+        feature = known % (meta.n_features + 1)
+        order = np.argsort(feature, kind="stable")
+        j, first = np.unique(feature[order], return_index=True)
+        total = np.add.reduceat(change[order], first, axis=0)
         for a in range(0, len(j), _CHUNK):
             part = total[a : a + _CHUNK]
             offsets = pa.array(np.arange(len(part) + 1, dtype=np.int32) * (slots * width))

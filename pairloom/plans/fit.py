@@ -57,18 +57,20 @@ class ParamStore:
         return self._spark.read.schema(params.schema).parquet(path)
 
 
-def _placed(examples: DataFrame, cfg: FMConfig, slots: int) -> DataFrame:
-    labelled = examples if cfg.task == REGRESSION else binarise_label(examples)
-    columns = labelled.select("example_id", F.col("label").cast("double"), "indices", "values")
+def _placed(train: DataFrame, valid: DataFrame, cfg: FMConfig, slots: int) -> DataFrame:
+    """Both sets with ``split``, placed by slot and numbered, ready for every epoch."""
+    both = train.withColumn("split", F.lit("train")).unionByName(
+        valid.withColumn("split", F.lit("valid")), allowMissingColumns=True
+    )
+    labelled = both if cfg.task == REGRESSION else binarise_label(both)
+    columns = labelled.select("split", "example_id", F.col("label").cast("double"), "indices", "values")
     return number_steps(assign_shard(columns, cfg.num_shards, slots)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _metric_row(train: DataFrame, valid: DataFrame, params: DataFrame, meta: ModelMeta, how: dict) -> dict:
+def _metric_row(examples: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig) -> dict:
     """Metrics of both sets from one job."""
-    both = score(train, params, meta, **how).withColumn("split", F.lit("train")).unionByName(
-        score(valid, params, meta, **how).withColumn("split", F.lit("valid"))
-    )
-    rows = {row["split"]: row.asDict() for row in metrics(both, meta).collect()}
+    scored = score(examples, params, meta, limit_bytes=cfg.broadcast_limit_bytes)
+    rows = {row["split"]: row.asDict() for row in metrics(scored, meta).collect()}
     found = {}
     for column in metric_columns(meta.task):
         split, _, name = column.partition("_")
@@ -99,10 +101,10 @@ def _fit(train, valid, cfg, params, n_features) -> FMModel:
     slots = cfg.slots or default_slots(spark, cfg.num_shards)
     held = []
     try:
-        train = _placed(train, cfg, slots)
-        valid = _placed(valid, cfg, slots)
+        both = _placed(train, valid, cfg, slots)
+        train = both.where(F.col("split") == "train")
         needed = needed_features(train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-        held = [train, valid, needed]
+        held = [both, needed]
         check_examples(train, cfg)
         n = n_features or feature_dim(train)
         low, high = label_range(train).first() if cfg.task == REGRESSION else (None, None)
@@ -110,12 +112,11 @@ def _fit(train, valid, cfg, params, n_features) -> FMModel:
         store = ParamStore(spark)
         start = params if params is not None else init_params(spark, n, cfg)
         current = store.save(add_state(start, cfg), 0)
-        how = {"limit_bytes": cfg.broadcast_limit_bytes}
 
         lines = []
 
         def report(epoch: int, minutes: float | None) -> None:
-            found = _metric_row(train, valid, current, meta, how)
+            found = _metric_row(both, current, meta, cfg)
             lines.append((epoch, *found.values(), minutes, datetime.now()))
 
         report(0, None)
