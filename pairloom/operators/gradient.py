@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.config import FMConfig, ModelMeta
-from pairloom.operators.scoring import score
+from pairloom.operators.scoring import score, with_bias
 
 
 def residuals(examples: DataFrame, params: DataFrame, meta: ModelMeta, **how) -> DataFrame:
@@ -27,10 +27,7 @@ def gradient(sharded: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConf
         "slot", "example_id", "residual", *[f"s_{f}" for f in range(k2)]
     )
     rows = sharded.select("slot", "example_id", "indices", "values").join(scored, ["slot", "example_id"])
-    indices, values = F.col("indices"), F.col("values")
-    if meta.k0:
-        indices = F.concat(F.array(F.lit(0)), indices)
-        values = F.concat(F.array(F.lit(1.0)), values)
+    indices, values = with_bias(meta)
     long = rows.select(
         "residual", *[f"s_{f}" for f in range(k2)],
         F.inline(F.arrays_zip(indices.alias("j"), values.alias("x"))),

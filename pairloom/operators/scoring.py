@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.config import CLASSIFICATION, FMConfig, ModelMeta
 from pairloom.functions.math import clip, logistic, sum_columns
-from pairloom.operators.examples import assign_shard
+from pairloom.operators.examples import shard_column
 from pairloom.operators.lookup import lookup
 
 BROADCAST_LIMIT_BYTES = FMConfig.broadcast_limit_bytes
@@ -19,12 +19,36 @@ def scoring_table(params: DataFrame, k2: int) -> DataFrame:
     return flat.withColumn("norm2", sum_columns([F.col(f"v_{f}") * F.col(f"v_{f}") for f in range(k2)]))
 
 
+def fits_broadcast(meta: ModelMeta, limit_bytes: int) -> bool:
+    """Whether a scoring table of this many features is small enough to send to every task."""
+    return (meta.n_features + 1) * scoring_row_bytes(meta) <= limit_bytes
+
+
+def scoring_row_bytes(meta: ModelMeta) -> int:
+    return 8 * (meta.k2 + 2) + 64
+
+
+def wanted_features(examples: DataFrame, meta: ModelMeta) -> DataFrame:
+    """Distinct ``slot, j`` of the examples, the bias included."""
+    return examples.select("slot", F.explode(with_bias(meta)[0]).alias("j")).distinct()
+
+
+def with_bias(meta: ModelMeta) -> tuple[Column, Column]:
+    """Indices and values of an example; the bias is feature 0 with value 1."""
+    indices, values = F.col("indices"), F.col("values")
+    if meta.k0:
+        indices = F.concat(F.array(F.lit(0)), indices)
+        values = F.concat(F.array(F.lit(1.0)), values)
+    return indices, values
+
+
 def example_sums(
     examples: DataFrame,
     params: DataFrame,
     meta: ModelMeta,
     *,
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Per example: ``linear`` = w0 + sum w x, ``sum_sqr`` = sum |v|^2 x^2, ``s_f`` = sum v_f x.
 
@@ -33,20 +57,17 @@ def example_sums(
     Examples placed by ``assign_shard`` are moved by neither join nor
     aggregation; others are aggregated to one row each before they move.
     """
-    row_bytes = 8 * (meta.k2 + 2) + 64
-    table_rows = meta.n_features + 1
-    if "slot" not in examples.columns and table_rows * row_bytes > limit_bytes:
+    if "slot" not in examples.columns and not fits_broadcast(meta, limit_bytes):
         slots = int(examples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        examples = assign_shard(examples, slots, slots, method="hash").drop("shard")
+        numbered = examples.withColumn("slot", shard_column(slots, "hash"))
+        wanted = wanted_features(numbered, meta)
+        examples = numbered.repartition(slots, "slot")
     keys = [c for c in ("slot", "shard", "split", "example_id", "label") if c in examples.columns]
-    indices, values = F.col("indices"), F.col("values")
-    if meta.k0:
-        indices = F.concat(F.array(F.lit(0)), indices)
-        values = F.concat(F.array(F.lit(1.0)), values)
+    indices, values = with_bias(meta)
     long = examples.select(*keys, F.inline_outer(F.arrays_zip(indices.alias("j"), values.alias("x"))))
     attached = lookup(
         long, scoring_table(params, meta.k2), "j",
-        table_rows=table_rows, row_bytes=row_bytes, limit_bytes=limit_bytes,
+        table_rows=meta.n_features + 1, row_bytes=scoring_row_bytes(meta), limit_bytes=limit_bytes, wanted=wanted,
     )
     x = F.col("x")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -16,7 +17,7 @@ from pairloom.operators.evaluation import metrics
 from pairloom.operators.examples import assign_shard, binarise_label, default_slots, number_steps
 from pairloom.operators.local_epoch import local_epoch, needed_features
 from pairloom.operators.params import add_state, init_params
-from pairloom.operators.scoring import score
+from pairloom.operators.scoring import fits_broadcast, score, wanted_features
 from pairloom.plans.scratch import new_run_dir
 from pairloom.plans.session import settings
 from pairloom.sources.history import history_schema, metric_columns
@@ -67,9 +68,9 @@ def _placed(train: DataFrame, valid: DataFrame, cfg: FMConfig, slots: int) -> Da
     return number_steps(assign_shard(columns, cfg.num_shards, slots)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _metric_row(examples: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig) -> dict:
+def _metric_row(examples: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig, wanted) -> dict:
     """Metrics of both sets from one job."""
-    scored = score(examples, params, meta, limit_bytes=cfg.broadcast_limit_bytes)
+    scored = score(examples, params, meta, limit_bytes=cfg.broadcast_limit_bytes, wanted=wanted)
     rows = {row["split"]: row.asDict() for row in metrics(scored, meta).collect()}
     found = {}
     for column in metric_columns(meta.task):
@@ -85,18 +86,20 @@ def fit(
     *,
     params: DataFrame | None = None,
     n_features: int | None = None,
+    on_epoch: Callable[[dict], None] | None = None,
 ) -> FMModel:
     """Train on wide examples; ``params`` may give a start other than random.
 
     Per epoch: every shard trains from the same parameters over its own rows
     in id order, the changes are averaged, and both sets are evaluated. Rows
     are not reshuffled between epochs and the step size stays constant.
+    ``on_epoch`` receives the metrics of each reported epoch as it ends.
     """
     with settings(train.sparkSession):
-        return _fit(train, valid, cfg, params, n_features)
+        return _fit(train, valid, cfg, params, n_features, on_epoch)
 
 
-def _fit(train, valid, cfg, params, n_features) -> FMModel:
+def _fit(train, valid, cfg, params, n_features, on_epoch) -> FMModel:
     spark = train.sparkSession
     slots = cfg.slots or default_slots(spark, cfg.num_shards)
     held = []
@@ -109,15 +112,22 @@ def _fit(train, valid, cfg, params, n_features) -> FMModel:
         n = n_features or feature_dim(train)
         low, high = label_range(train).first() if cfg.task == REGRESSION else (None, None)
         meta = ModelMeta.of(cfg, n, low, high)
+        wanted = None
+        if not fits_broadcast(meta, cfg.broadcast_limit_bytes):
+            wanted = wanted_features(both, meta).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(wanted)
         store = ParamStore(spark)
         start = params if params is not None else init_params(spark, n, cfg)
         current = store.save(add_state(start, cfg), 0)
 
         lines = []
 
-        def report(epoch: int, minutes: float | None) -> None:
-            found = _metric_row(both, current, meta, cfg)
+        def report(epoch: int, begin: float | None) -> None:
+            found = _metric_row(both, current, meta, cfg, wanted)
+            minutes = None if begin is None else (time.monotonic() - begin) / 60.0
             lines.append((epoch, *found.values(), minutes, datetime.now()))
+            if on_epoch is not None:
+                on_epoch({"epoch": epoch, **found, "minutes": minutes})
 
         report(0, None)
         for epoch in range(1, cfg.epochs + 1):
@@ -125,8 +135,7 @@ def _fit(train, valid, cfg, params, n_features) -> FMModel:
             updated = local_epoch(train, current, meta, cfg, slots=slots, needed=needed)
             current = store.save(updated, epoch)
             if epoch % cfg.eval_every == 0 or epoch == cfg.epochs:
-                report(epoch, None)
-                lines[-1] = (*lines[-1][:-2], (time.monotonic() - begin) / 60.0, lines[-1][-1])
+                report(epoch, begin)
         history = spark.createDataFrame(lines, history_schema(cfg.task))
         return FMModel(current.select("j", "w", "v"), meta, history)
     finally:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from pairloom.operators.describe import describe
 from pairloom.operators.evaluation import class_means
 from pairloom.operators.examples import binarise_label, preview
 from pairloom.plans.fit import FMModel, fit
+from pairloom.plans.scratch import new_run_dir, write_table
 from pairloom.sources.history import history_line, write_history
 from pairloom.sources.libsvm import read_libsvm
 from pairloom.sources.model_text import write_params_text
@@ -39,13 +40,17 @@ def job_config(epochs: int, optimizer: str, step_size: float) -> FMConfig:
 
 def run_job(
     spark: SparkSession, train_path: str, valid_path: str, export_path: str, cfg: FMConfig,
-    history_path: str | None = None,
+    history_path: str | None = None, on_epoch: Callable[[dict], None] | None = None,
 ) -> JobResult:
-    """Train from libsvm files and export the parameters as text."""
-    train = binarise_label(read_libsvm(spark, train_path)).persist(StorageLevel.MEMORY_AND_DISK)
-    valid = binarise_label(read_libsvm(spark, valid_path)).persist(StorageLevel.MEMORY_AND_DISK)
+    """Train from libsvm files and export the parameters as text.
+
+    The text is parsed once, into columnar tables that every later pass reads.
+    """
+    parsed = new_run_dir(spark, "job")
+    train = write_table(binarise_label(read_libsvm(spark, train_path)), f"{parsed}/train")
+    valid = write_table(binarise_label(read_libsvm(spark, valid_path)), f"{parsed}/valid")
     both = train.withColumn("split", F.lit("train")).unionByName(valid.withColumn("split", F.lit("valid")))
-    model = fit(train, valid, cfg)
+    model = fit(train, valid, cfg, on_epoch=on_epoch)
     result = JobResult(
         model=model,
         description=describe(both),
@@ -72,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
     cfg = job_config(int(args.epochs), args.optimizer, args.step_size)
     spark = SparkSession.builder.appName("pairloom").getOrCreate()
     print(f"run {args.date}: {cfg}")
-    result = run_job(spark, args.train, args.valid, args.export, cfg, args.history)
+    result = run_job(spark, args.train, args.valid, args.export, cfg, args.history, on_epoch=print)
     result.samples.show(truncate=80)
     result.description.show()
     result.model.history.select(history_line(cfg.task).alias("history")).show(MAX_EPOCHS + 1, truncate=False)

@@ -384,6 +384,9 @@ WHERE place < 20 OR (place >= n * {k + 1} - 20 AND place < n * {k + 1})""",
         + f" SELECT split, n_pos, n_neg, {_r('pos_mean', 'pos_mean')}, {_r('neg_mean', 'neg_mean')} FROM m",
         "fm_evaluate": evaluated + " SELECT split, n_pos, n_neg, "
         + ", ".join(_r(c, c) for c in ("log_loss", "auc", "pos_mean", "neg_mean")) + " FROM m",
+        "fm_evaluate_lines": evaluated + " SELECT concat_ws('  ', split, "
+        + ", ".join(f"printf('%.5f', round({c}, 6))" for c in ("log_loss", "auc", "pos_mean", "neg_mean"))
+        + ") AS line FROM m",
         "fm_regression_metrics": _price_scores() + f"""
 SELECT {_SPLIT} AS split, count(*) AS n_rows, {_r('sqrt(avg((score - label) * (score - label)))', 'rmse')},
        {_r('avg(abs(score - label))', 'mae')} FROM scored GROUP BY 1""",

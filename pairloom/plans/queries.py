@@ -314,6 +314,12 @@ def fm_evaluate(spark, sf_dir):
     return _rounded_metrics(evaluation.evaluate(_scored_split(spark, sf_dir)))
 
 
+def fm_evaluate_lines(spark, sf_dir):
+    found = evaluation.evaluate(_scored_split(spark, sf_dir))
+    numbers = [F.format_string("%.5f", rounded(c)) for c in ("log_loss", "auc", "pos_mean", "neg_mean")]
+    return found.select(F.concat_ws("  ", "split", *numbers).alias("line"))
+
+
 def fm_regression_metrics(spark, sf_dir):
     return _rounded_metrics(evaluation.regression_metrics(split_examples(_price_scores(spark, sf_dir))))
 
@@ -370,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "fm_auc": fm_auc,
     "fm_class_means": fm_class_means,
     "fm_evaluate": fm_evaluate,
+    "fm_evaluate_lines": fm_evaluate_lines,
     "fm_regression_metrics": fm_regression_metrics,
     "fm_train_history": fm_train_history,
     "fm_train_documents": fm_train_documents,
