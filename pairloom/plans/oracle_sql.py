@@ -123,15 +123,21 @@ FROM g"""
 
 
 def _metrics(scored: str, name: str) -> str:
-    """CTE ``name(split, n_pos, n_neg, log_loss, auc, pos_mean, neg_mean)``; equal scores are ties."""
+    """CTE ``name(split, n_pos, n_neg, log_loss, auc, pos_mean, neg_mean)``.
+
+    Equal scores are ties. Sums of equal rows may differ here in the last bit,
+    so ties are found on the raw score to 9 places: the score itself is too
+    dense near 1 to be rounded. From 36.7368 on its double is exactly 1.
+    """
     p = "greatest(least(score, 1.0::DOUBLE - 1e-15::DOUBLE), 1e-15::DOUBLE)"
     return f""",
-{name}_s AS (SELECT {_SPLIT} AS split, label, round(score, 12) AS score, {p} AS p FROM {scored}),
+{name}_s AS (
+  SELECT {_SPLIT} AS split, label, score, least(round(raw, 9), 36.7368::DOUBLE) AS place, {p} AS p FROM {scored}),
 {name}_g AS (
-  SELECT split, score, count(*) FILTER (label > 0) AS pos, count(*) FILTER (label <= 0) AS neg
-  FROM {name}_s GROUP BY split, score),
+  SELECT split, place, count(*) FILTER (label > 0) AS pos, count(*) FILTER (label <= 0) AS neg
+  FROM {name}_s GROUP BY split, place),
 {name}_c AS (
-  SELECT *, coalesce(sum(neg) OVER (PARTITION BY split ORDER BY score
+  SELECT *, coalesce(sum(neg) OVER (PARTITION BY split ORDER BY place
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS below
   FROM {name}_g),
 {name}_a AS (
@@ -246,9 +252,11 @@ def _local_epoch(optimizer: str, residual: str = "cross_entropy") -> str:
     )
 
 
-def _history() -> str:
-    cfg = q.HISTORY
-    sql = _base(recursive=True) + _params(cfg) + _with_state(cfg) + _shards(cfg, "example_id % 5 <> 0")
+def _history(cfg: FMConfig, tokens: str = _ORDERS, w0: float = q.START_BIAS) -> str:
+    base = _base(tokens, recursive=True).replace(
+        "SELECT tokens.* EXCLUDE (token), j", "SELECT tokens.* EXCLUDE (token, x), 1.0::DOUBLE AS x, j"
+    )
+    sql = base + _params(cfg, w0) + _with_state(cfg) + _shards(cfg, "example_id % 5 <> 0")
     for epoch in range(1, cfg.epochs + 1):
         sql += _epoch(cfg, f"p{epoch - 1}", f"p{epoch}")
     parts = []
@@ -390,7 +398,8 @@ WHERE place < 20 OR (place >= n * {k + 1} - 20 AND place < n * {k + 1})""",
         "fm_regression_metrics": _price_scores() + f"""
 SELECT {_SPLIT} AS split, count(*) AS n_rows, {_r('sqrt(avg((score - label) * (score - label)))', 'rmse')},
        {_r('avg(abs(score - label))', 'mae')} FROM scored GROUP BY 1""",
-        "fm_train_history": _history(),
+        "fm_train_history": _history(q.HISTORY),
+        "fm_train_documents": _history(q.DOCUMENTS, _DOCUMENTS, 0.0),
         "fm_export_lines": orders + _params(q.SCORE) + f"""
 SELECT 'w_' || j || ' ' || {exported.format('w')} AS value FROM p
 UNION ALL

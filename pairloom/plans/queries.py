@@ -269,21 +269,21 @@ def _local_epoch(optimizer: str, residual: str = "cross_entropy") -> Query:
     return query
 
 
-def fm_train_history(spark, sf_dir):
-    data = datasets.order_examples(spark, sf_dir)
+def _history(data, cfg: FMConfig, params: DataFrame | None = None) -> DataFrame:
     examples = split_examples(data.examples)
     train, valid = (examples.where(F.col("split") == s).drop("split") for s in ("train", "valid"))
-    start = start_params(spark, data.n_features, HISTORY)
-    history = fit(train, valid, HISTORY, params=start, n_features=data.n_features).history
+    history = fit(train, valid, cfg, params=params, n_features=data.n_features).history
     kept = [c for c in history.columns if c not in ("epoch", "minutes", "finished_at")]
     return history.select("epoch", *[rounded(c).alias(c) for c in kept])
 
 
+def fm_train_history(spark, sf_dir):
+    data = datasets.order_examples(spark, sf_dir)
+    return _history(data, HISTORY, start_params(spark, data.n_features, HISTORY))
+
+
 def fm_train_documents(spark, sf_dir):
-    data = datasets.document_examples(spark, sf_dir)
-    examples = split_examples(data.examples)
-    train, valid = (examples.where(F.col("split") == s).drop("split") for s in ("train", "valid"))
-    return fit(train, valid, DOCUMENTS, n_features=data.n_features).history
+    return _history(datasets.document_examples(spark, sf_dir), DOCUMENTS)
 
 
 # Evaluation
