@@ -38,9 +38,3 @@ def negative_log_likelihood(positive: Column, score: Column) -> Column:
     p = clip(score, PROBABILITY_FLOOR, 1.0 - PROBABILITY_FLOOR)
     return -F.log(F.when(positive, p).otherwise(F.lit(1.0) - p))
 
-
-def sum_columns(columns: list[Column]) -> Column:
-    total = columns[0]
-    for column in columns[1:]:
-        total = total + column
-    return total

@@ -98,16 +98,16 @@ def evaluate(scored: DataFrame) -> DataFrame:
         partials.withColumn("twice_u", F.col("twice_u") + F.lit(2.0) * F.col("n_pos") * below)
         .groupBy("split")
         .agg(*[F.sum(c).alias(c) for c in _SUMS])
+        .alias("totals")
     )
-    n_pos, n_neg = F.col("n_pos"), F.col("n_neg")
-    return totals.select(
+    return totals.selectExpr(
         "split",
-        n_pos.cast("long").alias("n_pos"),
-        n_neg.cast("long").alias("n_neg"),
-        F.try_divide("nll", n_pos + n_neg).alias("log_loss"),
-        F.try_divide("twice_u", F.lit(2.0) * n_pos * n_neg).alias("auc"),
-        F.try_divide("pos_score", "n_pos").alias("pos_mean"),
-        F.try_divide("neg_score", "n_neg").alias("neg_mean"),
+        "cast(n_pos AS long) AS n_pos",
+        "cast(n_neg AS long) AS n_neg",
+        "try_divide(nll, totals.n_pos + totals.n_neg) AS log_loss",
+        "try_divide(twice_u, 2D * totals.n_pos * totals.n_neg) AS auc",
+        "try_divide(pos_score, totals.n_pos) AS pos_mean",
+        "try_divide(neg_score, totals.n_neg) AS neg_mean",
     )
 
 

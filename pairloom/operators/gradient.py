@@ -32,19 +32,16 @@ def gradient(sharded: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConf
         "residual", *[f"s_{f}" for f in range(k2)],
         F.inline(F.arrays_zip(indices.alias("j"), values.alias("x"))),
     )
-    xm = F.col("x") * F.col("residual")
-    per_feature = long.groupBy("j").agg(
-        F.sum(xm).alias("xm"),
-        F.sum(F.col("x") * xm).alias("xxm"),
-        F.count("*").cast("double").alias("n_rows"),
-        *[F.sum(F.col(f"s_{f}") * xm).alias(f"sxm_{f}") for f in range(k2)],
+    per_feature = long.withColumn("xm", F.expr("x * residual")).groupBy("j").agg(
+        F.expr("sum(xm) AS xm"),
+        F.expr("sum(x * xm) AS xxm"),
+        F.expr("cast(count(*) AS double) AS n_rows"),
+        *[F.expr(f"sum(s_{f} * xm) AS sxm_{f}") for f in range(k2)],
     )
-    r0, r1, r2 = (F.lit(r) for r in cfg.reg)
-    n = F.col("n_rows")
-    r = F.when(F.col("j") == 0, r0).otherwise(r1)
-    gw = F.when(F.col("w").isNotNull(), F.col("xm") + r * F.col("w") * n)
-    v = [F.get("v", F.lit(f)) for f in range(k2)]
-    gv = F.array(*[F.col(f"sxm_{f}") - v[f] * F.col("xxm") + r2 * v[f] * n for f in range(k2)])
-    return per_feature.join(params.select("j", "w", "v"), "j").select(
-        "j", gw.alias("gw"), F.when(F.col("j") == 0, F.array().cast("array<double>")).otherwise(gv).alias("gv")
+    r0, r1, r2 = (f"{r!r}D" for r in cfg.reg)
+    gv = ", ".join(f"sxm_{f} - get(v, {f}) * xxm + {r2} * get(v, {f}) * n_rows" for f in range(k2))
+    return per_feature.join(params.select("j", "w", "v"), "j").selectExpr(
+        "j",
+        f"xm + if(j = 0, {r0}, {r1}) * w * n_rows AS gw",
+        f"if(j = 0, cast(array() AS array<double>), array({gv})) AS gv",
     )

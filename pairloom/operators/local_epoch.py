@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.config import CLASSIFICATION, FMConfig, ModelMeta
@@ -190,13 +190,11 @@ def _slot_columns(cfg: FMConfig) -> list[tuple[str, str]]:
     return [("w", "v")] + [(f"{slot}_w", f"{slot}_v") for slot in cfg.state_slots]
 
 
-def _packed(cfg: FMConfig) -> Column:
+def _packed(cfg: FMConfig) -> str:
     """A parameter row and its state as one array; the bias has zero factors."""
-    parts = []
-    for w, v in _slot_columns(cfg):
-        zeros = F.array_repeat(F.lit(0.0), cfg.k2)
-        parts += [F.array(F.coalesce(F.col(w), F.lit(0.0))), F.when(F.col("j") == 0, zeros).otherwise(F.col(v))]
-    return F.concat(*parts)
+    zeros = f"array_repeat(0D, {cfg.k2})"
+    parts = [f"array(coalesce({w}, 0D)), if(j = 0, {zeros}, {v})" for w, v in _slot_columns(cfg)]
+    return f"concat({', '.join(parts)})"
 
 
 def local_changes(
@@ -213,13 +211,9 @@ def local_changes(
         table = F.broadcast(params)
     sent = (
         needed.join(table, "j")
-        .select(
-            "slot", "shard",
-            F.lit(0).alias("step"),
-            F.col("j").cast("long").alias("row_id"),
-            F.lit(0.0).alias("label"),
-            F.array().cast("array<int>").alias("indices"),
-            _packed(cfg).alias("values"),
+        .selectExpr(
+            "slot", "shard", "0 AS step", "cast(j AS long) AS row_id", "0D AS label",
+            "cast(array() AS array<int>) AS indices", f"{_packed(cfg)} AS values",
         )
         .repartition(slots, "slot")
     )
@@ -239,16 +233,14 @@ def average_changes(params: DataFrame, changes: DataFrame, cfg: FMConfig) -> Dat
     """
     width = 1 + cfg.k2
     slots = _slot_columns(cfg)
-    shards = F.lit(float(cfg.num_shards))
-    mean = F.array(*[F.sum(F.get("change", F.lit(i))) / shards for i in range(width * len(slots))])
-    joined = params.join(changes.groupBy("j").agg(mean.alias("change")), "j", "left")
-    updated = {}
+    means = [f"sum(get(change, {i})) / {float(cfg.num_shards)!r}D" for i in range(width * len(slots))]
+    mean = changes.groupBy("j").agg(F.expr(f"array({', '.join(means)}) AS change"))
+    updated = []
     for i, (w, v) in enumerate(slots):
-        own = F.slice("change", i * width + 2, cfg.k2)
-        moved = F.zip_with(F.col(v), own, lambda a, b: a + b)
-        updated[w] = F.col(w) + F.coalesce(F.get("change", F.lit(i * width)), F.lit(0.0))
-        updated[v] = F.when((F.col("j") == 0) | F.col("change").isNull(), F.col(v)).otherwise(moved)
-    return joined.select("j", *[column.alias(name) for name, column in updated.items()])
+        own = f"slice(change, {i * width + 2}, {cfg.k2})"
+        updated.append(f"{w} + coalesce(get(change, {i * width}), 0D) AS {w}")
+        updated.append(f"if(j = 0 OR change IS NULL, {v}, zip_with({v}, {own}, (a, b) -> a + b)) AS {v}")
+    return params.join(mean, "j", "left").selectExpr("j", *updated)
 
 
 def local_epoch(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.config import CLASSIFICATION, FMConfig, ModelMeta
-from pairloom.functions.math import clip, logistic, sum_columns
+from pairloom.functions.math import clip, logistic
 from pairloom.operators.examples import shard_column
 from pairloom.operators.lookup import lookup
 
@@ -15,8 +15,9 @@ BROADCAST_LIMIT_BYTES = FMConfig.broadcast_limit_bytes
 
 def scoring_table(params: DataFrame, k2: int) -> DataFrame:
     """``j, w, v_0 .. v_{k2-1}, norm2`` with ``norm2`` the squared length of v."""
-    flat = params.select("j", "w", *[F.get("v", F.lit(f)).alias(f"v_{f}") for f in range(k2)])
-    return flat.withColumn("norm2", sum_columns([F.col(f"v_{f}") * F.col(f"v_{f}") for f in range(k2)]))
+    v = [f"get(v, {f}) AS v_{f}" for f in range(k2)]
+    norm2 = " + ".join(f"v_{f} * v_{f}" for f in range(k2))
+    return params.selectExpr("j", "w", *v, f"{norm2} AS norm2")
 
 
 def fits_broadcast(meta: ModelMeta, limit_bytes: int) -> bool:
@@ -69,33 +70,27 @@ def example_sums(
         long, scoring_table(params, meta.k2), "j",
         table_rows=meta.n_features + 1, row_bytes=scoring_row_bytes(meta), limit_bytes=limit_bytes, wanted=wanted,
     )
-    x = F.col("x")
-
-    def total(column):
-        return F.coalesce(F.sum(column), F.lit(0.0))
-
+    totals = {"linear": "w * x", "sum_sqr": "norm2 * x * x", **{f"s_{f}": f"v_{f} * x" for f in range(meta.k2)}}
     return attached.groupBy(*keys).agg(
-        total(F.col("w") * x).alias("linear"),
-        total(F.col("norm2") * x * x).alias("sum_sqr"),
-        *[total(F.col(f"v_{f}") * x).alias(f"s_{f}") for f in range(meta.k2)],
+        *[F.expr(f"coalesce(sum({term}), 0D) AS {name}") for name, term in totals.items()]
     )
 
 
+def _pairwise(k2: int) -> str:
+    squares = " + ".join(f"s_{f} * s_{f}" for f in range(k2))
+    return f"0.5D * ({squares} - sum_sqr)"
+
+
 def link(sums: DataFrame, meta: ModelMeta, keep_sums: bool = False) -> DataFrame:
     """``raw`` and ``score`` from the sums: probability, or value inside the label range."""
-    raw = F.col("linear") + F.lit(0.5) * (
-        sum_columns([F.col(f"s_{f}") * F.col(f"s_{f}") for f in range(meta.k2)]) - F.col("sum_sqr")
-    )
-    out = sums.withColumn("raw", raw)
+    factor_sums = [f"s_{f}" for f in range(meta.k2)]
+    kept = [c for c in sums.columns if c not in ("linear", "sum_sqr", *factor_sums)]
+    raw = sums.selectExpr(*kept, *(factor_sums if keep_sums else []), f"linear + {_pairwise(meta.k2)} AS raw")
     if meta.task == CLASSIFICATION:
-        out = out.withColumn("score", logistic(F.col("raw")))
-    else:
-        if meta.label_min is None or meta.label_max is None:
-            raise ValueError("regression scores need the label range of the training data")
-        out = out.withColumn("score", clip(F.col("raw"), meta.label_min, meta.label_max))
-    if keep_sums:
-        return out.drop("linear", "sum_sqr")
-    return out.drop("linear", "sum_sqr", *[f"s_{f}" for f in range(meta.k2)])
+        return raw.withColumn("score", logistic(F.col("raw")))
+    if meta.label_min is None or meta.label_max is None:
+        raise ValueError("regression scores need the label range of the training data")
+    return raw.withColumn("score", clip(F.col("raw"), meta.label_min, meta.label_max))
 
 
 def score(examples: DataFrame, params: DataFrame, meta: ModelMeta, *, keep_sums: bool = False, **how) -> DataFrame:
@@ -110,6 +105,5 @@ def linear_term(examples: DataFrame, params: DataFrame, meta: ModelMeta, **how)
 
 def pairwise_term(examples: DataFrame, params: DataFrame, meta: ModelMeta, **how) -> DataFrame:
     """``example_id, pairwise, s_0 ..``: half of sum_f s_f^2 minus sum of squares."""
-    s = [F.col(f"s_{f}") for f in range(meta.k2)]
-    pairwise = F.lit(0.5) * (sum_columns([c * c for c in s]) - F.col("sum_sqr"))
-    return example_sums(examples, params, meta, **how).select("example_id", pairwise.alias("pairwise"), *s)
+    sums = example_sums(examples, params, meta, **how)
+    return sums.selectExpr("example_id", f"{_pairwise(meta.k2)} AS pairwise", *[f"s_{f}" for f in range(meta.k2)])

@@ -75,7 +75,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--history")
     args = parser.parse_args(argv)
     cfg = job_config(int(args.epochs), args.optimizer, args.step_size)
-    spark = SparkSession.builder.appName("pairloom").getOrCreate()
+    spark = (
+        SparkSession.builder.appName("pairloom")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .getOrCreate()
+    )
     print(f"run {args.date}: {cfg}")
     result = run_job(spark, args.train, args.valid, args.export, cfg, args.history, on_epoch=print)
     result.samples.show(truncate=80)
