@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def gaussian(seed: int, j: Column, name: str) -> Column:
+def gaussian(seed: int, j: str, name: str) -> Column:
     """Standard normal draw that depends only on ``(seed, j, name)``.
 
     Two 32-bit uniforms come from one md5 digest and go through Box-Muller, so
-    the value is the same for every partitioning, retry and engine.
+    the value is the same for every partitioning, retry and engine. ``j`` is
+    the name of the column with the feature number.
     """
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), j.cast("string"), F.lit(name)))
-    u1 = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double")
-    u2 = F.conv(F.substring(digest, 9, 8), 16, 10).cast("double")
-    radius = F.sqrt(F.lit(-2.0) * F.log((u1 + F.lit(1.0)) / F.lit(4294967297.0)))
-    return radius * F.cos(F.lit(2.0 * math.pi) * u2 / F.lit(4294967296.0))
+    digest = f"md5(concat_ws('|', '{seed}', cast({j} AS string), '{name}'))"
+    u1, u2 = (f"cast(conv(substr({digest}, {start}, 8), 16, 10) AS double)" for start in (1, 9))
+    return F.expr(f"sqrt(-2D * ln(({u1} + 1D) / 4294967297D)) * cos(2D * pi() * {u2} / 4294967296D)")
 
 
 def logistic(z: Column) -> Column:

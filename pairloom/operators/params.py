@@ -21,8 +21,8 @@ def init_params(spark: SparkSession, n_features: int, cfg: FMConfig) -> DataFram
     """w and V from N(0, init_std^2), bias 0; absent terms are not stored."""
     j = F.col("j")
     std = F.lit(float(cfg.init_std))
-    v = F.array(*[gaussian(cfg.seed, j, f"v{f}") * std for f in range(cfg.k2)])
-    w = gaussian(cfg.seed, j, "w") * std if cfg.k1 else F.lit(None).cast("double")
+    v = F.array(*[gaussian(cfg.seed, "j", f"v{f}") * std for f in range(cfg.k2)])
+    w = gaussian(cfg.seed, "j", "w") * std if cfg.k1 else F.lit(None).cast("double")
     rows = spark.range(0 if cfg.k0 else 1, n_features + 1).select(F.col("id").cast("int").alias("j"))
     return rows.select(
         "j",

@@ -55,9 +55,12 @@ def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _prepare(key: tuple, tokens: DataFrame) -> Dataset:
     if key not in _prepared:
-        vocabulary = build_vocabulary(tokens.where(F.col("token").isNotNull()))
-        path = new_run_dir(tokens.sparkSession, "examples")
-        _prepared[key] = Dataset(write_table(indexed_examples(tokens, vocabulary), path), vocabulary.size)
+        # The tokens are stored, since numbering and indexing both need them.
+        run = new_run_dir(tokens.sparkSession, "examples")
+        stored = write_table(tokens, f"{run}/tokens")
+        vocabulary = build_vocabulary(stored.where(F.col("token").isNotNull()))
+        examples = write_table(indexed_examples(stored, vocabulary), f"{run}/examples")
+        _prepared[key] = Dataset(examples, vocabulary.size)
     return _prepared[key]
 
 
