@@ -86,7 +86,7 @@ def to_long(examples: DataFrame, keep: list[str] | None = None) -> DataFrame:
 def to_wide(long: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Long form back to one row per example; an example without rows is lost."""
     keep = keep if keep is not None else ["example_id", "label"]
-    pairs = F.array_sort(F.collect_list(F.struct("j", "x")))
+    pairs = F.sort_array(F.collect_list(F.struct("j", "x")))
     return (
         long.groupBy(*keep)
         .agg(pairs.alias("pairs"))

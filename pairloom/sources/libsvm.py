@@ -12,36 +12,41 @@ def parse_libsvm(lines: DataFrame) -> DataFrame:
     """Wide examples from ``lines(example_id, value)``.
 
     Blank lines and ``#`` lines are skipped. Zero values are dropped: they add
-    nothing to a score and the one-hot check would reject them. Indices that
-    are not ascending from 1 raise an error when the row is read.
+    nothing to a score and the one-hot check would reject them. A row whose
+    items are not ``index:value`` with indices ascending from 1 raises an
+    error when it is read. The items of a line are split and cast as whole
+    arrays, not one by one.
     """
-    line = F.trim(F.col("value"))
-    parts = F.split(line, r"\s+")
-    pairs = F.transform(
-        F.slice("parts", 2, F.size("parts") - 1),
-        lambda item: F.struct(
-            F.split_part(item, F.lit(":"), F.lit(1)).cast("int").alias("j"),
-            F.split_part(item, F.lit(":"), F.lit(2)).cast("double").alias("x"),
-        ),
+    read = (
+        lines.where(F.col("value").rlike(r"^\s*[^\s#]"))
+        .withColumn("line", F.trim(F.regexp_replace("value", r"\s+", " ")))
+        .withColumn("first", F.substring_index("line", " ", 1))
+        .withColumn("items", F.expr("substr(line, length(first) + 2)"))
+        .selectExpr(
+            "example_id", "line", "items", "cast(first AS double) AS label",
+            "if(items = '', array(), split(regexp_replace(items, ':[^ ]*', ''), ' ')) AS index_text",
+            "if(items = '', array(), split(regexp_replace(items, '[^ ]*:', ''), ' ')) AS value_text",
+        )
+        .selectExpr(
+            "example_id", "line", "items", "label",
+            "cast(index_text AS array<int>) AS given", "cast(value_text AS array<double>) AS numbers",
+        )
     )
-    ascending = (F.array_sort(F.array_distinct("indices")) == F.col("indices")) & (
-        F.coalesce(F.get("indices", F.lit(0)), F.lit(1)) >= 1
+    ascending = F.expr(
+        "coalesce(given = sort_array(array_distinct(given)) AND coalesce(get(given, 0), 1) >= 1"
+        " AND size(given) = length(items) - length(replace(items, ':', '')), false)"
     )
-    message = F.concat(F.lit("libsvm indices must ascend from 1: "), line)
-    checked = F.when(ascending, F.col("pairs")).otherwise(F.raise_error(message).cast("array<struct<j:int,x:double>>"))
-    nonzero = F.filter(checked, lambda p: p.x != F.lit(0.0))
-    return (
-        lines.where((line != "") & ~line.startswith("#"))
-        .withColumn("parts", parts)
-        .withColumn("pairs", pairs)
-        .withColumn("indices", F.col("pairs.j"))
-        .withColumn("kept", nonzero)
-        .select(
-            "example_id",
-            F.get("parts", F.lit(0)).cast("double").alias("label"),
-            F.col("kept.j").alias("indices"),
-            F.col("kept.x").alias("values"),
-        )
+    message = F.concat(F.lit("not index:value with indices ascending from 1: "), F.col("line"))
+    has_zero = F.expr("array_contains(numbers, 0D)")
+    kept = F.filter(F.arrays_zip("given", "numbers"), lambda p: p.numbers != F.lit(0.0))
+    return read.select(
+        "example_id",
+        "label",
+        F.when(~ascending, F.raise_error(message).cast("array<int>"))
+        .when(has_zero, kept["given"])
+        .otherwise(F.col("given"))
+        .alias("indices"),
+        F.when(has_zero, kept["numbers"]).otherwise(F.col("numbers")).alias("values"),
     )
 
 

@@ -58,7 +58,7 @@ def indexed_examples(tokens: DataFrame, vocabulary: Vocabulary, limit_bytes: int
         salted, vocabulary.frame, "token", table_rows=vocabulary.size, row_bytes=96, limit_bytes=limit_bytes
     )
     pair = F.when(F.col("j").isNotNull(), F.struct("j", "x"))
-    pairs = F.array_sort(F.collect_list(pair))
+    pairs = F.sort_array(F.collect_list(pair))
     return long.groupBy("example_id", "label").agg(pairs.alias("pairs")).select(
         "example_id", "label", F.col("pairs.j").alias("indices"), F.col("pairs.x").alias("values")
     )
