@@ -9,8 +9,10 @@ Packing needs only how many pieces there are of each length, a table of at most
 2. Configurations of these few sizes are optimised by column generation: a
    linear program over patterns, new patterns from a knapsack on the duals.
    Rounded-down pattern counts are used, the rest is filled best-fit.
-3. Real pieces take the rounded slots, longest first.
-4. Small lengths go best-fit, longest first, into what is left.
+3. Real pieces take the rounded slots, longest first. The smallest slot of a
+   configuration stays open: rounding left room beside it, so its pieces go
+   best-fit against the real room.
+4. Pieces of open slots, then small lengths, go best-fit, longest first.
 
 Bins that hold the same lengths are one class, so the plan is a list of runs:
 "pieces a to b of length l go to sequences s, s+1, .. at offset o". Pieces are
@@ -40,7 +42,7 @@ from pyspark.sql.window import Window
 from pairloom.llm.common import stored, texts
 
 # Lengths up to capacity // SMALL are small; the number of equal-cardinality groups.
-SMALL, GROUPS = 8, 48
+SMALL, GROUPS = 4, 48
 REMEMBERED, LONGEST = 200_000, 64
 # Pieces of one length are numbered in so many blocks at least.
 BLOCKS = 64
@@ -126,6 +128,8 @@ def grouped_bins(large: list[tuple[int, int]], capacity: int, groups: int) -> tu
     pools = list(merged.values())
     for bins, pattern in configurations(sizes, demand, capacity):
         slots = [i for i, n in enumerate(pattern.tolist()) for _ in range(n)]
+        if len(slots) > 1:
+            slots.remove(min(slots, key=lambda i: sizes[i]))
         while bins:
             # Every slot takes the longest piece left of its group; a run lasts while all lengths stay.
             wanted: dict[int, int] = {}
