@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pairloom.llm import batch_bpe, grouping_pack, token_counts
+from pairloom.llm import batch_bpe, grouping_pack, kd_shards, line_quality, oph_dedup, token_counts
 from pairloom.llm.common import read_table
 
 
@@ -22,6 +23,22 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality(read_table(spark, sf_dir, "documents"))
+
+
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kd_shards.kd_shards(read_table(spark, sf_dir, "documents"), shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_oph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    how = oph_dedup.NearDuplicates(width=3, percent=85, bands=40, rows=8)
+    return oph_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), how)
+
+
 def op9_grouping_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouping_pack.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -32,7 +49,12 @@ def op10_batch_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_line_quality": op3_line_quality,
+    "op4_kd_shards": op4_kd_shards,
+    "op8_oph_dedup": op8_oph_dedup,
     "op9_grouping_pack": op9_grouping_pack,
     "op10_batch_bpe": op10_batch_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_line_quality": line_quality.sql(),
+}
