@@ -20,8 +20,10 @@ dimensions aren't read.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import ceil
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,54 +43,58 @@ def coordinate(kind: str, x: Column) -> Column:
     return F.coalesce(x.cast("double"), F.lit(-1.0))
 
 
-def weighted_cuts(rows: DataFrame, fraction: dict[int, float]) -> dict[int, float]:
-    """Per node the value up to which the weights make up ``fraction`` of the node, as nearly as values allow.
+@dataclass(frozen=True)
+class Cut:
+    """The value in which a node's wanted weight is reached, the weight before it, and what it holds."""
 
-    ``rows``: ``node, x, weight``. The cut goes after the value whose cumulative
-    weight is nearest to the wanted one.
+    value: float
+    start: float
+    weight: float
+    documents: int
+
+
+def weighted_cuts(rows: DataFrame, bounds: dict[int, tuple[float, float, float]]) -> dict[int, Cut]:
+    """Exact weighted quantiles of many nodes at once.
+
+    ``rows``: ``node, x, weight``. ``bounds``: per node its smallest and largest ``x`` and
+    the wanted weight. One job per pass; a node ends when its bin holds one value.
     """
     spark = rows.sparkSession
-    bounds = {r["node"]: (r["low"], r["high"], r["total"]) for r in rows.groupBy("node").agg(
-        F.min("x").alias("low"), F.max("x").alias("high"), F.sum("weight").alias("total")).collect()}
-    cuts: dict[int, float] = {}
+    cuts: dict[int, Cut] = {}
     # node -> (low, high, weight below low, wanted weight)
-    open_ = {n: (lo, hi, 0.0, fraction[n] * total) for n, (lo, hi, total) in bounds.items()}
-    below: dict[int, float] = {}
+    open_ = {n: (low, high, 0.0, wanted) for n, (low, high, wanted) in bounds.items()}
     while open_:
-        ranges = spark.createDataFrame([(n, a, b) for n, (a, b, _, _) in open_.items()], "node long, low double, high double")
+        ranges = F.broadcast(spark.createDataFrame(
+            [(n, a, b, w - below) for n, (a, b, below, w) in open_.items()],
+            "node long, low double, high double, wanted double"))
         width = F.greatest((F.col("high") - F.col("low")) / BINS, F.lit(1e-300))
+        bin_ = F.least(F.floor((F.col("x") - F.col("low")) / width), F.lit(BINS - 1))
         sums = (
-            rows.join(F.broadcast(ranges), "node").where((F.col("x") >= F.col("low")) & (F.col("x") <= F.col("high")))
-            .groupBy("node", F.least(F.floor((F.col("x") - F.col("low")) / width), F.lit(BINS - 1)).alias("bin"))
-            .agg(F.sum("weight").alias("w"), F.min("x").alias("low"), F.max("x").alias("high")))
-        # The bin in which the wanted weight is reached, found without moving all sums to the driver.
-        wanted = spark.createDataFrame([(n, w - b) for n, (_, _, b, w) in open_.items()], "node long, wanted double")
+            rows.join(ranges, "node").where((F.col("x") >= F.col("low")) & (F.col("x") <= F.col("high")))
+            .groupBy("node", "wanted", bin_.alias("bin"))
+            .agg(F.sum("weight").alias("w"), F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")))
         upto = F.sum("w").over(Window.partitionBy("node").orderBy("bin"))
-        reached = sums.withColumn("upto", upto).join(F.broadcast(wanted), "node")
-        previous = reached.where(F.col("upto") - F.col("w") < F.col("wanted"))
-        last = previous.groupBy("node").agg(F.max(F.struct("bin", "low", "high", "w", "upto")).alias("b"))
-        lower = Window.partitionBy("node").orderBy("bin")
-        before = {r["node"]: r["high"] for r in reached.withColumn("next", F.lead("bin").over(lower)).join(
-            last.select("node", F.col("b.bin").alias("hit")), "node").where(F.col("next") == F.col("hit")).select("node", "high").collect()}
-        for r in last.collect():
-            node, b = r["node"], r["b"]
-            base, want = open_[node][2], open_[node][3]
-            if node in before:
-                below[node] = before[node]
-            start, end = base + b["upto"] - b["w"], base + b["upto"]
+        reached = sums.withColumn("upto", upto).where(F.col("upto") - F.col("w") < F.col("wanted"))
+        hit = reached.groupBy("node").agg(F.max(F.struct("bin", "low", "high", "w", "n", "upto")).alias("b"))
+        for node, b in hit.collect():
+            _, _, below, wanted = open_[node]
+            start = below + b["upto"] - b["w"]
             if b["low"] == b["high"]:
-                # Before or after this value, whichever is nearer; an empty side is left to the tie cut.
-                cuts[node] = b["low"] if end - want <= want - start or node not in below else below[node]
+                cuts[node] = Cut(b["low"], start, b["w"], b["n"])
                 del open_[node]
             else:
-                open_[node] = (b["low"], b["high"], start, want)
-        for node in [n for n in open_ if n not in {r for r in bounds}]:
-            del open_[node]
+                open_[node] = (b["low"], b["high"], start, wanted)
     return cuts
 
 
+def nearest(cut: Cut, wanted: float) -> float:
+    """The cut's value if its end is the nearer side of the wanted weight, else just before it."""
+    ahead = cut.start + cut.weight - wanted <= wanted - cut.start
+    return cut.value if ahead else float(np.nextafter(cut.value, -np.inf))
+
+
 def kd_shards(
-    docs: DataFrame, dimensions: tuple[str, ...] = ("source", "lang", "n_chars"), shards: int | None = None,
+    docs: DataFrame, dimensions: tuple[str, ...] = ("source", "lang", "doc_id"), shards: int | None = None,
     target_bytes: int = 256 << 20, text: str = "text", id_column: str = "doc_id",
 ) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot``; ``shards`` leaves, or as many as ``target_bytes`` needs."""
@@ -103,45 +109,47 @@ def kd_shards(
         F.lit(0).cast("long").alias("node")), "shards")
     axes = range(len(dimensions))
     spread = [F.struct(F.min(f"x{i}").alias("a"), F.max(f"x{i}").alias("b")).alias(f"r{i}") for i in axes]
-    if shards is None:
-        total = rows.agg(F.sum("size")).first()[0] or 0
-        shards = max(1, ceil(total / target_bytes))
-    whole = rows.agg(*spread).first()
-    scale = [((whole[i]["b"] or 0) - (whole[i]["a"] or 0)) or 1.0 for i in axes]
     spark = docs.sparkSession
+    whole = rows.agg(F.sum("size").alias("total"), *spread).first()
+    if shards is None:
+        shards = max(1, ceil((whole["total"] or 0) / target_bytes))
+    if whole["total"] is None:
+        return rows.selectExpr("doc_id", "size", "text_crc32", "0 as shard", "0L as slot")
+    scale = [(whole[f"r{i}"]["b"] - whole[f"r{i}"]["a"]) or 1.0 for i in axes]
     # node -> (first shard, number of shards)
     leaves, next_node = {0: (0, shards)}, 1
-    while any(n > 1 for _, n in leaves.values()):
-        ranges = {r["node"]: [(r[f"r{i}"]["b"] - r[f"r{i}"]["a"]) / scale[i] for i in axes] for r in rows.groupBy("node").agg(*spread).collect()}
-        splitting = {n: v for n, v in leaves.items() if v[1] > 1}
-        widest = {n: max(axes, key=lambda i: ranges[n][i]) if n in ranges else 0 for n in splitting}
-        fraction = {n: (k // 2) / k for n, (_, k) in splitting.items()}
+    while any(k > 1 for _, k in leaves.values()):
+        found = {r["node"]: r for r in rows.groupBy("node").agg(F.sum("size").alias("total"), *spread).collect()}
+        splitting = {n: v for n, v in leaves.items() if v[1] > 1 and n in found}
+        widest = {
+            n: max(axes, key=lambda i: (found[n][f"r{i}"]["b"] - found[n][f"r{i}"]["a"]) / scale[i]) for n in splitting}
+        wanted = {n: found[n]["total"] * (k // 2) / k for n, (_, k) in splitting.items()}
         axis = spark.createDataFrame([(n, widest[n]) for n in splitting], "node long, axis int")
-        along = F.coalesce(*[F.when(F.col("axis") == i, F.col(f"x{i}")) for i in axes])
-        active = rows.join(F.broadcast(axis), "node").withColumn("x", along)
-        cuts = weighted_cuts(active.select("node", "x", F.col("size").alias("weight")), fraction)
-        # Documents at the cut are divided by the tie hash, to meet the wanted bytes.
-        cut = spark.createDataFrame([(n, c) for n, c in cuts.items()], "node long, cut double")
-        sided = active.join(F.broadcast(cut), "node")
-        sums = {r["node"]: (r["low"] or 0, r["all"]) for r in sided.groupBy("node").agg(
-            F.sum(F.when(F.col("x") < F.col("cut"), F.col("size"))).alias("low"), F.sum("size").alias("all")).collect()}
-        at = sided.where("x = cut")
-        at_sum = {r["node"]: r["s"] for r in at.groupBy("node").agg(F.sum("size").alias("s")).collect()}
-        need = {n: min(1.0, max(0.0, (fraction[n] * a - lo) / at_sum[n])) for n, (lo, a) in sums.items()}
-        ties = weighted_cuts(at.select("node", F.col("tie").alias("x"), F.col("size").alias("weight")), need)
-        ties = {n: (t if 0 < need[n] < 1 else (-1.0 if need[n] <= 0 else float(TIE_RANGE))) for n, t in ties.items()}
-        made, halves = {}, []
+        x = F.coalesce(*[F.when(F.col("axis") == i, F.col(f"x{i}")) for i in axes])
+        active = rows.join(F.broadcast(axis), "node").withColumn("x", x)
+        cuts = weighted_cuts(
+            active.select("node", "x", F.col("size").alias("weight")),
+            {n: (found[n][f"r{i}"]["a"], found[n][f"r{i}"]["b"], wanted[n]) for n, i in widest.items()})
+        # Documents of the cut's value are divided by the tie hash; one document goes to the nearer side.
+        at = spark.createDataFrame([(n, c.value) for n, c in cuts.items() if c.documents > 1], "node long, cut double")
+        tie_cuts = {n: float(TIE_RANGE) if nearest(c, wanted[n]) == c.value else -1.0 for n, c in cuts.items() if c.documents == 1}
+        if len(tie_cuts) < len(cuts):
+            tied = active.join(F.broadcast(at), "node").where("x = cut").select("node", F.col("tie").alias("x"), F.col("size").alias("weight"))
+            inner = weighted_cuts(tied, {
+                n: (0.0, float(TIE_RANGE), wanted[n] - c.start) for n, c in cuts.items() if c.documents > 1})
+            tie_cuts |= {n: nearest(c, wanted[n] - cuts[n].start) for n, c in inner.items()}
+        made, moves = {}, []
         for n, (first, k) in splitting.items():
             made[next_node], made[next_node + 1] = (first, k // 2), (first + k // 2, k - k // 2)
-            halves.append((n, widest[n], float(cuts.get(n, 0.0)), float(ties.get(n, 0.0)), next_node))
+            moves.append((n, widest[n], cuts[n].value, tie_cuts[n], next_node))
             next_node += 2
-        moves = spark.createDataFrame(halves, "node long, axis int, cut double, tie_cut double, child long")
-        joined = rows.join(F.broadcast(moves), "node", "left")
-        x = F.coalesce(*[F.when(F.col("axis") == i, F.col(f"x{i}")) for i in axes])
+        joined = rows.join(F.broadcast(spark.createDataFrame(
+            moves, "node long, axis int, cut double, tie_cut double, child long")), "node", "left")
         left = (x < F.col("cut")) | ((x == F.col("cut")) & (F.col("tie") <= F.col("tie_cut")))
         moved = F.when(F.col("child").isNull(), F.col("node")).otherwise(F.col("child") + F.when(left, 0).otherwise(1))
         rows = stored(joined.withColumn("node", moved).select(*rows.columns), "shards")
-        leaves = {n: v for n, v in leaves.items() if v[1] == 1} | made
+        # A node without documents keeps its shards empty.
+        leaves = {n: v for n, v in leaves.items() if v[1] == 1 and n in found} | made
     place = spark.createDataFrame([(n, first) for n, (first, _) in leaves.items()], "node long, shard int")
     placed = rows.join(F.broadcast(place), "node").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(BLOCKS)))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import batch_bpe, grouping_pack, kd_shards, line_quality, oph_dedup, token_counts
+from pairloom.llm import batch_bpe, grouping_pack, hash_forest, kd_shards, line_quality, oph_dedup, token_counts
 from pairloom.llm.common import read_table
 
 
@@ -23,6 +23,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op2_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_forest.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality(read_table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_batch_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_hash_forest": op2_hash_forest,
     "op3_line_quality": op3_line_quality,
     "op4_kd_shards": op4_kd_shards,
     "op8_oph_dedup": op8_oph_dedup,
