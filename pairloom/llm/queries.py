@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import batch_bpe, grouping_pack, hash_forest, kd_shards, line_quality, oph_dedup, token_counts
+from pairloom.llm import (
+    batch_bpe, grouping_pack, hash_forest, hd_language, kd_shards, line_quality, oph_dedup, token_counts, toxic_segments,
+)
 from pairloom.llm.common import read_table
 
 
@@ -38,6 +40,16 @@ def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_hd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hd_language.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op6_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxic_segments.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxic_segments.score(docs, model).drop("passages")
+
+
 def op8_oph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     how = oph_dedup.NearDuplicates(width=3, percent=85, bands=40, rows=8)
     return oph_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), how)
@@ -56,6 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_hash_forest": op2_hash_forest,
     "op3_line_quality": op3_line_quality,
     "op4_kd_shards": op4_kd_shards,
+    "op5_hd_language": op5_hd_language,
+    "op6_toxic_segments": op6_toxic_segments,
     "op8_oph_dedup": op8_oph_dedup,
     "op9_grouping_pack": op9_grouping_pack,
     "op10_batch_bpe": op10_batch_bpe,
