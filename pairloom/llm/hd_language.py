@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.common import learning_row, stored, texts
 
-SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 UNDETERMINED = "und"
 GAP, UNSEEN = 0, 1
 # Trigram tables up to this many cells are addressed directly, larger ones by sorting.
@@ -152,8 +151,22 @@ def fit(
     return Profiles(alphabet, names, rows.astype(np.float32))
 
 
+def annotate(docs: DataFrame, model: Profiles, text: str = "text") -> DataFrame:
+    """``row`` (a struct of all columns of ``docs``), ``lang_pred, score`` of every row."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    return _labelled(rows, model, "row")
+
+
 def predict(docs: DataFrame, model: Profiles, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row."""
+    source = docs.select(
+        F.struct(F.col(id_column).cast("long").alias("doc_id"), (~learning_row(F.col(id_column))).alias("held_out")).alias("row"),
+        F.col(text).alias("text"))
+    return _labelled(source, model, "row").select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
+def _labelled(source: DataFrame, model: Profiles, carried: str) -> DataFrame:
+    """``carried, lang_pred, score`` of a table with ``carried, text``."""
     size = model.prototypes.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,12 +182,10 @@ def predict(docs: DataFrame, model: Profiles, text: str = "text", id_column: str
                     found.append(model.languages[b] if known[i] else UNDETERMINED)
                     scores.append(min(1.0, max(0.0, float(cosines[i, b]))) if known[i] else 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["held_out"], pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score"])
+                [batch[carried], pa.array(found, pa.string()), pa.array(scores, pa.float64())], [carried, "lang_pred", "score"])
 
-    source = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), (~learning_row(F.col(id_column))).alias("held_out"), F.col(text).alias("text"))
-    return source.mapInArrow(run, SCHEMA)
+    kind = source.schema[carried].dataType.simpleString()
+    return source.mapInArrow(run, f"{carried} {kind}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, **names: str) -> DataFrame:

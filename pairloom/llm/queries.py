@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import (
-    batch_bpe, grouping_pack, hash_forest, hd_language, kd_shards, line_quality, oph_dedup, token_counts, toxic_segments,
+    batch_bpe, grouping_pack, hash_forest, hd_language, kd_shards, line_quality, oph_dedup, pii_labelers, token_counts,
+    toxic_segments,
 )
 from pairloom.llm.common import read_table
 
@@ -50,6 +51,10 @@ def op6_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_segments.score(docs, model).drop("passages")
 
 
+def op7_pii_labelers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_labelers.personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op8_oph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     how = oph_dedup.NearDuplicates(width=3, percent=85, bands=40, rows=8)
     return oph_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), how)
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_kd_shards": op4_kd_shards,
     "op5_hd_language": op5_hd_language,
     "op6_toxic_segments": op6_toxic_segments,
+    "op7_pii_labelers": op7_pii_labelers,
     "op8_oph_dedup": op8_oph_dedup,
     "op9_grouping_pack": op9_grouping_pack,
     "op10_batch_bpe": op10_batch_bpe,
