@@ -97,7 +97,10 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "places", F.expr("sort_array(transform(repeated, x -> x & (shiftleft(1L, bits) - 1)))"))
     covered = F.expr(
         "aggregate(places, named_struct('n', 0L, 'last', -3L), (a, p) -> named_struct('n', a.n + least(3L, p - a.last), 'last', p), a -> a.n)")
-    return places.withColumn("n_repeat_words", covered).drop("sorted", "bits", "repeated", "places")
+    # A filter on the result is not pushed through a non-deterministic column. Else the
+    # window expressions would be copied into it, and evaluated once per use and element.
+    return places.withColumn("n_repeat_words", covered).withColumn("place", F.monotonically_increasing_id()).drop(
+        "sorted", "bits", "repeated", "places")
 
 
 def quality(
@@ -111,7 +114,7 @@ def quality(
     size = frequent.agg(F.count("*"), F.max(F.size("frequent")), F.max(F.octet_length("host"))).first()
     hosts = small(frequent, size[0], 64 + 8 * (size[1] or 0) + (size[2] or 0))
     counted = base_counts(source).select(
-        "doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", "host", "place", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.transform("lines", lambda x: F.struct(line_hash(x).alias("h"), F.size(words_of(x)).alias("n"))).alias("lines"))
     joined = counted.join(hosts, "host", "left").withColumn(
         "removed", F.expr("filter(lines, x -> array_contains(coalesce(frequent, array()), x.h))"))
@@ -120,7 +123,7 @@ def quality(
     return joined.select(
         "doc_id", *[F.col(c).cast("long").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         failed.alias("base_failed"),
-        (~failed & (left >= limits.left * F.col("n_words"))).alias("kept"),
+        (~failed & (left >= limits.left * F.col("n_words")) & (F.col("place") >= 0)).alias("kept"),
         F.size("removed").cast("long").alias("n_removed_lines"), left.cast("long").alias("n_left_words"))
 
 

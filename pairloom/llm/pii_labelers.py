@@ -251,7 +251,7 @@ def mask(docs: DataFrame, threshold: float = 0.5, text: str = "text") -> DataFra
     # The text travels with its spans, so that repeated or missing ids need no join.
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
     spans = candidates(rows, "text", "row")
-    found = decided(spans, threshold)
+    found = decided(spans, threshold).withColumnRenamed("doc_id", "row")
     body = F.col(f"row.{text}")
     start = F.named_struct(F.lit("out"), F.lit(""), F.lit("at"), F.lit(0))
 
