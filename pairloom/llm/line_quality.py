@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pairloom.llm.common import small, stored, words_of
 
 BLANKS = " \t\n\x0b\f\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]+"
 
 
 @dataclass(frozen=True)
@@ -44,10 +44,20 @@ class LineLimits:
     left: float = 0.5
 
 
-def line_hash(line: Column) -> Column:
-    """60 bits of the md5 of the normalised line."""
-    normal = F.regexp_replace(F.regexp_replace(F.lower(F.btrim(line, F.lit(BLANKS))), "[ \\t-\\r]+", " "), "[0-9]+", "0")
-    return F.conv(F.substring(F.md5(normal), 1, 15), 16, 10).cast("long")
+def normal(line: Column) -> Column:
+    """Trimmed, in lower case, runs of white space as one space."""
+    return F.regexp_replace(F.lower(F.btrim(line, F.lit(BLANKS))), "[ \\t-\\r]+", " ")
+
+
+def line_hash(normal_line: Column) -> Column:
+    """60 bits of the md5 of a normalised line, digit runs as 0."""
+    return F.conv(F.substring(F.md5(F.regexp_replace(normal_line, "[0-9]+", "0")), 1, 15), 16, 10).cast("long")
+
+
+def hashed_lines(lines: Column) -> Column:
+    """Hash and number of words of every line."""
+    n = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1
+    return F.transform(F.transform(lines, normal), lambda x: F.struct(line_hash(x).alias("h"), n(x).alias("n")))
 
 
 def lines_of(text: Column) -> Column:
@@ -56,11 +66,10 @@ def lines_of(text: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, limits: LineLimits) -> DataFrame:
-    """``host, frequent`` (array of line hashes) of a table with ``host, text``."""
-    hashed = docs.select("host", F.array_distinct(F.transform(lines_of(F.col("text")), line_hash)).alias("lines")).where(
-        "size(lines) > 0")
+    """``host, frequent`` (array of line hashes) of a table with ``host, lines`` (array of structs with hash ``h``)."""
     # A document's sketch: its two smallest line hashes.
-    sketched = hashed.withColumn("sketch", F.xxhash64(F.slice(F.sort_array("lines"), 1, 2)))
+    lines = docs.where("size(lines) > 0").select("host", F.array_sort(F.array_distinct("lines.h")).alias("lines"))
+    sketched = lines.withColumn("sketch", F.xxhash64(F.slice("lines", 1, 2)))
     documents = sketched.groupBy("host", "sketch").count().groupBy("host").agg(F.count("*").alias("documents"))
     counted = (
         sketched.select("host", "sketch", F.explode("lines").alias("line"))
@@ -83,8 +92,8 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "transform(sequence(0, n_words - 3), i -> shiftleft(xxhash64(words[i], words[i + 1], words[i + 2]), bits) | i)")
     counted = split.select(
         *docs.columns, "words", "lines", n.alias("n_words"), bits.alias("bits"),
-        F.length(F.translate(text, BLANKS, "")).alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).alias("n_symbols"),
+        F.length(F.regexp_replace(text, "[ \\t-\\r]+", "")).alias("word_chars"),
+        (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"))
     windows = counted.select(
         *[c for c in counted.columns if c != "words"],
@@ -97,10 +106,14 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "places", F.expr("sort_array(transform(repeated, x -> x & (shiftleft(1L, bits) - 1)))"))
     covered = F.expr(
         "aggregate(places, named_struct('n', 0L, 'last', -3L), (a, p) -> named_struct('n', a.n + least(3L, p - a.last), 'last', p), a -> a.n)")
-    # A filter on the result is not pushed through a non-deterministic column. Else the
-    # window expressions would be copied into it, and evaluated once per use and element.
-    return places.withColumn("n_repeat_words", covered).withColumn("place", F.monotonically_increasing_id()).drop(
-        "sorted", "bits", "repeated", "places")
+    return places.withColumn("n_repeat_words", covered).drop("sorted", "bits", "repeated", "places")
+
+
+def frequent_of(docs: DataFrame, limits: LineLimits) -> DataFrame:
+    """Boilerplate per host, stored, with a broadcast hint if it is small."""
+    frequent = stored(boilerplate(docs, limits), "boilerplate")
+    size = frequent.agg(F.count("*"), F.max(F.size("frequent")), F.max(F.octet_length("host"))).first()
+    return small(frequent, size[0], 64 + 8 * (size[1] or 0) + (size[2] or 0))
 
 
 def quality(
@@ -110,20 +123,18 @@ def quality(
     source = docs.select(
         F.col(id_column).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
         F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")).alias("host"))
-    frequent = stored(boilerplate(source, limits), "boilerplate")
-    size = frequent.agg(F.count("*"), F.max(F.size("frequent")), F.max(F.octet_length("host"))).first()
-    hosts = small(frequent, size[0], 64 + 8 * (size[1] or 0) + (size[2] or 0))
-    counted = base_counts(source).select(
-        "doc_id", "host", "place", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        F.transform("lines", lambda x: F.struct(line_hash(x).alias("h"), F.size(words_of(x)).alias("n"))).alias("lines"))
-    joined = counted.join(hosts, "host", "left").withColumn(
+    # Read once: counts and line hashes are stored, and a later filter can't copy the window expressions.
+    counted = stored(base_counts(source).select(
+        "doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        hashed_lines(F.col("lines")).alias("lines")), "lines")
+    joined = counted.join(frequent_of(counted, limits), "host", "left").withColumn(
         "removed", F.expr("filter(lines, x -> array_contains(coalesce(frequent, array()), x.h))"))
     left = F.col("n_words") - F.expr("aggregate(removed, 0L, (a, x) -> a + x.n)")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return joined.select(
         "doc_id", *[F.col(c).cast("long").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         failed.alias("base_failed"),
-        (~failed & (left >= limits.left * F.col("n_words")) & (F.col("place") >= 0)).alias("kept"),
+        (~failed & (left >= limits.left * F.col("n_words"))).alias("kept"),
         F.size("removed").cast("long").alias("n_removed_lines"), left.cast("long").alias("n_left_words"))
 
 
@@ -131,13 +142,13 @@ def clean_text(
     docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "text", host: str = "source",
 ) -> DataFrame:
     """``docs`` with lines above the limits removed from the text; null text stays null."""
-    source = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")).alias("host"))
-    frequent = stored(boilerplate(source, limits), "boilerplate").select(F.col("host").alias("_host"), F.col("frequent").alias("_frequent"))
-    size = frequent.agg(F.count("*"), F.max(F.size("_frequent")), F.max(F.octet_length("_host"))).first()
     keyed = docs.withColumn("_host", F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")))
-    joined = keyed.join(small(frequent, size[0], 64 + 8 * (size[1] or 0) + (size[2] or 0)), "_host", "left")
+    hashed = stored(keyed.select(F.col("_host").alias("host"), hashed_lines(
+        lines_of(F.coalesce(F.col(text), F.lit("")))).alias("lines")), "lines")
+    frequent = frequent_of(hashed, limits).select(F.col("host").alias("_host"), F.col("frequent").alias("_frequent"))
+    joined = keyed.join(frequent, "_host", "left")
     none = F.array().cast("array<bigint>")
-    kept = F.filter(F.split(F.col(text), "\n"), lambda x: ~F.array_contains(F.coalesce("_frequent", none), line_hash(x)))
+    kept = F.filter(F.split(F.col(text), "\n"), lambda x: ~F.array_contains(F.coalesce("_frequent", none), line_hash(normal(x))))
     return joined.withColumn(text, F.array_join(kept, "\n")).select(*docs.columns)
 
 

@@ -108,8 +108,15 @@ def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
     values[of[first]], filled[of[first]] = hashes[first], True
     empty = np.flatnonzero(~filled)
     if len(empty):
-        order = borrowing(bins)[empty]
-        values[empty] = values[order[np.arange(len(empty)), filled[order].argmax(axis=1)]]
+        # Most find a filled bin among the first few; the rest ask on.
+        for asked in (16, bins):
+            order = borrowing(bins)[empty, :asked]
+            hit = filled[order]
+            found = hit.any(axis=1)
+            values[empty[found]] = values[order[found, hit[found].argmax(axis=1)]]
+            empty = empty[~found]
+            if not len(empty):
+                break
     grid = values.reshape(bands, rows)
     key = np.arange(bands, dtype=np.uint64)
     for i in range(rows):
