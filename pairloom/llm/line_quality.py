@@ -8,7 +8,8 @@ as one space, digit runs as 0) and hashed. Per host and line the distinct
 documents are counted; documents whose two smallest line hashes agree are copies
 and count as one. A line is boilerplate if its count is above ``min_documents``
 and above ``share`` of the host's distinct documents, and if no one set of copies makes up most of its
-occurrences (then it is repeated content, which deduplication handles). Lines
+occurrences (then it is repeated content, which deduplication handles; pages with
+hardly a line of their own count as such copies too). Lines
 above the limits are removed; a document is depleted, and rejected, if fewer
 than ``left`` of its words remain.
 
@@ -67,9 +68,10 @@ def lines_of(text: Column) -> Column:
 
 def boilerplate(docs: DataFrame, limits: LineLimits) -> DataFrame:
     """``host, frequent`` (array of line hashes) of a table with ``host, lines`` (array of structs with hash ``h``)."""
-    # A document's sketch: its two smallest line hashes.
+    # A document's sketch: its two smallest and two largest line hashes.
     lines = docs.where("size(lines) > 0").select("host", F.array_sort(F.array_distinct("lines.h")).alias("lines"))
-    sketched = lines.withColumn("sketch", F.xxhash64(F.slice("lines", 1, 2)))
+    sketched = lines.withColumn("sketch", F.xxhash64(
+        F.slice("lines", 1, 2), F.slice(F.reverse("lines"), 1, 2)))
     documents = sketched.groupBy("host", "sketch").count().groupBy("host").agg(F.count("*").alias("documents"))
     counted = (
         sketched.select("host", "sketch", F.explode("lines").alias("line"))
@@ -162,7 +164,7 @@ lines AS (
   FROM (SELECT rid, host, unnest(string_split(text, E'\n')) AS line FROM docs)
   WHERE regexp_matches(line, '[^ \t-\r]')),
 pairs AS (SELECT DISTINCT rid, host, h FROM lines),
-sketches AS (SELECT rid, host, list_sort(list(h))[1:2] AS sketch FROM pairs GROUP BY ALL),
+sketches AS (SELECT rid, host, [list_sort(list(h))[1:2], list_reverse_sort(list(h))[1:2]] AS sketch FROM pairs GROUP BY ALL),
 hosts AS (SELECT host, count(DISTINCT sketch) AS documents FROM sketches GROUP BY host),
 counted AS (
   SELECT host, h, count(*) AS n, max(c) AS most, sum(c) AS occurrences FROM (
