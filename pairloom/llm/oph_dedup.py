@@ -198,9 +198,9 @@ def near_duplicates(
         # Buckets whose members lie in several components and that have had fewer centres than members.
         named_members = buckets.join(labels, "id", "left").select(
             "bucket", "id", "n", "m", F.coalesce("label", "id").alias("label"))
-        # Each bucket's centres so far: those whose priority was below share / m.
-        if share > 1:
-            named_members = named_members.where(F.col("m") > share)
+        # Each bucket's centres so far: its smallest id, and those whose priority was below share / m.
+        # A bucket of two is settled by its star.
+        named_members = named_members.where(F.col("m") > max(share, 2))
         split = named_members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
         split = stored(split.select("bucket"), "split")
         if split.isEmpty():
@@ -208,9 +208,15 @@ def near_duplicates(
         share *= 4
         open_ = stored(named_members.join(split, "bucket", "left_semi"), "open")
         priority = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        centres = open_.where(priority * F.col("m") < share).select(
-            "bucket", F.col("id").alias("c"), F.col("n").alias("nc"), F.col("label").alias("lc"))
-        new = open_.join(centres, "bucket").where((F.col("label") != F.col("lc")) & near_size("n", "nc")).select(
+        centre = priority * F.col("m") < share
+        # At most `bands` buckets per member: a pair is made in the first bucket where one is the other's centre.
+        of_id = open_.groupBy("id").agg(
+            F.collect_list("bucket").alias("in"), F.collect_list(F.when(centre, F.col("bucket"))).alias("leads"))
+        open_ = open_.join(of_id, "id")
+        centres = open_.where(centre).select(
+            "bucket", F.col("id").alias("c"), F.col("n").alias("nc"), F.col("label").alias("lc"), F.col("leads").alias("theirs"))
+        new = open_.join(centres, "bucket").where((F.col("label") != F.col("lc")) & near_size("n", "nc") & (
+            F.array_min(F.array_intersect("in", "theirs")) == F.col("bucket"))).select(
             F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
         for old in tested:
             new = new.join(old, ["a", "b"], "left_anti")
