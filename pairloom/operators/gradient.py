@@ -23,10 +23,12 @@ def gradient(sharded: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConf
     joined afterwards, to one row per feature.
     """
     k2 = meta.k2
+    # Ids may repeat across splits.
+    keys = [c for c in ("slot", "split", "example_id") if c in sharded.columns]
     scored = residuals(sharded, params, meta, **how).select(
-        "slot", "example_id", "residual", *[f"s_{f}" for f in range(k2)]
+        *keys, "residual", *[f"s_{f}" for f in range(k2)]
     )
-    rows = sharded.select("slot", "example_id", "indices", "values").join(scored, ["slot", "example_id"])
+    rows = sharded.select(*keys, "indices", "values").join(scored, keys)
     indices, values = with_bias(meta)
     long = rows.select(
         "residual", *[f"s_{f}" for f in range(k2)],

@@ -102,6 +102,8 @@ def _waves(batch: pa.RecordBatch, known: np.ndarray, n_features: int, with_bias:
     j, x = indices.flatten().to_numpy(), batch.column("values").flatten().to_numpy()
     lengths = indices.value_lengths().to_numpy()
     bounds = np.r_[0, np.cumsum(lengths)]
+    if len(j) and (j.min() < 1 or j.max() > n_features):
+        raise ValueError(f"an example uses a feature outside 1 to {n_features}")
     if with_bias:
         j, x = np.insert(j, bounds[:-1], 0), np.insert(x, bounds[:-1], 1.0)
         lengths, bounds = lengths + 1, bounds + np.arange(len(bounds))

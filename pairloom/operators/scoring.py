@@ -58,7 +58,8 @@ def example_sums(
     Examples placed by ``assign_shard`` are moved by neither join nor
     aggregation; others are aggregated to one row each before they move.
     """
-    if "slot" not in examples.columns and not fits_broadcast(meta, limit_bytes):
+    own_slot = "slot" not in examples.columns and not fits_broadcast(meta, limit_bytes)
+    if own_slot:
         slots = int(examples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         numbered = examples.withColumn("slot", shard_column(slots, "hash"))
         wanted = wanted_features(numbered, meta)
@@ -71,9 +72,11 @@ def example_sums(
         table_rows=meta.n_features + 1, row_bytes=scoring_row_bytes(meta), limit_bytes=limit_bytes, wanted=wanted,
     )
     totals = {"linear": "w * x", "sum_sqr": "norm2 * x * x", **{f"s_{f}": f"v_{f} * x" for f in range(meta.k2)}}
-    return attached.groupBy(*keys).agg(
+    sums = attached.groupBy(*keys).agg(
         *[F.expr(f"coalesce(sum({term}), 0D) AS {name}") for name, term in totals.items()]
     )
+    # A slot made here is internal: the columns are the same at every model size.
+    return sums.drop("slot") if own_slot else sums
 
 
 def _pairwise(k2: int) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pairloom.config import REGRESSION, FMConfig, ModelMeta
-from pairloom.operators.describe import check_examples, feature_dim, label_range
+from pairloom.operators.describe import check_dimension, check_examples, feature_dim, label_range
 from pairloom.operators.evaluation import metrics
 from pairloom.operators.examples import assign_shard, binarise_label, default_slots, number_steps
 from pairloom.operators.local_epoch import local_epoch, needed_features
@@ -112,6 +112,8 @@ def _fit(train, valid, cfg, params, n_features, on_epoch) -> FMModel:
         n = n_features or feature_dim(train)
         low, high = label_range(train).first() if cfg.task == REGRESSION else (None, None)
         meta = ModelMeta.of(cfg, n, low, high)
+        if n_features:
+            check_dimension(train, meta)
         wanted = None
         if not fits_broadcast(meta, cfg.broadcast_limit_bytes):
             wanted = wanted_features(both, meta).persist(StorageLevel.MEMORY_AND_DISK)

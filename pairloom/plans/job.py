@@ -19,8 +19,6 @@ from pairloom.sources.history import history_line, write_history
 from pairloom.sources.libsvm import read_libsvm
 from pairloom.sources.model_text import write_params_text
 
-MAX_EPOCHS = 100
-
 
 @dataclass(frozen=True)
 class JobResult:
@@ -33,7 +31,7 @@ class JobResult:
 def job_config(epochs: int, optimizer: str, step_size: float) -> FMConfig:
     """Settings of the job: classification, 8 factors, L2 on the factors only, 256 shards."""
     return FMConfig(
-        task=1, optimizer=optimizer, step_size=step_size, epochs=min(int(epochs), MAX_EPOCHS),
+        task=1, optimizer=optimizer, step_size=step_size, epochs=epochs,
         k0=True, k1=True, k2=8, reg=(0.0, 0.0, 0.001), init_std=0.1, num_shards=256,
     )
 
@@ -66,7 +64,7 @@ def run_job(
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Train a factorization machine on libsvm files.")
     parser.add_argument("date", help="label of the run, printed only")
-    parser.add_argument("epochs", type=float)
+    parser.add_argument("epochs", type=int)
     parser.add_argument("optimizer", help="sgd, adam or rmsprop")
     parser.add_argument("step_size", type=float)
     parser.add_argument("--train", required=True)
@@ -74,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--export", required=True)
     parser.add_argument("--history")
     args = parser.parse_args(argv)
-    cfg = job_config(int(args.epochs), args.optimizer, args.step_size)
+    cfg = job_config(args.epochs, args.optimizer, args.step_size)
     spark = (
         SparkSession.builder.appName("pairloom")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -84,7 +82,7 @@ def main(argv: list[str] | None = None) -> None:
     result = run_job(spark, args.train, args.valid, args.export, cfg, args.history, on_epoch=print)
     result.samples.show(truncate=80)
     result.description.show()
-    result.model.history.select(history_line(cfg.task).alias("history")).show(MAX_EPOCHS + 1, truncate=False)
+    result.model.history.select(history_line(cfg.task).alias("history")).show(cfg.epochs + 1, truncate=False)
     result.final_means.show()
 
 

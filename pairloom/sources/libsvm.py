@@ -14,7 +14,7 @@ def parse_libsvm(lines: DataFrame) -> DataFrame:
     Blank lines and ``#`` lines are skipped. Zero values are dropped: they add
     nothing to a score and the one-hot check would reject them. A row whose
     items are not ``index:value`` with indices ascending from 1 raises an
-    error when it is read. The items of a line are split and cast as whole
+    error when it is read, with ANSI mode on or off. The items of a line are split and cast as whole
     arrays, not one by one.
     """
     read = (
@@ -23,25 +23,26 @@ def parse_libsvm(lines: DataFrame) -> DataFrame:
         .withColumn("first", F.substring_index("line", " ", 1))
         .withColumn("items", F.expr("substr(line, length(first) + 2)"))
         .selectExpr(
-            "example_id", "line", "items", "cast(first AS double) AS label",
+            "example_id", "line", "items", "try_cast(first AS double) AS label",
             "if(items = '', array(), split(regexp_replace(items, ':[^ ]*', ''), ' ')) AS index_text",
             "if(items = '', array(), split(regexp_replace(items, '[^ ]*:', ''), ' ')) AS value_text",
         )
         .selectExpr(
             "example_id", "line", "items", "label",
-            "cast(index_text AS array<int>) AS given", "cast(value_text AS array<double>) AS numbers",
+            "try_cast(index_text AS array<int>) AS given", "try_cast(value_text AS array<double>) AS numbers",
         )
     )
     ascending = F.expr(
         "coalesce(given = sort_array(array_distinct(given)) AND coalesce(get(given, 0), 1) >= 1"
-        " AND size(given) = length(items) - length(replace(items, ':', '')), false)"
+        " AND size(given) = length(items) - length(replace(items, ':', ''))"
+        " AND NOT exists(given, i -> i IS NULL) AND NOT exists(numbers, x -> x IS NULL) AND label IS NOT NULL, false)"
     )
     message = F.concat(F.lit("not index:value with indices ascending from 1: "), F.col("line"))
     has_zero = F.expr("array_contains(numbers, 0D)")
     kept = F.filter(F.arrays_zip("given", "numbers"), lambda p: p.numbers != F.lit(0.0))
     return read.select(
         "example_id",
-        "label",
+        F.when(F.col("label").isNull(), F.raise_error(message).cast("double")).otherwise(F.col("label")).alias("label"),
         F.when(~ascending, F.raise_error(message).cast("array<int>"))
         .when(has_zero, kept["given"])
         .otherwise(F.col("given"))

@@ -117,7 +117,7 @@ def test_job(spark, tmp_path):
     write_libsvm(frame(spark, train), str(tmp_path / "train"))
     write_libsvm(frame(spark, valid), str(tmp_path / "valid"))
     cfg = job.job_config(2, "Adam", 0.05).with_(num_shards=4)
-    assert job.job_config(500, "sgd", 0.1).epochs == 100
+    assert job.job_config(500, "sgd", 0.1).epochs == 500
     result = job.run_job(
         spark, str(tmp_path / "train"), str(tmp_path / "valid"), str(tmp_path / "model"), cfg, str(tmp_path / "history")
     )
