@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import (
-    batch_bpe, displacement_fim, grouping_pack, hash_forest, hd_language, kd_shards, line_quality, oph_dedup, pii_labelers,
-    token_counts, toxic_segments, winnowing,
+    batch_bpe, block_search, displacement_fim, grouping_pack, hash_forest, hd_language, kd_shards, line_quality, oph_dedup,
+    pii_labelers, token_counts, toxic_segments, winnowing,
 )
 from pairloom.llm.common import read_table
 
@@ -68,6 +68,10 @@ def op10_batch_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_bpe.encode_digests(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op11_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -87,11 +91,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_oph_dedup": op8_oph_dedup,
     "op9_grouping_pack": op9_grouping_pack,
     "op10_batch_bpe": op10_batch_bpe,
+    "op11_block_search": op11_block_search,
     "op12_winnowing": op12_winnowing,
     "op13_displacement_fim": op13_displacement_fim,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_line_quality": line_quality.sql(),
+    "op11_block_search": block_search.sql(),
     "op12_winnowing": winnowing.sql(),
     "op13_displacement_fim": displacement_fim.sql(),
 }
