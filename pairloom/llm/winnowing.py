@@ -9,6 +9,7 @@ as far as any window around the hash, the union of the extended hits with ``wind
 union of all shared windows. An item of fewer words is one window: its whole hash, joined with all
 runs of that length.
 
+Texts are worked on in overlapping stretches of bounded length, so a very long or repetitive one needs no more memory at a time.
 All of it is DataFrame expressions. The benchmark side is split by a hash into parts whose measured
 size allows a broadcast, so documents are not shuffled, however common a passage is; what is shuffled is one row per document
 and one per hit, keyed by document.
@@ -32,6 +33,8 @@ from pairloom.llm.common import BROADCAST_BYTES, stored
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Rows that documents without a hit meet in the join, so that none is a hot key.
 SALTS = 256
+# Words of a text that are worked on at a time.
+STRETCH = 1000
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -134,7 +137,13 @@ def shared_spans(
     table, short = contexts(items, how, item_text, item_id)
     spark = docs.sparkSession
     read = docs.select(F.col(id_column).alias("doc_id"), F.sha2(F.col(text), 256).alias("digest"), words_of(F.col(text)).alias("words"))
-    read = read.withColumn("n_words", F.size("words").cast("long"))
+    # Every window lies whole in the stretch in which it starts.
+    stretches = F.expr(
+        f"transform(sequence(0, greatest(size(words) - 1, 0), {STRETCH}), i -> "
+        f"struct(i AS base, slice(words, i + 1, {STRETCH + how.window - 1}) AS words))")
+    read = read.select(
+        "doc_id", "digest", F.size("words").cast("long").alias("n_words"), F.explode_outer(stretches).alias("part")).select(
+        "doc_id", "digest", "n_words", "part.base", "part.words")
     own = ["doc_id", "digest", "n_words"]
     before, middle, after = _surroundings("i.n", how.reach)
     # Each document also sends one row of its own, which meets one of `SALTS` rows of the first part, of no words.
@@ -145,12 +154,12 @@ def shared_spans(
     def hits(side: DataFrame, first: bool) -> DataFrame:
         printed = with_fingerprints(read, how, short, False)
         if first:
-            printed = printed.withColumn("prints", F.expr(f"concat(prints, {own_row})"))
+            printed = printed.withColumn("prints", F.expr(f"if(base = 0, concat(prints, {own_row}), prints)"))
         # Outer, as the filter that Spark derives from an inner one would compute the hashes once more for each use.
-        d = printed.select(*own, "words", F.explode_outer("prints").alias("print")).selectExpr(*own, "words", HASH, PLACE)
+        d = printed.select(*own, "base", "words", F.explode_outer("prints").alias("print")).selectExpr(*own, "base", "words", HASH, PLACE)
         # Only the surroundings leave the join, never all words of a text.
         near = d.join(side.withColumnRenamed("h", "ih").alias("i"), F.expr("h = ih")).select(
-            *own, "at", "cid", "need", "n", F.expr(f"at = {OWN} AND n = 0").alias("itself"), F.col("i.before").alias("ib"),
+            *own, "base", "at", "cid", "need", "n", F.expr(f"at = {OWN} AND n = 0").alias("itself"), F.col("i.before").alias("ib"),
             F.col("i.middle").alias("im"), F.col("i.after").alias("ia"),
             *[F.expr(f"if(at = {OWN}, NULL, {x})").alias(c) for x, c in ((before, "b"), (middle, "m"), (after, "a"))])
         same = "transform(zip_with({0}, {1}, (x, y) -> x = y), e -> coalesce(e, false))"
@@ -161,20 +170,19 @@ def shared_spans(
         # Misses stay as nulls: a filter here would move below the columns it reads and compute them again.
         return hit.select(
             *own, "itself", F.expr("if(hit, cid, NULL)").alias("cid"),
-            F.expr("if(hit, struct(at - lead AS start, at + n + trail AS end), NULL)").alias("run"))
+            F.expr("if(hit, struct(base + at - lead AS start, base + at + n + trail AS end), NULL)").alias("run"))
 
     first, *others = parts_of(table.drop("item").distinct(), F.expr(CONTEXT_BYTES), limit) or [(table.drop("item"), True)]
     sides = [(first[0].unionByName(meets), first[1]), *others]
     found = reduce(DataFrame.unionByName, [hits(F.broadcast(t) if fits else t, k == 0) for k, (t, fits) in enumerate(sides)])
-    joint = (
-        "aggregate(array_sort(runs), cast(array() AS array<struct<start:bigint,end:bigint>>), (done, r) -> "
-        "if(size(done) > 0 AND element_at(done, -1).end >= r.start, "
-        "concat(slice(done, 1, size(done) - 1), array(struct(element_at(done, -1).start AS start, "
-        "greatest(element_at(done, -1).end, r.end) AS end))), concat(done, array(r))))")
     merged = stored(
         found.groupBy(*own).agg(
             F.count_if("itself").alias("copies"), F.collect_set("run").alias("runs"), F.collect_set("cid").alias("cids"),
-        ).select(*own, "copies", F.expr(joint).alias("spans"), "cids"), "spans")
+        ).withColumn("hit", F.expr("sort_array(array_distinct(flatten(transform(runs, r -> sequence(r.start, r.end - 1)))))"))
+        .withColumn("starts", F.expr("filter(hit, (x, i) -> coalesce(get(hit, i - 1) < x - 1, true))"))
+        .withColumn("ends", F.expr("filter(hit, (x, i) -> coalesce(get(hit, i + 1) > x + 1, true))"))
+        .select(*own, "copies", F.expr("zip_with(starts, ends, (a, b) -> struct(a AS start, b + 1 AS end))").alias("spans"), "cids"),
+        "spans")
     clean = merged.where("size(cids) = 0").withColumn("items", F.array().cast("array<string>"))
     listed = table.select("cid", "item").distinct()
     exploded = merged.where("size(cids) > 0").select(*own, "copies", "spans", F.explode("cids").alias("cid"))
