@@ -48,7 +48,7 @@ def op5_hd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxic_segments.fit(docs, read_table(spark, sf_dir, "labels"))
-    return toxic_segments.score(docs, model).drop("passages")
+    return toxic_segments.score(docs, model)
 
 
 def op7_pii_labelers(spark: SparkSession, sf_dir: str) -> DataFrame:

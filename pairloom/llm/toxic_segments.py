@@ -1,7 +1,7 @@
 """Toxicity from maximum-scoring segments.
 
 A token's score is its log-odds in toxic against other documents with an informative Dirichlet
-prior (the prior is the corpus frequency times a strength), kept where it is
+prior (the prior is ``strength`` of the token's count in both classes), kept where it is
 significant, less a small drift. One linear scan per text finds all maximal
 scoring segments: stretches whose sum can't be raised by growing or shrinking. A
 segment score is compared with what chance gives in a clean text of that length
@@ -10,9 +10,10 @@ K is fit on clean documents, and lambda * S - ln(K n) is the normalised score. S
 above ``significant`` are passages. The document's score is a logistic calibration of its
 best normalised score and of the sum over its passages.
 
-Token weights and calibration are fit on at most about ``per_class`` labelled documents
-of each class, chosen by a hash of the id; the weights hold at most
-``vocabulary`` tokens. Every text is scored whole.
+The model is fit on at most about ``per_class`` labelled documents of each class, chosen by a hash of the id, each distinct
+text once. Token weights come from three quarters of these texts, in which a token counts once per text, so that
+neither a word's repetitions nor copies of a text make it significant; all tokens that pass the test are kept, their number being
+bounded by the sample. Extreme-value statistics and calibration come from the last quarter. Every text is scored whole.
 
 Null, empty or blank text scores as a text without segments. With only one class
 among learned labels, the score is that class's share. Repeated label rows count as toxic if
@@ -35,6 +36,8 @@ from pairloom.llm.common import learning_row, stored, texts
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_passages int, passages array<struct<start:int,end:int,score:double>>"
 TOKEN = re.compile(r"\w+")
+# Of these hash folds of the labelled sample, the first calibrates.
+FOLDS = 4
 
 
 @dataclass(frozen=True)
@@ -83,7 +86,7 @@ def features(text: str, m: ToxicModel) -> tuple[float, float, list[tuple[int, in
     found = [(a, b, m.rate * s - base) for a, b, s in maximal_segments(scores)]
     best = max((s for _, _, s in found), default=0.0)
     passages = [x for x in found if x[2] >= m.significant]
-    return max(best, 0.0), sum(s for _, _, s in passages), passages
+    return max(best, 0.0), sum((s for _, _, s in passages), 0.0), passages
 
 
 def karlin_rate(scores: np.ndarray, shares: np.ndarray) -> float:
@@ -112,7 +115,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, text: str, id_column: str) -> DataFrame:
-    """``text, toxic`` of learned rows, at most about ``per_class`` of each class."""
+    """``text, toxic, fold`` of learned rows, at most about ``per_class`` of each class, each distinct text once."""
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(learning_row(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"))
     counts = {r[0]: r[1] for r in marked.groupBy("toxic").count().collect()}
@@ -122,39 +125,41 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, text: st
     # About 2 * per_class ids, whatever the tables' size.
     chosen = marked.where(draw).select(F.col("doc_id").alias("id"), "toxic")
     source = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return stored(source.join(F.broadcast(chosen), "id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic"), "toxic")
+    read = source.join(F.broadcast(chosen), "id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    single = read.groupBy(F.sha2("text", 256).alias("digest")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    return stored(single.select("text", "toxic", F.pmod(F.xxhash64("digest"), F.lit(FOLDS)).alias("fold")), "toxic")
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, per_class: int = 10_000, vocabulary: int = 50_000, strength: float = 1000.0,
-    z: float = 3.0, drift: float = 0.05, text: str = "text", id_column: str = "doc_id",
+    docs: DataFrame, labels: DataFrame, per_class: int = 10_000, strength: float = 0.1, z: float = 3.0, drift: float = 0.05, text: str = "text", id_column: str = "doc_id",
 ) -> ToxicModel:
     """Learn from labelled rows outside the held-out fifth."""
     sample = labelled_sample(docs, labels, per_class, text, id_column)
+    learning, calibrating = sample.where("fold != 0").drop("fold"), sample.where("fold = 0").drop("fold")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[str, list[int]] = {}
             for t, y in zip(texts(batch["text"]), batch["toxic"].to_pylist()):
-                for w in TOKEN.findall(t.lower()):
+                for w in set(TOKEN.findall(t.lower())):
                     seen.setdefault(w, [0, 0])[y] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(seen), pa.string()), *[pa.array([c[i] for c in seen.values()], pa.int64()) for i in (0, 1)]],
                 ["token", "clean", "toxic"])
 
-    counted = stored(sample.mapInArrow(count, "token string, clean long, toxic long").groupBy("token").agg(
+    counted = stored(learning.mapInArrow(count, "token string, clean long, toxic long").groupBy("token").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "tokens")
     n0, n1 = counted.agg(F.sum("clean"), F.sum("toxic")).first()
-    share = sample.agg(F.avg("toxic")).first()[0]
+    share = calibrating.agg(F.avg("toxic")).first()[0]
     if not n0 or not n1:
         p = min(max(share or 0.0, 1e-6), 1 - 1e-6)
         return ToxicModel({}, drift, 1.0, 0.0, float(np.log(p / (1 - p))), (0.0, 0.0))
-    prior = strength * (F.col("clean") + F.col("toxic")) / (n0 + n1)
-    odds = lambda y, n: F.log((y + prior) / (n + strength - y - prior))
+    prior = strength * (F.col("clean") + F.col("toxic"))
+    odds = lambda y, n: F.log((y + prior) / (n + strength * (n0 + n1) - y - prior))
     delta = odds(F.col("toxic"), n1) - odds(F.col("clean"), n0)
     score = delta / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    kept = counted.select("token", "clean", delta.alias("delta"), score.alias("z")).where(F.abs("z") >= z).orderBy(
-        F.desc(F.abs("z")), "token").limit(vocabulary).collect()
+    # Tokens of a bounded sample of texts.
+    kept = counted.select("token", "clean", delta.alias("delta"), score.alias("z")).where(F.abs("z") >= z).orderBy("token").collect()
     weights = {r["token"]: float(r["delta"]) for r in kept}
     shares = np.array([r["clean"] / n0 for r in kept] + [0.0])
     shares[-1] = max(0.0, 1 - shares.sum())
@@ -167,11 +172,11 @@ def fit(
             for batch in batches:
                 rows = [features(t, m)[:2] for t in texts(batch["text"])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch["toxic"], pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], ["toxic", "best", "total"])
+                    [batch["toxic"], *[pa.array([float(r[i]) for r in rows], pa.float64()) for i in (0, 1)]], ["toxic", "best", "total"])
 
         # At most about 2 * per_class rows of three numbers.
-        rows = sample.mapInArrow(run, "toxic int, best double, total double").collect()
-        return np.array([tuple(r) for r in rows], dtype=float)
+        rows = calibrating.mapInArrow(run, "toxic int, best double, total double").collect()
+        return np.array([tuple(r) for r in rows], dtype=float).reshape(-1, 3)
 
     # K from the mean of the largest normalised scores of clean texts: ln K + Euler's constant. Zeros are texts without a segment.
     table = measure(plain)

@@ -209,3 +209,31 @@ def test_fim_scatter_in_slices_of_any_size(monkeypatch):
         monkeypatch.setattr(displacement_fim, "SLICE_BYTES", size)
         parts = list(displacement_fim.slices(batch, "text"))
         assert sum(p.num_rows for p in parts) == 5 and all(p.num_rows for p in parts)
+
+
+def test_toxicity_of_texts_without_signal(spark):
+    """Batches in which no text has a passage keep their types, also with repeated, null and conflicting labels."""
+    from pairloom.llm import toxic_segments
+
+    docs = spark.createDataFrame([(i, f"plain words {i % 7} here" if i % 9 else None) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, i % 2) for i in range(60)] + [(1, None), (2, 1), (None, 1)], "doc_id long, toxic int")
+    model = toxic_segments.fit(docs, labels)
+    rows = toxic_segments.score(docs.repartition(7), model).collect()
+    assert len(rows) == 60 and all(0 <= r.score <= 1 for r in rows)
+    only_clean = toxic_segments.fit(docs, labels.where("toxic = 0"))
+    assert all(r.predicted == 0 for r in toxic_segments.score(docs, only_clean).collect())
+    assert toxic_segments.score(docs.limit(0), toxic_segments.fit(docs.limit(0), labels.limit(0))).collect() == []
+
+
+def test_copies_and_repetitions_make_no_word_toxic(spark):
+    from pairloom.llm import toxic_segments
+
+    texts = ["some house here " + "house " * 50] * 49 + [f"tree number n{i} stands" for i in range(300)]
+    rows = [(i, t, 0) for i, t in enumerate(texts)] + [(1000 + i, f"you vile wretch n{i} vile wretch", 1) for i in range(300)]
+    rows += [(2000, texts[0] + " x", 1)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxic_segments.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    assert model.weights["vile"] > 0 and "house" not in model.weights
+    found = {r.doc_id: r for r in toxic_segments.score(docs, model).collect()}
+    assert found[1000].predicted == 1 and found[1000].n_passages == 1 and found[5].predicted == 0
