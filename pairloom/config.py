@@ -48,6 +48,8 @@ class FMConfig:
     slots: int | None = None
     # Parameters are broadcast only when their estimated size is below this.
     broadcast_limit_bytes: int = 64 << 20
+    # What a task may hold of its shards' parameters. Shards that use more are walked in several runs of rows.
+    task_bytes: int = 512 << 20
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "optimizer", str(self.optimizer).lower())
@@ -68,6 +70,8 @@ class FMConfig:
             raise ValueError(f"unknown residual {self.residual!r}")
         if self.eval_every <= 0:
             raise ValueError("eval_every must be positive")
+        if self.task_bytes <= 0:
+            raise ValueError("task_bytes must be positive")
 
     def with_(self, **changes) -> FMConfig:
         return replace(self, **changes)

@@ -8,6 +8,11 @@ examples and only the parameters these use, as one sorted stream (parameters
 first, then examples by step), so a task holds the parameters of its shards
 and one batch of rows, never the shards themselves. It returns the change of
 each parameter; averaging is a plain aggregation.
+
+A slot whose parameters exceed what a task may hold is walked in runs: stretches of steps that use a bounded number
+of parameter rows. A run starts from the values its shards had after the run before, which are
+kept as a table of one row per shard and touched feature, so a task never holds more than one run's parameters and the
+result is that of an unbroken walk.
 """
 
 from __future__ import annotations
@@ -16,11 +21,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.config import CLASSIFICATION, FMConfig, ModelMeta
 from pairloom.operators.examples import number_steps
+from pairloom.plans.scratch import new_run_dir, write_table
 
 # Fixed values of the update rules.
 SGD_BOUND = 20.0
@@ -131,10 +137,20 @@ def _check_order(batch: pa.RecordBatch, last: tuple) -> tuple:
     return tuple(c[-1] for c in columns)
 
 
-def _walk(cfg: FMConfig, meta: ModelMeta):
+def _batches(names: list[str], columns: list[np.ndarray], rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``columns`` and, as an array per row, ``rows``, in pieces."""
+    for a in range(0, len(rows), _CHUNK):
+        part = rows[a : a + _CHUNK]
+        offsets = pa.array(np.arange(len(part) + 1, dtype=np.int32) * rows.shape[1])
+        lists = pa.ListArray.from_arrays(offsets, pa.array(part.ravel()))
+        yield pa.RecordBatch.from_arrays([*[pa.array(c[a : a + _CHUNK].astype(np.int32)) for c in columns], lists], names=names)
+
+
+def _walk(cfg: FMConfig, meta: ModelMeta, by_shard: bool = False):
     """The function that trains the shards of one slot from their sorted stream.
 
-    Parameter rows have step 0, examples count from 1.
+    Parameter rows have step 0, examples count from 1. It returns the change of each feature, or, with
+    ``by_shard``, the values that each shard ends with.
     """
     width, slots = 1 + cfg.k2, 1 + len(cfg.state_slots)
     residual, rule = residual_of(cfg, meta), RULES[cfg.optimizer]
@@ -161,18 +177,17 @@ def _walk(cfg: FMConfig, meta: ModelMeta):
                 _update(now[0], list(now[1:]), *wave, cfg, residual, rule)
         if now is None:
             return
-        change = (now - start).transpose(1, 0, 2).reshape(len(known), slots * width)
         if not len(known):
             return
-        feature = known % (meta.n_features + 1)
+        shard, feature = np.divmod(known, meta.n_features + 1)
+        if by_shard:
+            ends = now.transpose(1, 0, 2).reshape(len(known), slots * width)
+            yield from _batches(["shard", "j", "values"], [shard, feature], ends)
+            return
+        change = (now - start).transpose(1, 0, 2).reshape(len(known), slots * width)
         order = np.argsort(feature, kind="stable")
         j, first = np.unique(feature[order], return_index=True)
-        total = np.add.reduceat(change[order], first, axis=0)
-        for a in range(0, len(j), _CHUNK):
-            part = total[a : a + _CHUNK]
-            offsets = pa.array(np.arange(len(part) + 1, dtype=np.int32) * (slots * width))
-            lists = pa.ListArray.from_arrays(offsets, pa.array(part.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(j[a : a + _CHUNK].astype(np.int32)), lists], names=["j", "change"])
+        yield from _batches(["j", "change"], [j], np.add.reduceat(change[order], first, axis=0))
 
     return walk
 
@@ -199,32 +214,91 @@ def _packed(cfg: FMConfig) -> str:
     return f"concat({', '.join(parts)})"
 
 
-def local_changes(
-    stepped: DataFrame, needed: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig, slots: int
-) -> DataFrame:
-    """``j, change``: what the local epochs of a slot's shards changed, summed per feature.
+def _row_bytes(cfg: FMConfig) -> int:
+    return 8 * (1 + cfg.k2) * (1 + len(cfg.state_slots)) + 64
+
+
+def _table(params: DataFrame, meta: ModelMeta, cfg: FMConfig) -> DataFrame:
+    """The parameters, broadcast if they are known to be small."""
+    fits = (meta.n_features + 1) * _row_bytes(cfg) <= cfg.broadcast_limit_bytes
+    return F.broadcast(params) if fits else params
+
+
+def _stream(stepped: DataFrame, sent: DataFrame, cfg: FMConfig, slots: int) -> DataFrame:
+    """Per slot its parameter rows ``slot, shard, j, values``, then its examples, in order.
 
     Both sides of the union have the same hash partitioning by slot, which it
     keeps: the examples stay where they are and only parameter rows travel.
     """
-    row_bytes = 8 * (1 + cfg.k2) * (1 + len(cfg.state_slots)) + 64
-    table = params
-    if (meta.n_features + 1) * row_bytes <= cfg.broadcast_limit_bytes:
-        table = F.broadcast(params)
-    sent = (
-        needed.join(table, "j")
-        .selectExpr(
-            "slot", "shard", "0 AS step", "cast(j AS long) AS row_id", "0D AS label",
-            "cast(array() AS array<int>) AS indices", f"{_packed(cfg)} AS values",
-        )
-        .repartition(slots, "slot")
-    )
+    rows = sent.selectExpr(
+        "slot", "shard", "0 AS step", "cast(j AS long) AS row_id", "0D AS label",
+        "cast(array() AS array<int>) AS indices", "values",
+    ).repartition(slots, "slot")
     used = stepped if cfg.k0 else stepped.where(F.size("indices") > 0)
-    examples = used.select(
-        "slot", "shard", "step", F.col("example_id").alias("row_id"), "label", "indices", "values"
-    )
-    stream = examples.unionByName(sent).sortWithinPartitions("slot", "step", "shard", "row_id")
-    return stream.groupBy("slot").applyInArrow(_walk(cfg, meta), "j int, change array<double>")
+    examples = used.select("slot", "shard", "step", F.col("example_id").alias("row_id"), "label", "indices", "values")
+    return examples.unionByName(rows).sortWithinPartitions("slot", "step", "shard", "row_id").groupBy("slot")
+
+
+def local_changes(
+    stepped: DataFrame, needed: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig, slots: int
+) -> DataFrame:
+    """``j, change``: what the local epochs of a slot's shards changed, summed per feature."""
+    sent = needed.join(_table(params, meta, cfg), "j").selectExpr("slot", "shard", "j", f"{_packed(cfg)} AS values")
+    return _stream(stepped, sent, cfg, slots).applyInArrow(_walk(cfg, meta), "j int, change array<double>")
+
+
+def rows_per_task(cfg: FMConfig) -> int:
+    """Parameter rows that fit a task: as sent, at the start and now, with their keys."""
+    return max(1, cfg.task_bytes // (3 * 8 * (1 + cfg.k2) * (1 + len(cfg.state_slots)) + 16))
+
+
+def plan_runs(stepped: DataFrame, needed: DataFrame, cfg: FMConfig) -> tuple[DataFrame, int]:
+    """The examples with the number of their ``run``, and the number of runs.
+
+    One run, without a column, if the parameters of every slot fit a task. Otherwise a run ends with the step in which the
+    non-zeros since its begin reach the limit, and these are at least as many as the features they use. The sum follows
+    the order the examples are in already.
+    """
+    limit = rows_per_task(cfg)
+    most = needed.groupBy("slot").count().agg(F.max("count")).first()[0] or 0
+    if most <= limit:
+        return stepped, 1
+    earlier = Window.partitionBy("slot").orderBy("step").rangeBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.size("indices") + F.lit(1)).over(earlier), F.lit(0))
+    numbered = stepped.withColumn("run", F.floor(before / F.lit(limit)).cast("int"))
+    return numbered, numbered.agg(F.max("run")).first()[0] + 1
+
+
+def changes_by_runs(
+    numbered: DataFrame, runs: int, params: DataFrame, meta: ModelMeta, cfg: FMConfig, slots: int
+) -> DataFrame:
+    """As ``local_changes``, one run after the other; what a run leaves is stored and cuts the lineage."""
+    spark = numbered.sparkSession
+    folder = new_run_dir(spark, "runs")
+    start = f"{_packed(cfg)} AS start"
+    schema = "shard int, j int, values array<double>"
+    done: list[DataFrame] = []
+
+    def latest() -> DataFrame | None:
+        """What each shard has made of each feature it has touched so far."""
+        if not done:
+            return None
+        every = done[0]
+        for part in done[1:]:
+            every = every.unionByName(part)
+        return every.groupBy("shard", "j").agg(F.max_by("values", "run").alias("now"))
+
+    for run in range(runs):
+        mine = numbered.where(F.col("run") == run)
+        sent = needed_features(mine, cfg).join(_table(params, meta, cfg), "j").selectExpr("slot", "shard", "j", start)
+        now = latest()
+        if now is not None:
+            sent = sent.join(now, ["shard", "j"], "left").selectExpr("slot", "shard", "j", "coalesce(now, start) AS start")
+        sent = sent.withColumnRenamed("start", "values")
+        ended = _stream(mine, sent, cfg, slots).applyInArrow(_walk(cfg, meta, True), schema)
+        done.append(write_table(ended, f"{folder}/run{run}").withColumn("run", F.lit(run)))
+    return latest().join(_table(params, meta, cfg), "j").selectExpr("j", start, "now").selectExpr(
+        "j", "zip_with(now, start, (a, b) -> a - b) AS change")
 
 
 def average_changes(params: DataFrame, changes: DataFrame, cfg: FMConfig) -> DataFrame:
@@ -253,9 +327,17 @@ def local_epoch(
     *,
     slots: int,
     needed: DataFrame | None = None,
+    runs: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
-    """Parameters (and optimizer state) after one epoch over examples placed in ``slots`` slots."""
+    """Parameters (and optimizer state) after one epoch over examples placed in ``slots`` slots.
+
+    ``needed`` and ``runs`` depend on the examples only; a caller with many epochs gives them.
+    """
     stepped = sharded if "step" in sharded.columns else number_steps(sharded)
     needed = needed if needed is not None else needed_features(stepped, cfg)
-    changes = local_changes(stepped, needed, params, meta, cfg, slots)
+    numbered, n_runs = runs if runs is not None else plan_runs(stepped, needed, cfg)
+    if n_runs == 1:
+        changes = local_changes(stepped, needed, params, meta, cfg, slots)
+    else:
+        changes = changes_by_runs(numbered, n_runs, params, meta, cfg, slots)
     return average_changes(params, changes, cfg)

@@ -15,7 +15,7 @@ from pairloom.config import REGRESSION, FMConfig, ModelMeta
 from pairloom.operators.describe import check_dimension, check_examples, feature_dim, label_range
 from pairloom.operators.evaluation import metrics
 from pairloom.operators.examples import assign_shard, binarise_label, default_slots, number_steps
-from pairloom.operators.local_epoch import local_epoch, needed_features
+from pairloom.operators.local_epoch import local_epoch, needed_features, plan_runs
 from pairloom.operators.params import add_state, init_params
 from pairloom.operators.scoring import fits_broadcast, score, wanted_features
 from pairloom.plans.scratch import new_run_dir
@@ -118,6 +118,9 @@ def _fit(train, valid, cfg, params, n_features, on_epoch) -> FMModel:
         if not fits_broadcast(meta, cfg.broadcast_limit_bytes):
             wanted = wanted_features(both, meta).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(wanted)
+        runs = plan_runs(train, needed, cfg)
+        if runs[1] > 1:
+            held.append(runs[0].persist(StorageLevel.MEMORY_AND_DISK))
         store = ParamStore(spark)
         start = params if params is not None else init_params(spark, n, cfg)
         current = store.save(add_state(start, cfg), 0)
@@ -134,7 +137,7 @@ def _fit(train, valid, cfg, params, n_features, on_epoch) -> FMModel:
         report(0, None)
         for epoch in range(1, cfg.epochs + 1):
             begin = time.monotonic()
-            updated = local_epoch(train, current, meta, cfg, slots=slots, needed=needed)
+            updated = local_epoch(train, current, meta, cfg, slots=slots, needed=needed, runs=runs)
             current = store.save(updated, epoch)
             if epoch % cfg.eval_every == 0 or epoch == cfg.epochs:
                 report(epoch, begin)

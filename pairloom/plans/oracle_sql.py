@@ -19,6 +19,12 @@ tokens AS (
                  'status=' || o_orderstatus]) AS token
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
+# Orders known by their position in order of keys.
+_LINES = _ORDERS.replace("o_orderkey AS example_id", "line AS example_id").replace(
+    "FROM orders JOIN customer ON o_custkey = c_custkey",
+    "FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS line FROM orders JOIN customer ON o_custkey = c_custkey)",
+)
+
 _DOCUMENTS = """
 found AS (
   SELECT doc_id AS example_id, quality::DOUBLE AS label,
@@ -36,6 +42,7 @@ ex AS (SELECT tokens.* EXCLUDE (token), j FROM tokens JOIN vocab USING (token))"
 def _base(tokens: str = _ORDERS, recursive: bool = False) -> str:
     rows = {
         _ORDERS: ",\nrow_labels AS (SELECT DISTINCT example_id, label, price FROM tokens)",
+        _LINES: ",\nrow_labels AS (SELECT DISTINCT example_id, label, price FROM tokens)",
         _DOCUMENTS: ",\nrow_labels AS (SELECT doc_id AS example_id, quality::DOUBLE AS label "
         "FROM documents JOIN labels USING (doc_id))",
     }[tokens]
@@ -273,6 +280,15 @@ def _history(cfg: FMConfig, tokens: str = _ORDERS, w0: float = q.START_BIAS) ->
     return sql + " " + " UNION ALL ".join(parts)
 
 
+def _trained(cfg: FMConfig, tokens: str) -> str:
+    """Parameters after the last epoch."""
+    sql = _base(tokens, recursive=True) + _params(cfg) + _with_state(cfg) + _shards(cfg, "example_id % 5 <> 0")
+    for epoch in range(1, cfg.epochs + 1):
+        sql += _epoch(cfg, f"p{epoch - 1}", f"p{epoch}")
+    columns = ", ".join([_r("w", "w"), *(_r(f"CASE WHEN j > 0 THEN v_{f} END", f"v_{f}") for f in _fs(cfg.k2))])
+    return f"{sql} SELECT j, {columns} FROM p{cfg.epochs}"
+
+
 def _gradient() -> str:
     cfg = q.SCORE
     k = cfg.k2
@@ -384,6 +400,7 @@ WHERE place < 20 OR (place >= n * {k + 1} - 20 AND place < n * {k + 1})""",
         "sgd_local_epoch": _local_epoch("sgd"),
         "adam_local_epoch": _local_epoch("adam"),
         "rmsprop_local_epoch": _local_epoch("rmsprop"),
+        "adam_local_epoch_runs": _local_epoch("adam"),
         "adam_local_epoch_weighted": _local_epoch("adam", "label_weighted"),
         "rmsprop_local_epoch_weighted": _local_epoch("rmsprop", "label_weighted"),
         "fm_log_loss": evaluated + f" SELECT split, n_pos + n_neg AS n_rows, {_r('log_loss', 'log_loss')} FROM m",
@@ -400,6 +417,7 @@ SELECT {_SPLIT} AS split, count(*) AS n_rows, {_r('sqrt(avg((score - label) * (s
        {_r('avg(abs(score - label))', 'mae')} FROM scored GROUP BY 1""",
         "fm_train_history": _history(q.HISTORY),
         "fm_train_documents": _history(q.DOCUMENTS, _DOCUMENTS, 0.0),
+        "libsvm_train": _trained(q.HISTORY, _LINES),
         "fm_export_lines": orders + _params(q.SCORE) + f"""
 SELECT 'w_' || j || ' ' || {exported.format('w')} AS value FROM p
 UNION ALL

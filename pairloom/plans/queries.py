@@ -33,6 +33,7 @@ NUM_SHARDS = 256
 SCORE = FMConfig(k2=8, seed=SEED, init_std=INIT_STD, reg=(0.001, 0.002, 0.003), num_shards=NUM_SHARDS)
 LOCAL = SCORE.with_(k2=4, step_size=0.05)
 HISTORY = LOCAL.with_(epochs=2)
+RUN_BYTES = 1 << 20
 DOCUMENTS = FMConfig(
     k2=4, seed=SEED, init_std=0.05, reg=(0.0, 0.0, 0.001), optimizer="adam", step_size=0.02, epochs=3, num_shards=4
 )
@@ -254,8 +255,8 @@ def fm_gradient(spark, sf_dir):
     return _flat(grad, SCORE.k2, (("gw", "gv"),))
 
 
-def _local_epoch(optimizer: str, residual: str = "cross_entropy") -> Query:
-    cfg = LOCAL.with_(optimizer=optimizer, residual=residual)
+def _local_epoch(optimizer: str, residual: str = "cross_entropy", **limits) -> Query:
+    cfg = LOCAL.with_(optimizer=optimizer, residual=residual, **limits)
     names = (("w", "v"), *((f"{s}_w", f"{s}_v") for s in cfg.state_slots))
 
     def query(spark, sf_dir):
@@ -286,6 +287,18 @@ def fm_train_documents(spark, sf_dir):
     return _history(datasets.document_examples(spark, sf_dir), DOCUMENTS)
 
 
+def libsvm_train(spark, sf_dir):
+    """Orders written as libsvm text in order of their keys, read back and trained: an example is its line."""
+    data = datasets.order_examples(spark, sf_dir)
+    path = new_run_dir(spark, "libsvm")
+    write_libsvm(data.examples.orderBy("example_id"), path)
+    examples = split_examples(read_libsvm(spark, path))
+    train, valid = (examples.where(F.col("split") == s).drop("split") for s in ("train", "valid"))
+    params = start_params(spark, data.n_features, HISTORY)
+    model = fit(train, valid, HISTORY, params=params, n_features=data.n_features)
+    return _flat(model.params, HISTORY.k2)
+
+
 # Evaluation
 
 
@@ -370,6 +383,8 @@ QUERIES: dict[str, Query] = {
     "sgd_local_epoch": _local_epoch("sgd"),
     "adam_local_epoch": _local_epoch("adam"),
     "rmsprop_local_epoch": _local_epoch("rmsprop"),
+    # Tasks that may hold only some of their shards' parameters.
+    "adam_local_epoch_runs": _local_epoch("adam", task_bytes=RUN_BYTES),
     "adam_local_epoch_weighted": _local_epoch("adam", "label_weighted"),
     "rmsprop_local_epoch_weighted": _local_epoch("rmsprop", "label_weighted"),
     "fm_log_loss": fm_log_loss,
@@ -380,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "fm_regression_metrics": fm_regression_metrics,
     "fm_train_history": fm_train_history,
     "fm_train_documents": fm_train_documents,
+    "libsvm_train": libsvm_train,
     "fm_export_lines": fm_export_lines,
     "fm_export_read": fm_export_read,
 }
