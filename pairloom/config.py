@@ -39,6 +39,8 @@ class FMConfig:
     reg: tuple[float, float, float] = (0.0, 1e-3, 1e-4)
     init_std: float = 0.1
     num_shards: int = 256
+    # How ids become shards: "modulo", or "hash" for ids with a pattern. Part of the model.
+    shard_method: str = "modulo"
     seed: int = 42
     # "cross_entropy": dLoss/dz = p - y for every optimizer.
     # "label_weighted": Adam and RMSProp use -y * (1 - sigmoid(y * p)), with
@@ -66,6 +68,8 @@ class FMConfig:
             raise ValueError("epochs must not be negative")
         if self.num_shards <= 0:
             raise ValueError("num_shards must be positive")
+        if self.shard_method not in ("modulo", "hash"):
+            raise ValueError(f"unknown shard method {self.shard_method!r}")
         if self.residual not in ("cross_entropy", "label_weighted"):
             raise ValueError(f"unknown residual {self.residual!r}")
         if self.eval_every <= 0:

@@ -7,6 +7,8 @@ non-zero: ``example_id, label, j, x``.
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,21 +53,44 @@ def slot_labels(spark: SparkSession, slots: int) -> list[int]:
     return labels if len(labels) == slots else list(range(slots))
 
 
+def shard_weights(examples: DataFrame, num_shards: int, method: str = "modulo") -> list[int]:
+    """Non-zeros (and one for the bias) per shard: ``num_shards`` numbers."""
+    sizes = examples.groupBy(shard_column(num_shards, method).alias("shard")).agg(F.sum(F.size("indices") + F.lit(1)))
+    weights = [0] * num_shards
+    for shard, n in sizes.collect():
+        weights[shard] = n
+    return weights
+
+
+def fill_slots(weights: list[int], slots: int) -> list[int]:
+    """The slot of each shard: the heaviest shard first, each to the slot with the least so far."""
+    heap = [(0, s) for s in range(slots)]
+    placed = [0] * len(weights)
+    for shard in sorted(range(len(weights)), key=lambda i: (-weights[i], i)):
+        load, slot = heapq.heappop(heap)
+        placed[shard] = slot
+        heapq.heappush(heap, (load + weights[shard], slot))
+    return placed
+
+
 def assign_shard(
-    examples: DataFrame, num_shards: int, slots: int | None = None, method: str = "modulo"
+    examples: DataFrame, num_shards: int, slots: int | None = None, method: str = "modulo",
+    weights: list[int] | None = None,
 ) -> DataFrame:
     """Add ``shard`` and ``slot`` and place every slot whole in one partition.
 
     The shard is the unit of local training and part of the model. A slot is
     a set of whole shards that one task handles; it says where rows are, and
-    its number changes no result.
+    its number changes no result. With ``weights`` (see ``shard_weights``) the slots are filled evenly by
+    weight, otherwise by shard numbers in turn.
     """
     spark = examples.sparkSession
     n = slots or default_slots(spark, num_shards)
-    labels = ",".join(str(label) for label in sorted(slot_labels(spark, n)))
-    label_of = F.split(F.lit(labels), ",").cast("array<int>")
-    slot = F.get(label_of, F.pmod(F.col("shard"), F.lit(n)))
-    return examples.withColumn("shard", shard_column(num_shards, method)).withColumn("slot", slot).repartition(n, "slot")
+    labels = sorted(slot_labels(spark, n))
+    of_shard = fill_slots(weights, n) if weights is not None else [shard % n for shard in range(num_shards)]
+    label_of = F.split(F.lit(",".join(str(labels[slot]) for slot in of_shard)), ",").cast("array<int>")
+    placed = examples.withColumn("shard", shard_column(num_shards, method))
+    return placed.withColumn("slot", F.get(label_of, F.col("shard"))).repartition(n, "slot")
 
 
 def number_steps(sharded: DataFrame) -> DataFrame:
@@ -98,6 +123,27 @@ def to_wide(long: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
 
 
+def from_vectors(rows: DataFrame, features: str = "features") -> DataFrame:
+    """Replace a column of vectors, sparse or dense, by ``indices`` (from 1) and ``values``; zeros are dropped.
+
+    The vectors' own storage is read as a struct, without a Python worker.
+    """
+    rest = [c for c in rows.columns if c != features]
+    stored = rows.select(*rest, F.unwrap_udt(features).alias("vector"))
+    # Dense vectors have no index array.
+    numbered = stored.select(*rest, F.expr(
+        "CASE WHEN vector.type = 0 THEN transform(vector.indices, i -> i + 1) "
+        "WHEN size(vector.values) = 0 THEN array() ELSE sequence(1, size(vector.values)) END").alias("j"),
+        F.col("vector.values").alias("x"))
+    pairs = numbered.select(*rest, F.filter(F.arrays_zip("j", "x"), lambda p: p.x != F.lit(0.0)).alias("pairs"))
+    return pairs.select(*rest, F.col("pairs.j").alias("indices"), F.col("pairs.x").alias("values"))
+
+
+def wide_form(rows: DataFrame) -> DataFrame:
+    """Wide examples as they are; rows with a vector column ``features`` instead of ``indices`` are converted."""
+    return from_vectors(rows) if "features" in rows.columns and "indices" not in rows.columns else rows
+
+
 def split_examples(examples: DataFrame, every: int = 5) -> DataFrame:
     """Add ``split``: each ``every``-th id is ``valid``, the rest ``train``."""
     is_valid = F.pmod(F.col("example_id"), F.lit(every)) == 0

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.config import FMConfig, ModelMeta
-from pairloom.operators.scoring import score, with_bias
+from pairloom.operators.scoring import score
 
 
 def residuals(examples: DataFrame, params: DataFrame, meta: ModelMeta, **how) -> DataFrame:
@@ -23,17 +23,9 @@ def gradient(sharded: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConf
     joined afterwards, to one row per feature.
     """
     k2 = meta.k2
-    # Ids may repeat across splits.
-    keys = [c for c in ("slot", "split", "example_id") if c in sharded.columns]
-    scored = residuals(sharded, params, meta, **how).select(
-        *keys, "residual", *[f"s_{f}" for f in range(k2)]
-    )
-    rows = sharded.select(*keys, "indices", "values").join(scored, keys)
-    indices, values = with_bias(meta)
-    long = rows.select(
-        "residual", *[f"s_{f}" for f in range(k2)],
-        F.inline(F.arrays_zip(indices.alias("j"), values.alias("x"))),
-    )
+    # The non-zeros come along through the aggregation per example, so examples are read once and joined with nothing.
+    scored = residuals(sharded, params, meta, keep_pairs=True, **how)
+    long = scored.select("residual", *[f"s_{f}" for f in range(k2)], F.inline_outer("pairs")).where(F.col("j").isNotNull())
     per_feature = long.withColumn("xm", F.expr("x * residual")).groupBy("j").agg(
         F.expr("sum(xm) AS xm"),
         F.expr("sum(x * xm) AS xxm"),

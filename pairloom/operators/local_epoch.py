@@ -247,9 +247,13 @@ def local_changes(
     return _stream(stepped, sent, cfg, slots).applyInArrow(_walk(cfg, meta), "j int, change array<double>")
 
 
+def row_bytes_in_task(cfg: FMConfig) -> int:
+    """What a parameter row takes in a task: as sent, at the start and now, with its key."""
+    return 3 * 8 * (1 + cfg.k2) * (1 + len(cfg.state_slots)) + 16
+
+
 def rows_per_task(cfg: FMConfig) -> int:
-    """Parameter rows that fit a task: as sent, at the start and now, with their keys."""
-    return max(1, cfg.task_bytes // (3 * 8 * (1 + cfg.k2) * (1 + len(cfg.state_slots)) + 16))
+    return max(1, cfg.task_bytes // row_bytes_in_task(cfg))
 
 
 def plan_runs(stepped: DataFrame, needed: DataFrame, cfg: FMConfig) -> tuple[DataFrame, int]:

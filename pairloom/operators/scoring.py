@@ -50,14 +50,20 @@ def example_sums(
     *,
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
     wanted: DataFrame | None = None,
+    unseen: str = "ignore",
+    keep_pairs: bool = False,
 ) -> DataFrame:
     """Per example: ``linear`` = w0 + sum w x, ``sum_sqr`` = sum |v|^2 x^2, ``s_f`` = sum v_f x.
 
     The bias takes part as feature 0 with value 1 in every example, which also
-    keeps examples without features. Features without parameters add nothing.
+    keeps examples without features. Features without parameters add nothing, or, with
+    ``unseen="error"``, end the query with an error as soon as one is looked up. ``keep_pairs`` adds the example's
+    non-zeros, the bias included, as ``pairs``.
     Examples placed by ``assign_shard`` are moved by neither join nor
     aggregation; others are aggregated to one row each before they move.
     """
+    if unseen not in ("ignore", "error"):
+        raise ValueError(f"unseen must be ignore or error, got {unseen!r}")
     own_slot = "slot" not in examples.columns and not fits_broadcast(meta, limit_bytes)
     if own_slot:
         slots = int(examples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -67,13 +73,19 @@ def example_sums(
     keys = [c for c in ("slot", "shard", "split", "example_id", "label") if c in examples.columns]
     indices, values = with_bias(meta)
     long = examples.select(*keys, F.inline_outer(F.arrays_zip(indices.alias("j"), values.alias("x"))))
+    table = scoring_table(params, meta.k2)
     attached = lookup(
-        long, scoring_table(params, meta.k2), "j",
+        long, table.withColumn("known", F.lit(True)) if unseen == "error" else table, "j",
         table_rows=meta.n_features + 1, row_bytes=scoring_row_bytes(meta), limit_bytes=limit_bytes, wanted=wanted,
     )
+    if unseen == "error":
+        missing = F.col("j").isNotNull() & F.col("known").isNull()
+        message = F.concat(F.lit("the model has no parameters for feature "), F.col("j"))
+        attached = attached.withColumn("x", F.when(missing, F.raise_error(message).cast("double")).otherwise(F.col("x")))
     totals = {"linear": "w * x", "sum_sqr": "norm2 * x * x", **{f"s_{f}": f"v_{f} * x" for f in range(meta.k2)}}
     sums = attached.groupBy(*keys).agg(
-        *[F.expr(f"coalesce(sum({term}), 0D) AS {name}") for name, term in totals.items()]
+        *[F.expr(f"coalesce(sum({term}), 0D) AS {name}") for name, term in totals.items()],
+        *([F.expr("collect_list(if(j IS NULL, NULL, struct(j, x))) AS pairs")] if keep_pairs else []),
     )
     # A slot made here is internal: the columns are the same at every model size.
     return sums.drop("slot") if own_slot else sums
@@ -97,7 +109,10 @@ def link(sums: DataFrame, meta: ModelMeta, keep_sums: bool = False) -> DataFrame
 
 
 def score(examples: DataFrame, params: DataFrame, meta: ModelMeta, *, keep_sums: bool = False, **how) -> DataFrame:
-    """``example_id, label, raw, score`` (and ``slot``, ``shard``, ``split`` where given) of every example."""
+    """``example_id, label, raw, score`` (and ``slot``, ``shard``, ``split`` where given) of every example.
+
+    ``unseen`` is what features without parameters do: ``ignore`` (add nothing) or ``error``.
+    """
     return link(example_sums(examples, params, meta, **how), meta, keep_sums)
 
 

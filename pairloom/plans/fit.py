@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pairloom.config import REGRESSION, FMConfig, ModelMeta
 from pairloom.operators.describe import check_dimension, check_examples, feature_dim, label_range
 from pairloom.operators.evaluation import metrics
-from pairloom.operators.examples import assign_shard, binarise_label, default_slots, number_steps
+from pairloom.operators.examples import (
+    assign_shard, binarise_label, default_slots, number_steps, shard_weights, wide_form,
+)
 from pairloom.operators.local_epoch import local_epoch, needed_features, plan_runs
 from pairloom.operators.params import add_state, init_params
 from pairloom.operators.scoring import fits_broadcast, score, wanted_features
@@ -32,7 +34,8 @@ class FMModel:
     history: DataFrame
 
     def predict(self, examples: DataFrame, **how) -> DataFrame:
-        return score(examples, self.params, self.meta, **how)
+        """Scores of wide examples or of rows with vectors; ``unseen`` says what unknown features do (see ``score``)."""
+        return score(wide_form(examples), self.params, self.meta, **how)
 
 
 class ParamStore:
@@ -60,12 +63,14 @@ class ParamStore:
 
 def _placed(train: DataFrame, valid: DataFrame, cfg: FMConfig, slots: int) -> DataFrame:
     """Both sets with ``split``, placed by slot and numbered, ready for every epoch."""
-    both = train.withColumn("split", F.lit("train")).unionByName(
-        valid.withColumn("split", F.lit("valid")), allowMissingColumns=True
+    both = wide_form(train).withColumn("split", F.lit("train")).unionByName(
+        wide_form(valid).withColumn("split", F.lit("valid")), allowMissingColumns=True
     )
     labelled = both if cfg.task == REGRESSION else binarise_label(both)
     columns = labelled.select("split", "example_id", F.col("label").cast("double"), "indices", "values")
-    return number_steps(assign_shard(columns, cfg.num_shards, slots)).persist(StorageLevel.MEMORY_AND_DISK)
+    weights = shard_weights(columns, cfg.num_shards, cfg.shard_method)
+    placed = assign_shard(columns, cfg.num_shards, slots, cfg.shard_method, weights)
+    return number_steps(placed).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _metric_row(examples: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig, wanted) -> dict:
@@ -88,7 +93,7 @@ def fit(
     n_features: int | None = None,
     on_epoch: Callable[[dict], None] | None = None,
 ) -> FMModel:
-    """Train on wide examples; ``params`` may give a start other than random.
+    """Train on wide examples, or rows ``example_id, label, features`` with vectors; ``params`` may give a start other than random.
 
     Per epoch: every shard trains from the same parameters over its own rows
     in id order, the changes are averaged, and both sets are evaluated. Rows

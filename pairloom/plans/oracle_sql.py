@@ -311,6 +311,11 @@ SELECT j, {_flat_columns(k, (("gw", "gv"),))} FROM g"""
     )
 
 
+def _known() -> str:
+    """CTE ``known``: the parameters of features that a training document holds, and the bias."""
+    return ",\nknown AS (SELECT * FROM p WHERE j = 0 OR j IN (SELECT j FROM ex WHERE example_id % 5 <> 0))"
+
+
 def _price_scores() -> str:
     cfg = q.SCORE.with_(init_std=1.0)
     bounds = ("(SELECT min(price) FROM row_labels)", "(SELECT max(price) FROM row_labels)")
@@ -349,6 +354,10 @@ FROM row_labels LEFT JOIN ex USING (example_id, label) GROUP BY example_id, labe
         "libsvm_scan": documents + f"""
 SELECT label, count(j)::INTEGER AS n_nonzero,
        coalesce({lines.format(item=pair)} FILTER (j IS NOT NULL), '') AS features
+FROM row_labels LEFT JOIN ex USING (example_id, label) GROUP BY example_id, label""",
+        "vector_scan": documents + f"""
+SELECT label, count(j)::INTEGER AS n_nonzero,
+       coalesce({lines.format(item=pair)} FILTER (j IS NOT NULL), '') AS features
 FROM row_labels LEFT JOIN ex USING (example_id, label) GROUP BY example_id, label""",
         "shard_profile": orders + f"""
 SELECT (example_id % {q.NUM_SHARDS})::INTEGER AS shard, count(DISTINCT example_id) AS n_rows, count(*) AS n_nonzero,
@@ -370,9 +379,10 @@ SELECT example_id, count(*)::INTEGER AS n_bad FROM ex WHERE x <> 1.0 GROUP BY ex
         "unseen_features": documents + """
 SELECT j, count(*) AS n_rows FROM ex WHERE example_id % 5 = 0
 AND j NOT IN (SELECT j FROM ex WHERE example_id % 5 <> 0) GROUP BY j""",
-        "dimension_guard": documents + """
-SELECT example_id, max(j) AS max_index FROM ex WHERE example_id % 5 = 0 GROUP BY example_id
-HAVING max(j) > (SELECT max(j) FROM ex WHERE example_id % 5 <> 0)""",
+        "dimension_guard": documents + """,
+english AS (SELECT doc_id FROM documents WHERE lang = 'en')
+SELECT example_id, max(j) AS max_index FROM ex WHERE example_id NOT IN (FROM english) GROUP BY example_id
+HAVING max(j) > (SELECT max(j) FROM ex WHERE example_id IN (FROM english))""",
         "fm_init": orders + _params(q.SCORE, 0.0) + f" SELECT j, {_flat_columns(k, digits=9)} FROM p",
         "model_meta": orders + f"""
 SELECT 1::INTEGER AS task, true AS k0, true AS k1, {k}::INTEGER AS k2, max(j)::INTEGER AS n_features,
@@ -394,6 +404,7 @@ WHERE place < 20 OR (place >= n * {k + 1} - 20 AND place < n * {k + 1})""",
         "fm_predict": scored + _SCORED_OUT,
         "fm_predict_sharded": scored + _SCORED_OUT,
         "fm_predict_documents": documents + _params(q.LOCAL) + _scored(q.LOCAL.k2) + _SCORED_OUT,
+        "fm_predict_unseen": documents + _params(q.LOCAL) + _known() + _scored(q.LOCAL.k2, "known") + _SCORED_OUT + " WHERE example_id % 5 = 0",
         "fm_predict_terms_off": orders + _params(q.SCORE, None, k1=False) + _scored(k, k0=False) + _SCORED_OUT,
         "fm_predict_regression": _price_scores() + _SCORED_OUT,
         "fm_gradient": _gradient(),

@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 from pairloom.config import FMConfig, ModelMeta
 from pairloom.operators import describe, evaluation, scoring
 from pairloom.operators.examples import (
-    assign_shard, binarise_label, default_slots, preview, split_examples, to_long,
+    assign_shard, binarise_label, default_slots, from_vectors, preview, shard_weights, split_examples, to_long,
 )
 from pairloom.operators.gradient import gradient
-from pairloom.operators.local_epoch import local_epoch
+from pairloom.operators.local_epoch import local_epoch, row_bytes_in_task
 from pairloom.operators.params import (
     add_state, bias, factors, init_params, linear_weights, param_edges, param_health,
 )
 from pairloom.plans import datasets
 from pairloom.plans.fit import fit
 from pairloom.plans.scratch import new_run_dir, write_table
-from pairloom.plans.session import apply_settings
+from pairloom.plans.session import settings
 from pairloom.sources.libsvm import libsvm_lines, read_libsvm, write_libsvm
 from pairloom.sources.model_text import export_lines, read_params_text, write_params_text
 
@@ -33,7 +33,6 @@ NUM_SHARDS = 256
 SCORE = FMConfig(k2=8, seed=SEED, init_std=INIT_STD, reg=(0.001, 0.002, 0.003), num_shards=NUM_SHARDS)
 LOCAL = SCORE.with_(k2=4, step_size=0.05)
 HISTORY = LOCAL.with_(epochs=2)
-RUN_BYTES = 1 << 20
 DOCUMENTS = FMConfig(
     k2=4, seed=SEED, init_std=0.05, reg=(0.0, 0.0, 0.001), optimizer="adam", step_size=0.02, epochs=3, num_shards=4
 )
@@ -103,6 +102,17 @@ def libsvm_scan(spark, sf_dir):
     return read.select("label", F.size("indices").alias("n_nonzero"), F.concat_ws(" ", pairs).alias("features"))
 
 
+def vector_scan(spark, sf_dir):
+    """Documents as sparse vectors, by Spark's own reader, and back."""
+    data = datasets.document_counts(spark, sf_dir)
+    path = new_run_dir(spark, "libsvm")
+    write_libsvm(data.examples, path)
+    vectors = spark.read.format("libsvm").option("numFeatures", data.n_features).load(path)
+    read = binarise_label(from_vectors(vectors))
+    pairs = F.zip_with("indices", "values", lambda j, x: F.concat_ws(":", j, x.cast("long")))
+    return read.select("label", F.size("indices").alias("n_nonzero"), F.concat_ws(" ", pairs).alias("features"))
+
+
 def shard_profile(spark, sf_dir):
     return describe.shard_profile(assign_shard(datasets.order_examples(spark, sf_dir).examples, NUM_SHARDS))
 
@@ -151,8 +161,11 @@ def unseen_features(spark, sf_dir):
 
 
 def dimension_guard(spark, sf_dir):
-    train, valid = _document_split(spark, sf_dir)
-    return describe.beyond_dimension(valid, describe.feature_dim(train))
+    """Documents in other languages that are wider than a model of the English ones."""
+    english = datasets.table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("example_id"))
+    examples = datasets.document_counts(spark, sf_dir).examples
+    model = examples.join(english, "example_id", "left_semi")
+    return describe.beyond_dimension(examples.join(english, "example_id", "left_anti"), describe.feature_dim(model))
 
 
 # Parameters
@@ -211,11 +224,13 @@ def fm_predict(spark, sf_dir):
 
 def fm_predict_sharded(spark, sf_dir):
     """The path for parameters too large to broadcast: copies travel to the shards."""
-    apply_settings(spark)
     examples, params, meta = _orders(spark, sf_dir)
     n = default_slots(spark, NUM_SHARDS)
     sharded = assign_shard(examples, NUM_SHARDS, n)
-    return _scored_columns(scoring.score(sharded, params, meta, limit_bytes=0))
+    # The setting holds while this is planned and written, and not for what the session runs later.
+    with settings(spark):
+        scored = write_table(scoring.score(sharded, params, meta, limit_bytes=0), new_run_dir(spark, "scored"))
+    return _scored_columns(scored)
 
 
 def fm_predict_documents(spark, sf_dir):
@@ -224,6 +239,16 @@ def fm_predict_documents(spark, sf_dir):
     return _scored_columns(scoring.score(data.examples, params, ModelMeta.of(LOCAL, data.n_features)))
 
 
+def fm_predict_unseen(spark, sf_dir):
+    """Validation documents scored by a model that only has the features of the others."""
+    data = datasets.document_counts(spark, sf_dir)
+    train, valid = _document_split(spark, sf_dir)
+    seen = train.select(F.explode("indices").alias("j")).distinct()
+    params = start_params(spark, data.n_features, LOCAL)
+    kept = params.join(seen, "j", "left_semi").unionByName(params.where(F.col("j") == 0))
+    return _scored_columns(scoring.score(valid, kept, ModelMeta.of(LOCAL, data.n_features), unseen="ignore"))
+
+
 def fm_predict_terms_off(spark, sf_dir):
     """Neither bias nor linear term: the pairwise term alone."""
     data = datasets.order_examples(spark, sf_dir)
@@ -255,16 +280,18 @@ def fm_gradient(spark, sf_dir):
     return _flat(grad, SCORE.k2, (("gw", "gv"),))
 
 
-def _local_epoch(optimizer: str, residual: str = "cross_entropy", **limits) -> Query:
-    cfg = LOCAL.with_(optimizer=optimizer, residual=residual, **limits)
+def _local_epoch(optimizer: str, residual: str = "cross_entropy", runs: int = 1) -> Query:
+    cfg = LOCAL.with_(optimizer=optimizer, residual=residual)
     names = (("w", "v"), *((f"{s}_w", f"{s}_v") for s in cfg.state_slots))
 
     def query(spark, sf_dir):
         examples, params, meta = _orders(spark, sf_dir, cfg)
         n = default_slots(spark, NUM_SHARDS)
-        after = local_epoch(
-            assign_shard(examples, NUM_SHARDS, n), add_state(params, cfg), meta, cfg, slots=n
-        )
+        weights = shard_weights(examples, NUM_SHARDS)
+        sharded = assign_shard(examples, NUM_SHARDS, n, weights=weights)
+        # Tasks that may hold the parameters of about a `runs`-th of their non-zeros.
+        limit = cfg.task_bytes if runs == 1 else row_bytes_in_task(cfg) * (1 + sum(weights) // (n * runs))
+        after = local_epoch(sharded, add_state(params, cfg), meta, cfg.with_(task_bytes=limit), slots=n)
         return _flat(after, cfg.k2, names)
 
     return query
@@ -358,6 +385,7 @@ QUERIES: dict[str, Query] = {
     "label_binarise": label_binarise,
     "libsvm_encode": libsvm_encode,
     "libsvm_scan": libsvm_scan,
+    "vector_scan": vector_scan,
     "shard_profile": shard_profile,
     "sample_preview": sample_preview,
     "score_preview": score_preview,
@@ -377,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "fm_predict": fm_predict,
     "fm_predict_sharded": fm_predict_sharded,
     "fm_predict_documents": fm_predict_documents,
+    "fm_predict_unseen": fm_predict_unseen,
     "fm_predict_terms_off": fm_predict_terms_off,
     "fm_predict_regression": fm_predict_regression,
     "fm_gradient": fm_gradient,
@@ -384,7 +413,7 @@ QUERIES: dict[str, Query] = {
     "adam_local_epoch": _local_epoch("adam"),
     "rmsprop_local_epoch": _local_epoch("rmsprop"),
     # Tasks that may hold only some of their shards' parameters.
-    "adam_local_epoch_runs": _local_epoch("adam", task_bytes=RUN_BYTES),
+    "adam_local_epoch_runs": _local_epoch("adam", runs=3),
     "adam_local_epoch_weighted": _local_epoch("adam", "label_weighted"),
     "rmsprop_local_epoch_weighted": _local_epoch("rmsprop", "label_weighted"),
     "fm_log_loss": fm_log_loss,
