@@ -46,6 +46,9 @@ class FMConfig:
     # "label_weighted": Adam and RMSProp use -y * (1 - sigmoid(y * p)), with
     # which rows of label 0 give no gradient beyond the L2 terms.
     residual: str = "cross_entropy"
+    # "first_step": Adam's correction stays that of its first step. "standard": it follows the rows a shard has seen, so
+    # the step counter is part of the optimizer's state, one per shard.
+    bias_correction: str = "first_step"
     eval_every: int = 1
     slots: int | None = None
     # Parameters are broadcast only when their estimated size is below this.
@@ -72,6 +75,8 @@ class FMConfig:
             raise ValueError(f"unknown shard method {self.shard_method!r}")
         if self.residual not in ("cross_entropy", "label_weighted"):
             raise ValueError(f"unknown residual {self.residual!r}")
+        if self.bias_correction not in ("first_step", "standard"):
+            raise ValueError(f"unknown bias correction {self.bias_correction!r}")
         if self.eval_every <= 0:
             raise ValueError("eval_every must be positive")
         if self.task_bytes <= 0:
@@ -84,6 +89,10 @@ class FMConfig:
     def state_slots(self) -> tuple[str, ...]:
         return STATE_SLOTS[self.optimizer]
 
+    @property
+    def counts_steps(self) -> bool:
+        return self.optimizer == "adam" and self.bias_correction == "standard"
+
 
 @dataclass(frozen=True)
 class ModelMeta:

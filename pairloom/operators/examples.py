@@ -100,6 +100,14 @@ def number_steps(sharded: DataFrame) -> DataFrame:
     return sharded.withColumn("step", F.row_number().over(in_shard)).sortWithinPartitions("slot", "step", "shard")
 
 
+def with_shard_rows(stepped: DataFrame) -> DataFrame:
+    """Add ``shard_rows``, the rows of a shard (and split): its highest step."""
+    within = [c for c in ("slot", "shard", "split") if c in stepped.columns]
+    rows = stepped.groupBy(*within).agg(F.max("step").alias("shard_rows"))
+    # One row per shard.
+    return stepped.join(F.broadcast(rows), within)
+
+
 def to_long(examples: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One row per non-zero: the kept columns, ``j`` and ``x``."""
     keep = keep if keep is not None else ["example_id", "label"]

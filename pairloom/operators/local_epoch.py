@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.config import CLASSIFICATION, FMConfig, ModelMeta
-from pairloom.operators.examples import number_steps
+from pairloom.operators.examples import number_steps, with_shard_rows
 from pairloom.plans.scratch import new_run_dir, write_table
 
 # Fixed values of the update rules.
@@ -39,21 +39,21 @@ RMSPROP_EPSILON = 1e-8
 _CHUNK = 16384
 
 
-def sgd_rule(theta, g, state, step):
+def sgd_rule(theta, g, state, step, clock):
     """Bounded step, then clipping of the parameter."""
     moved = theta - step * g / np.sqrt(g * g + 1.0)
     return np.minimum(np.maximum(moved, -SGD_BOUND), SGD_BOUND), ()
 
 
-def adam_rule(theta, g, state, step):
-    """Adam whose bias correction stays that of the first step."""
+def adam_rule(theta, g, state, step, clock):
+    """Adam; its bias correction is that of the step ``clock``, a column of numbers or 1."""
     m = ADAM_DECAY_1 * state[0] + (1.0 - ADAM_DECAY_1) * g
     s = ADAM_DECAY_2 * state[1] + (1.0 - ADAM_DECAY_2) * g * g
-    move = m / (1.0 - ADAM_DECAY_1) / (np.sqrt(s / (1.0 - ADAM_DECAY_2)) + ADAM_EPSILON)
+    move = m / (1.0 - ADAM_DECAY_1**clock) / (np.sqrt(s / (1.0 - ADAM_DECAY_2**clock)) + ADAM_EPSILON)
     return theta - step * move, (m, s)
 
 
-def rmsprop_rule(theta, g, state, step):
+def rmsprop_rule(theta, g, state, step, clock):
     """RMSProp with epsilon inside the root."""
     s = RMSPROP_DECAY * state[0] + (1.0 - RMSPROP_DECAY) * g * g
     return theta - step * g / np.sqrt(s + RMSPROP_EPSILON), (s,)
@@ -72,7 +72,7 @@ def residual_of(cfg: FMConfig, meta: ModelMeta) -> Callable[[np.ndarray, np.ndar
     return lambda z, y: 0.5 + 0.5 * np.tanh(0.5 * z) - y
 
 
-def _update(theta, state, rows, x, example, starts, y, cfg, residual, rule):
+def _update(theta, state, rows, x, example, starts, y, clock, cfg, residual, rule):
     """Update, in place, the parameter rows that one example of each shard touches.
 
     ``rows``, ``x`` and ``example`` (number of the example) are the
@@ -92,7 +92,8 @@ def _update(theta, state, rows, x, example, starts, y, cfg, residual, rule):
     if cfg.k0:
         g[starts, 0] = m + r0 * block[starts, 0]
         g[starts, 1:] = 0.0
-    theta[rows], new_state = rule(block, g, [part.take(rows, axis=0) for part in state], cfg.step_size)
+    steps = 1 if clock is None else clock.take(example)[:, None]
+    theta[rows], new_state = rule(block, g, [part.take(rows, axis=0) for part in state], cfg.step_size, steps)
     for part, value in zip(state, new_state):
         part[rows] = value
 
@@ -103,7 +104,7 @@ def _keys(shard: np.ndarray, j: np.ndarray, n_features: int) -> np.ndarray:
 
 
 def _waves(batch: pa.RecordBatch, known: np.ndarray, n_features: int, with_bias: bool):
-    """Per step in a batch of examples: parameter rows, values, example numbers, starts, labels."""
+    """Per step in a batch of examples: parameter rows, values, example numbers, starts, labels, step counters if given."""
     indices = batch.column("indices")
     j, x = indices.flatten().to_numpy(), batch.column("values").flatten().to_numpy()
     lengths = indices.value_lengths().to_numpy()
@@ -119,10 +120,11 @@ def _waves(batch: pa.RecordBatch, known: np.ndarray, n_features: int, with_bias:
         raise ValueError("an example uses a feature without parameters")
     example = np.repeat(np.arange(batch.num_rows), lengths)
     labels, step = batch.column("label").to_numpy(), batch.column("step").to_numpy()
+    clock = batch.column("clock").to_numpy() if "clock" in batch.schema.names else None
     first = np.r_[0, np.flatnonzero(np.diff(step)) + 1, len(step)].tolist()
     for a, b in zip(first[:-1], first[1:]):
         p, q = bounds[a], bounds[b]
-        yield rows[p:q], x[p:q], example[p:q] - a, bounds[a:b] - p, labels[a:b]
+        yield rows[p:q], x[p:q], example[p:q] - a, bounds[a:b] - p, labels[a:b], None if clock is None else clock[a:b]
 
 
 def _check_order(batch: pa.RecordBatch, last: tuple) -> tuple:
@@ -224,7 +226,7 @@ def _table(params: DataFrame, meta: ModelMeta, cfg: FMConfig) -> DataFrame:
     return F.broadcast(params) if fits else params
 
 
-def _stream(stepped: DataFrame, sent: DataFrame, cfg: FMConfig, slots: int) -> DataFrame:
+def _stream(stepped: DataFrame, sent: DataFrame, cfg: FMConfig, slots: int, epoch: int) -> DataFrame:
     """Per slot its parameter rows ``slot, shard, j, values``, then its examples, in order.
 
     Both sides of the union have the same hash partitioning by slot, which it
@@ -232,19 +234,25 @@ def _stream(stepped: DataFrame, sent: DataFrame, cfg: FMConfig, slots: int) -> D
     """
     rows = sent.selectExpr(
         "slot", "shard", "0 AS step", "cast(j AS long) AS row_id", "0D AS label",
-        "cast(array() AS array<int>) AS indices", "values",
+        "cast(array() AS array<int>) AS indices", "values", *(["0L AS clock"] if cfg.counts_steps else []),
     ).repartition(slots, "slot")
+    clock = []
+    if cfg.counts_steps:
+        # Earlier epochs went over all rows of the shard.
+        before = (epoch - 1) * F.col("shard_rows") if epoch > 1 else F.lit(0)
+        clock = [(F.col("step") + before).cast("long").alias("clock")]
     used = stepped if cfg.k0 else stepped.where(F.size("indices") > 0)
-    examples = used.select("slot", "shard", "step", F.col("example_id").alias("row_id"), "label", "indices", "values")
+    examples = used.select("slot", "shard", "step", F.col("example_id").alias("row_id"), "label", "indices", "values", *clock)
     return examples.unionByName(rows).sortWithinPartitions("slot", "step", "shard", "row_id").groupBy("slot")
 
 
 def local_changes(
-    stepped: DataFrame, needed: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig, slots: int
+    stepped: DataFrame, needed: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig, slots: int,
+    epoch: int = 1,
 ) -> DataFrame:
     """``j, change``: what the local epochs of a slot's shards changed, summed per feature."""
     sent = needed.join(_table(params, meta, cfg), "j").selectExpr("slot", "shard", "j", f"{_packed(cfg)} AS values")
-    return _stream(stepped, sent, cfg, slots).applyInArrow(_walk(cfg, meta), "j int, change array<double>")
+    return _stream(stepped, sent, cfg, slots, epoch).applyInArrow(_walk(cfg, meta), "j int, change array<double>")
 
 
 def row_bytes_in_task(cfg: FMConfig) -> int:
@@ -274,7 +282,8 @@ def plan_runs(stepped: DataFrame, needed: DataFrame, cfg: FMConfig) -> tuple[Dat
 
 
 def changes_by_runs(
-    numbered: DataFrame, runs: int, params: DataFrame, meta: ModelMeta, cfg: FMConfig, slots: int
+    numbered: DataFrame, runs: int, params: DataFrame, meta: ModelMeta, cfg: FMConfig, slots: int,
+    epoch: int = 1,
 ) -> DataFrame:
     """As ``local_changes``, one run after the other; what a run leaves is stored and cuts the lineage."""
     spark = numbered.sparkSession
@@ -299,7 +308,7 @@ def changes_by_runs(
         if now is not None:
             sent = sent.join(now, ["shard", "j"], "left").selectExpr("slot", "shard", "j", "coalesce(now, start) AS start")
         sent = sent.withColumnRenamed("start", "values")
-        ended = _stream(mine, sent, cfg, slots).applyInArrow(_walk(cfg, meta, True), schema)
+        ended = _stream(mine, sent, cfg, slots, epoch).applyInArrow(_walk(cfg, meta, True), schema)
         done.append(write_table(ended, f"{folder}/run{run}").withColumn("run", F.lit(run)))
     return latest().join(_table(params, meta, cfg), "j").selectExpr("j", start, "now").selectExpr(
         "j", "zip_with(now, start, (a, b) -> a - b) AS change")
@@ -332,16 +341,19 @@ def local_epoch(
     slots: int,
     needed: DataFrame | None = None,
     runs: tuple[DataFrame, int] | None = None,
+    epoch: int = 1,
 ) -> DataFrame:
     """Parameters (and optimizer state) after one epoch over examples placed in ``slots`` slots.
 
     ``needed`` and ``runs`` depend on the examples only; a caller with many epochs gives them.
     """
     stepped = sharded if "step" in sharded.columns else number_steps(sharded)
+    if cfg.counts_steps and epoch > 1 and "shard_rows" not in stepped.columns:
+        stepped = with_shard_rows(stepped)
     needed = needed if needed is not None else needed_features(stepped, cfg)
     numbered, n_runs = runs if runs is not None else plan_runs(stepped, needed, cfg)
     if n_runs == 1:
-        changes = local_changes(stepped, needed, params, meta, cfg, slots)
+        changes = local_changes(stepped, needed, params, meta, cfg, slots, epoch)
     else:
-        changes = changes_by_runs(numbered, n_runs, params, meta, cfg, slots)
+        changes = changes_by_runs(numbered, n_runs, params, meta, cfg, slots, epoch)
     return average_changes(params, changes, cfg)

@@ -93,6 +93,12 @@ def param_edges(params: DataFrame, n_features: int, cfg: FMConfig, n: int = 20)
     return flat.where((place < n) | ((place >= size - 1 - n) & (place < size - 1)))
 
 
-def check_health(params: DataFrame) -> None:
-    if param_health(params).first()["n_nan"]:
-        raise ValueError("a parameter is NaN")
+def health_columns() -> list[Column]:
+    """``n_values, n_nan, min_value, max_value`` over all stored numbers, as aggregates that can be observed in passing."""
+    stored = F.concat(F.when(F.col("w").isNull(), _no_factors()).otherwise(F.array("w")), "v")
+    return [
+        F.sum(F.size(stored)).cast("long").alias("n_values"),
+        F.sum(F.size(F.filter(stored, F.isnan))).cast("long").alias("n_nan"),
+        F.min(F.array_min(stored)).alias("min_value"),
+        F.max(F.array_max(stored)).alias("max_value"),
+    ]

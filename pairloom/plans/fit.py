@@ -15,23 +15,26 @@ from pairloom.config import REGRESSION, FMConfig, ModelMeta
 from pairloom.operators.describe import check_dimension, check_examples, feature_dim, label_range
 from pairloom.operators.evaluation import metrics
 from pairloom.operators.examples import (
-    assign_shard, binarise_label, default_slots, number_steps, shard_weights, wide_form,
+    assign_shard, binarise_label, default_slots, number_steps, shard_weights, wide_form, with_shard_rows,
 )
 from pairloom.operators.local_epoch import local_epoch, needed_features, plan_runs
-from pairloom.operators.params import add_state, init_params
+from pairloom.operators.params import add_state, health_columns, init_params
 from pairloom.operators.scoring import fits_broadcast, score, wanted_features
-from pairloom.plans.scratch import new_run_dir
+from pairloom.plans.scratch import new_run_dir, scratch_scope
 from pairloom.plans.session import settings
-from pairloom.sources.history import history_schema, metric_columns
+from pairloom.sources.history import history_schema, metric_columns, write_history
+
+HEALTH_SCHEMA = "epoch int, n_values long, n_nan long, min_value double, max_value double"
 
 
 @dataclass(frozen=True)
 class FMModel:
-    """A trained model: parameters, description and training history."""
+    """A trained model: parameters, description, training history, and the parameters' health after each epoch."""
 
     params: DataFrame
     meta: ModelMeta
     history: DataFrame
+    health: DataFrame
 
     def predict(self, examples: DataFrame, **how) -> DataFrame:
         """Scores of wide examples or of rows with vectors; ``unseen`` says what unknown features do (see ``score``)."""
@@ -48,15 +51,16 @@ class ParamStore:
 
     def __init__(self, spark) -> None:
         self._spark = spark
-        self._dir = new_run_dir(spark, "fit")
+        self.folder = new_run_dir(spark, "fit")
+        self.health: list[tuple] = []
 
     def save(self, params: DataFrame, epoch: int) -> DataFrame:
         seen = Observation()
-        w_nan = F.count_if(F.isnan("w"))
-        v_nan = F.sum(F.size(F.filter("v", F.isnan)))
-        path = f"{self._dir}/slot{epoch % 2}"
-        params.observe(seen, (w_nan + v_nan).alias("n_nan")).write.mode("overwrite").parquet(path)
-        if seen.get["n_nan"]:
+        path = f"{self.folder}/slot{epoch % 2}"
+        params.observe(seen, *health_columns()).write.mode("overwrite").parquet(path)
+        found = seen.get
+        self.health.append((epoch, found["n_values"], found["n_nan"], found["min_value"], found["max_value"]))
+        if found["n_nan"]:
             raise ValueError(f"a parameter is NaN after epoch {epoch}")
         return self._spark.read.schema(params.schema).parquet(path)
 
@@ -70,7 +74,8 @@ def _placed(train: DataFrame, valid: DataFrame, cfg: FMConfig, slots: int) -> Da
     columns = labelled.select("split", "example_id", F.col("label").cast("double"), "indices", "values")
     weights = shard_weights(columns, cfg.num_shards, cfg.shard_method)
     placed = assign_shard(columns, cfg.num_shards, slots, cfg.shard_method, weights)
-    return number_steps(placed).persist(StorageLevel.MEMORY_AND_DISK)
+    stepped = number_steps(placed)
+    return (with_shard_rows(stepped) if cfg.counts_steps else stepped).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _metric_row(examples: DataFrame, params: DataFrame, meta: ModelMeta, cfg: FMConfig, wanted) -> dict:
@@ -92,19 +97,26 @@ def fit(
     params: DataFrame | None = None,
     n_features: int | None = None,
     on_epoch: Callable[[dict], None] | None = None,
+    history_path: str | None = None,
+    run: str = "",
 ) -> FMModel:
     """Train on wide examples, or rows ``example_id, label, features`` with vectors; ``params`` may give a start other than random.
 
     Per epoch: every shard trains from the same parameters over its own rows
     in id order, the changes are averaged, and both sets are evaluated. Rows
     are not reshuffled between epochs and the step size stays constant.
-    ``on_epoch`` receives the metrics of each reported epoch as it ends.
+    ``on_epoch`` receives the metrics of each reported epoch as it ends, and ``history_path`` its row, under the name
+    ``run``. Tables written on the way are removed at the end, also of a failure, but for the parameters of the model.
     """
-    with settings(train.sparkSession):
-        return _fit(train, valid, cfg, params, n_features, on_epoch)
+    with settings(train.sparkSession), scratch_scope(train.sparkSession) as scratch:
+        keep = []
+        try:
+            return _fit(train, valid, cfg, params, n_features, on_epoch, history_path, run, keep)
+        finally:
+            scratch.remove(*keep)
 
 
-def _fit(train, valid, cfg, params, n_features, on_epoch) -> FMModel:
+def _fit(train, valid, cfg, params, n_features, on_epoch, history_path, run, keep) -> FMModel:
     spark = train.sparkSession
     slots = cfg.slots or default_slots(spark, cfg.num_shards)
     held = []
@@ -136,18 +148,22 @@ def _fit(train, valid, cfg, params, n_features, on_epoch) -> FMModel:
             found = _metric_row(both, current, meta, cfg, wanted)
             minutes = None if begin is None else (time.monotonic() - begin) / 60.0
             lines.append((epoch, *found.values(), minutes, datetime.now()))
+            if history_path is not None:
+                write_history(spark.createDataFrame(lines[-1:], history_schema(cfg.task)), history_path, run)
             if on_epoch is not None:
                 on_epoch({"epoch": epoch, **found, "minutes": minutes})
 
         report(0, None)
         for epoch in range(1, cfg.epochs + 1):
             begin = time.monotonic()
-            updated = local_epoch(train, current, meta, cfg, slots=slots, needed=needed, runs=runs)
+            updated = local_epoch(train, current, meta, cfg, slots=slots, needed=needed, runs=runs, epoch=epoch)
             current = store.save(updated, epoch)
             if epoch % cfg.eval_every == 0 or epoch == cfg.epochs:
                 report(epoch, begin)
         history = spark.createDataFrame(lines, history_schema(cfg.task))
-        return FMModel(current.select("j", "w", "v"), meta, history)
+        keep.append(store.folder)
+        health = spark.createDataFrame(store.health, HEALTH_SCHEMA)
+        return FMModel(current.select("j", "w", "v"), meta, history, health)
     finally:
         for df in held:
             df.unpersist()

@@ -19,6 +19,11 @@ tokens AS (
                  'status=' || o_orderstatus]) AS token
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
+# Orders whose label is their price.
+_PRICES = _ORDERS.replace(
+    "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END::DOUBLE AS label",
+    "o_totalprice / 100000.0::DOUBLE AS label",
+)
 # Orders known by their position in order of keys.
 _LINES = _ORDERS.replace("o_orderkey AS example_id", "line AS example_id").replace(
     "FROM orders JOIN customer ON o_custkey = c_custkey",
@@ -42,6 +47,7 @@ ex AS (SELECT tokens.* EXCLUDE (token), j FROM tokens JOIN vocab USING (token))"
 def _base(tokens: str = _ORDERS, recursive: bool = False) -> str:
     rows = {
         _ORDERS: ",\nrow_labels AS (SELECT DISTINCT example_id, label, price FROM tokens)",
+        _PRICES: ",\nrow_labels AS (SELECT DISTINCT example_id, label, price FROM tokens)",
         _LINES: ",\nrow_labels AS (SELECT DISTINCT example_id, label, price FROM tokens)",
         _DOCUMENTS: ",\nrow_labels AS (SELECT doc_id AS example_id, quality::DOUBLE AS label "
         "FROM documents JOIN labels USING (doc_id))",
@@ -161,8 +167,8 @@ def _slots(cfg: FMConfig) -> list[str]:
     return ["", *(f"{slot}_" for slot in cfg.state_slots)]
 
 
-def _rule(cfg: FMConfig, theta: str, g: str) -> dict[str, str]:
-    """New value of a parameter (key ``""``) and of its state."""
+def _rule(cfg: FMConfig, theta: str, g: str, t: str) -> dict[str, str]:
+    """New value of a parameter (key ``""``) and of its state; ``t`` counts the shard's steps from 1."""
     eta = f"{cfg.step_size}::DOUBLE"
     if cfg.optimizer == "sgd":
         moved = f"{theta} - {eta} * {g} / sqrt({g} * {g} + 1.0::DOUBLE)"
@@ -170,9 +176,9 @@ def _rule(cfg: FMConfig, theta: str, g: str) -> dict[str, str]:
     if cfg.optimizer == "adam":
         m = f"(0.9::DOUBLE * m_{theta} + (1.0::DOUBLE - 0.9::DOUBLE) * {g})"
         s = f"(0.999::DOUBLE * s_{theta} + (1.0::DOUBLE - 0.999::DOUBLE) * {g} * {g})"
-        move = (
-            f"({m} / (1.0::DOUBLE - 0.9::DOUBLE)) / (sqrt({s} / (1.0::DOUBLE - 0.999::DOUBLE)) + 1e-8::DOUBLE)"
-        )
+        t = t if cfg.counts_steps else "1"
+        m_left, s_left = (f"(1.0::DOUBLE - pow({rho}::DOUBLE, {t}))" for rho in ("0.9", "0.999"))
+        move = f"({m} / {m_left}) / (sqrt({s} / {s_left}) + 1e-8::DOUBLE)"
         return {"": f"{theta} - {eta} * {move}", "m_": m, "s_": s}
     s = f"(0.99::DOUBLE * s_{theta} + (1.0::DOUBLE - 0.99::DOUBLE) * {g} * {g})"
     return {"": f"{theta} - {eta} * {g} / sqrt({s} + 1e-8::DOUBLE)", "s_": s}
@@ -180,6 +186,7 @@ def _rule(cfg: FMConfig, theta: str, g: str) -> dict[str, str]:
 
 def _shards(cfg: FMConfig, where: str = "true") -> str:
     """CTEs ``act`` (active parameters per shard and step), ``needed`` and ``shard_rows``."""
+    bias = "UNION ALL SELECT shard, step, label, 0, 1.0::DOUBLE FROM ordered" if cfg.k0 else ""
     return f""",
 ordered AS (
   SELECT example_id, label, example_id % {cfg.num_shards} AS shard,
@@ -187,12 +194,12 @@ ordered AS (
   FROM row_labels WHERE {where}),
 act AS (
   SELECT shard, step, label AS y, j, x FROM ordered JOIN ex USING (example_id, label)
-  UNION ALL SELECT shard, step, label, 0, 1.0::DOUBLE FROM ordered),
+  {bias}),
 shard_rows AS (SELECT shard, count(*) AS n_steps FROM ordered GROUP BY shard),
 needed AS (SELECT DISTINCT shard, j, n_steps FROM act JOIN shard_rows USING (shard))"""
 
 
-def _epoch(cfg: FMConfig, start: str, end: str) -> str:
+def _epoch(cfg: FMConfig, start: str, end: str, epoch: int = 1) -> str:
     """CTEs from parameters ``start`` to ``end``: one local epoch of every shard and the average."""
     k, slots = cfg.k2, _slots(cfg)
     names = ["w", *(f"v_{f}" for f in _fs(k))]
@@ -204,6 +211,8 @@ def _epoch(cfg: FMConfig, start: str, end: str) -> str:
     square = " + ".join(f"sum_{f} * sum_{f}" for f in _fs(k))
     prob = "(1.0::DOUBLE / (1.0::DOUBLE + exp(-z)))"
     residual = f"{prob} - y_now"
+    if cfg.task == 0:
+        residual = "greatest(least(z, (SELECT max(label) FROM ordered)), (SELECT min(label) FROM ordered)) - y_now"
     if cfg.residual == "label_weighted" and cfg.optimizer != "sgd":
         residual = f"-y_now * (1.0::DOUBLE - 1.0::DOUBLE / (1.0::DOUBLE + exp(-y_now * {prob})))"
     grads = [f"CASE WHEN j = 0 THEN res + {r0} * w ELSE x * res + {r1} * w END AS g_w"]
@@ -211,9 +220,11 @@ def _epoch(cfg: FMConfig, start: str, end: str) -> str:
         f"CASE WHEN j = 0 THEN 0.0::DOUBLE ELSE (sum_{f} * x - v_{f} * x * x) * res + {r2} * v_{f} END AS g_v_{f}"
         for f in _fs(k)
     ]
+    if not cfg.k1:
+        grads[0] = "0.0::DOUBLE AS g_w"
     new = {}
     for name in names:
-        for slot, expr in _rule(cfg, name, f"g_{name}").items():
+        for slot, expr in _rule(cfg, name, f"g_{name}", f"(step + 1 + {epoch - 1} * n_steps)").items():
             new[f"{slot}{name}"] = f"CASE WHEN x IS NULL THEN {slot}{name} ELSE {expr} END"
     changes = ", ".join(f"sum(d.{c} - coalesce(s.{c}, 0.0)) / {float(cfg.num_shards)}::DOUBLE AS {c}" for c in stored)
     moved = ", ".join(f"s.{c} + coalesce(d.{c}, 0.0) AS {c}" for c in stored)
@@ -245,8 +256,8 @@ def _with_state(cfg: FMConfig) -> str:
     return f",\np0 AS (SELECT *{', ' + zeros if zeros else ''} FROM p)"
 
 
-def _local_epoch(optimizer: str, residual: str = "cross_entropy") -> str:
-    cfg = q.LOCAL.with_(optimizer=optimizer, residual=residual)
+def _local_epoch(optimizer: str, residual: str = "cross_entropy", epochs: int = 1, **settings) -> str:
+    cfg = q.LOCAL.with_(optimizer=optimizer, residual=residual, **settings)
     names = [(f"{slot}w", f"{slot}v") for slot in _slots(cfg)]
     # The bias has no factors: NULL in both results.
     columns = []
@@ -254,8 +265,9 @@ def _local_epoch(optimizer: str, residual: str = "cross_entropy") -> str:
         columns.append(_r(w, w))
         columns += [_r(f"CASE WHEN j > 0 THEN {v}_{f} END", f"{v}_{f}") for f in _fs(cfg.k2)]
     return (
-        _base(recursive=True) + _params(cfg) + _with_state(cfg) + _shards(cfg) + _epoch(cfg, "p0", "p1")
-        + f" SELECT j, {', '.join(columns)} FROM p1"
+        _base(recursive=True) + _params(cfg) + _with_state(cfg) + _shards(cfg)
+        + "".join(_epoch(cfg, f"p{e - 1}", f"p{e}", e) for e in range(1, epochs + 1))
+        + f" SELECT j, {', '.join(columns)} FROM p{epochs}"
     )
 
 
@@ -280,12 +292,29 @@ def _history(cfg: FMConfig, tokens: str = _ORDERS, w0: float = q.START_BIAS) ->
     return sql + " " + " UNION ALL ".join(parts)
 
 
+def _epochs(cfg: FMConfig, tokens: str = _ORDERS) -> str:
+    """CTEs up to ``p0``, ``p1`` .. of all epochs over the training rows."""
+    start = _params(cfg, q.START_BIAS if cfg.k0 else None, k1=cfg.k1)
+    sql = _base(tokens, recursive=True) + start + _with_state(cfg) + _shards(cfg, "example_id % 5 <> 0")
+    return sql + "".join(_epoch(cfg, f"p{e - 1}", f"p{e}", e) for e in range(1, cfg.epochs + 1))
+
+
+def _health() -> str:
+    cfg = q.HISTORY
+    names = ["w", *(f"v_{f}" for f in _fs(cfg.k2))]
+    parts = []
+    for epoch in range(cfg.epochs + 1):
+        values = " UNION ALL ".join(f"SELECT {c} AS value FROM p{epoch}{'' if c == 'w' else ' WHERE j > 0'}" for c in names)
+        parts.append(
+            f"SELECT {epoch}::INTEGER AS epoch, count(*) AS n_values, count(*) FILTER (isnan(value)) AS n_nan, "
+            f"{_r('min(value)', 'min_value')}, {_r('max(value)', 'max_value')} FROM ({values})")
+    return _epochs(cfg) + " " + " UNION ALL ".join(parts)
+
+
 def _trained(cfg: FMConfig, tokens: str) -> str:
     """Parameters after the last epoch."""
-    sql = _base(tokens, recursive=True) + _params(cfg) + _with_state(cfg) + _shards(cfg, "example_id % 5 <> 0")
-    for epoch in range(1, cfg.epochs + 1):
-        sql += _epoch(cfg, f"p{epoch - 1}", f"p{epoch}")
-    columns = ", ".join([_r("w", "w"), *(_r(f"CASE WHEN j > 0 THEN v_{f} END", f"v_{f}") for f in _fs(cfg.k2))])
+    sql = _epochs(cfg, tokens)
+    columns = ", ".join([*([_r("w", "w")] if cfg.k1 else []), *(_r(f"CASE WHEN j > 0 THEN v_{f} END", f"v_{f}") for f in _fs(cfg.k2))])
     return f"{sql} SELECT j, {columns} FROM p{cfg.epochs}"
 
 
@@ -385,12 +414,12 @@ SELECT example_id, max(j) AS max_index FROM ex WHERE example_id NOT IN (FROM eng
 HAVING max(j) > (SELECT max(j) FROM ex WHERE example_id IN (FROM english))""",
         "fm_init": orders + _params(q.SCORE, 0.0) + f" SELECT j, {_flat_columns(k, digits=9)} FROM p",
         "model_meta": orders + f"""
-SELECT 1::INTEGER AS task, true AS k0, true AS k1, {k}::INTEGER AS k2, max(j)::INTEGER AS n_features,
-       0.0::DOUBLE AS label_min, 1.0::DOUBLE AS label_max FROM vocab""",
+SELECT 0::INTEGER AS task, true AS k0, true AS k1, {k}::INTEGER AS k2, (SELECT max(j) FROM vocab)::INTEGER AS n_features,
+       {_r('min(price)', 'label_min')}, {_r('max(price)', 'label_max')} FROM row_labels""",
         "model_parts": orders + _params(q.SCORE) + f"""
 SELECT 'w0' AS part, j, {_r('w', 'value')} FROM p WHERE j = 0
 UNION ALL SELECT 'w', j, {_r('w', 'value')} FROM p WHERE j > 0
-UNION ALL SELECT 'v', j, {_r(f'v_{k - 1}', 'value')} FROM p WHERE j > 0""",
+""" + " ".join(f"UNION ALL SELECT 'v_{f}', j, {_r(f'v_{f}', 'value')} FROM p WHERE j > 0" for f in _fs(k)),
         "param_health": orders + _params(q.SCORE) + f"""
 SELECT count(*) AS n_values, count(*) FILTER (isnan(value)) AS n_nan, {_r('min(value)', 'min_value')},
        {_r('max(value)', 'max_value')} FROM ({values})""",
@@ -428,6 +457,14 @@ SELECT {_SPLIT} AS split, count(*) AS n_rows, {_r('sqrt(avg((score - label) * (s
        {_r('avg(abs(score - label))', 'mae')} FROM scored GROUP BY 1""",
         "fm_train_history": _history(q.HISTORY),
         "fm_train_documents": _history(q.DOCUMENTS, _DOCUMENTS, 0.0),
+        "fm_train_health": _health(),
+        "fm_train_regression": _trained(q.REGRESSION, _PRICES),
+        "fm_train_terms_off": _trained(q.TERMS_OFF, _ORDERS),
+        "history_sink": _history(q.DOCUMENTS, _DOCUMENTS, 0.0),
+        "export_twice": orders + _params(q.SCORE) + f" SELECT j, {_flat_columns(k, digits=9)} FROM p",
+        "rmsprop_two_epochs": _local_epoch("rmsprop", epochs=2),
+        "adam_local_epoch_standard": _local_epoch("adam", bias_correction="standard"),
+        "adam_two_epochs_standard": _local_epoch("adam", epochs=2, bias_correction="standard"),
         "libsvm_train": _trained(q.HISTORY, _LINES),
         "fm_export_lines": orders + _params(q.SCORE) + f"""
 SELECT 'w_' || j || ' ' || {exported.format('w')} AS value FROM p

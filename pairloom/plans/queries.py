@@ -21,6 +21,7 @@ from pairloom.plans import datasets
 from pairloom.plans.fit import fit
 from pairloom.plans.scratch import new_run_dir, write_table
 from pairloom.plans.session import settings
+from pairloom.sources.history import read_history, write_history
 from pairloom.sources.libsvm import libsvm_lines, read_libsvm, write_libsvm
 from pairloom.sources.model_text import export_lines, read_params_text, write_params_text
 
@@ -33,6 +34,8 @@ NUM_SHARDS = 256
 SCORE = FMConfig(k2=8, seed=SEED, init_std=INIT_STD, reg=(0.001, 0.002, 0.003), num_shards=NUM_SHARDS)
 LOCAL = SCORE.with_(k2=4, step_size=0.05)
 HISTORY = LOCAL.with_(epochs=2)
+REGRESSION = HISTORY.with_(task=0, optimizer="rmsprop", step_size=0.01)
+TERMS_OFF = HISTORY.with_(k0=False, k1=False, optimizer="adam", step_size=0.01)
 DOCUMENTS = FMConfig(
     k2=4, seed=SEED, init_std=0.05, reg=(0.0, 0.0, 0.001), optimizer="adam", step_size=0.02, epochs=3, num_shards=4
 )
@@ -177,14 +180,18 @@ def fm_init(spark, sf_dir):
 
 
 def model_meta(spark, sf_dir):
-    return ModelMeta.of(SCORE, datasets.order_examples(spark, sf_dir).n_features, 0.0, 1.0).frame(spark)
+    """Description of a regression model of the order prices: dimension and label range come from the table."""
+    data = datasets.order_examples(spark, sf_dir, regression=True)
+    low, high = describe.label_range(data.examples).first()
+    meta = ModelMeta.of(SCORE.with_(task=0), describe.feature_dim(data.examples), low, high).frame(spark)
+    return meta.withColumns({c: rounded(c) for c in ("label_min", "label_max")})
 
 
 def model_parts(spark, sf_dir):
     _, params, meta = _orders(spark, sf_dir)
     w0 = bias(params).select(F.lit("w0").alias("part"), F.lit(0).alias("j"), F.col("w0").alias("value"))
     w = linear_weights(params).select(F.lit("w").alias("part"), "j", F.col("w").alias("value"))
-    v = factors(params, meta.k2).select(F.lit("v").alias("part"), "j", F.col(f"v_{meta.k2 - 1}").alias("value"))
+    v = factors(params, meta.k2).unpivot("j", [f"v_{f}" for f in range(meta.k2)], "part", "value").select("part", "j", "value")
     return w0.unionByName(w).unionByName(v).withColumn("value", rounded("value"))
 
 
@@ -280,8 +287,8 @@ def fm_gradient(spark, sf_dir):
     return _flat(grad, SCORE.k2, (("gw", "gv"),))
 
 
-def _local_epoch(optimizer: str, residual: str = "cross_entropy", runs: int = 1) -> Query:
-    cfg = LOCAL.with_(optimizer=optimizer, residual=residual)
+def _local_epoch(optimizer: str, residual: str = "cross_entropy", runs: int = 1, epochs: int = 1, **settings) -> Query:
+    cfg = LOCAL.with_(optimizer=optimizer, residual=residual, **settings)
     names = (("w", "v"), *((f"{s}_w", f"{s}_v") for s in cfg.state_slots))
 
     def query(spark, sf_dir):
@@ -291,7 +298,11 @@ def _local_epoch(optimizer: str, residual: str = "cross_entropy", runs: int = 1)
         sharded = assign_shard(examples, NUM_SHARDS, n, weights=weights)
         # Tasks that may hold the parameters of about a `runs`-th of their non-zeros.
         limit = cfg.task_bytes if runs == 1 else row_bytes_in_task(cfg) * (1 + sum(weights) // (n * runs))
-        after = local_epoch(sharded, add_state(params, cfg), meta, cfg.with_(task_bytes=limit), slots=n)
+        after = add_state(params, cfg)
+        for epoch in range(1, epochs + 1):
+            after = local_epoch(sharded, after, meta, cfg.with_(task_bytes=limit), slots=n, epoch=epoch)
+            if epoch < epochs:
+                after = write_table(after, new_run_dir(spark, "epoch"))
         return _flat(after, cfg.k2, names)
 
     return query
@@ -314,6 +325,49 @@ def fm_train_documents(spark, sf_dir):
     return _history(datasets.document_examples(spark, sf_dir), DOCUMENTS)
 
 
+def fm_train_health(spark, sf_dir):
+    """Number, NaNs, least and greatest of all parameters, before training and after each epoch."""
+    data = datasets.order_examples(spark, sf_dir)
+    examples = split_examples(data.examples)
+    train, valid = (examples.where(F.col("split") == s).drop("split") for s in ("train", "valid"))
+    params = start_params(spark, data.n_features, HISTORY)
+    health = fit(train, valid, HISTORY, params=params, n_features=data.n_features).health
+    return health.withColumns({c: rounded(c) for c in ("min_value", "max_value")})
+
+
+def fm_train_regression(spark, sf_dir):
+    """Parameters of a regression on order prices after two epochs."""
+    data = datasets.order_examples(spark, sf_dir, regression=True)
+    examples = split_examples(data.examples)
+    train, valid = (examples.where(F.col("split") == s).drop("split") for s in ("train", "valid"))
+    params = start_params(spark, data.n_features, REGRESSION)
+    return _flat(fit(train, valid, REGRESSION, params=params, n_features=data.n_features).params, REGRESSION.k2)
+
+
+def fm_train_terms_off(spark, sf_dir):
+    """Parameters of a model without bias and linear term after two epochs."""
+    data = datasets.order_examples(spark, sf_dir)
+    examples = split_examples(data.examples)
+    train, valid = (examples.where(F.col("split") == s).drop("split") for s in ("train", "valid"))
+    params = start_params(spark, data.n_features, TERMS_OFF)
+    model = fit(train, valid, TERMS_OFF, params=params, n_features=data.n_features)
+    return _flat(model.params, TERMS_OFF.k2).drop("w")
+
+
+def history_sink(spark, sf_dir):
+    """A history written epoch by epoch, written once more as a whole, and another run's, read back for one run."""
+    data = datasets.document_examples(spark, sf_dir)
+    examples = split_examples(data.examples)
+    train, valid = (examples.where(F.col("split") == s).drop("split") for s in ("train", "valid"))
+    path = new_run_dir(spark, "history")
+    model = fit(train, valid, DOCUMENTS, n_features=data.n_features, history_path=path, run="2024-01-01")
+    write_history(model.history, path, "2024-01-01")
+    write_history(model.history.where("epoch < 2"), path, "2024-01-02")
+    read = read_history(spark, path, run="2024-01-01")
+    kept = [c for c in read.columns if c not in ("run", "epoch", "minutes", "finished_at")]
+    return read.select("epoch", *[rounded(c).alias(c) for c in kept])
+
+
 def libsvm_train(spark, sf_dir):
     """Orders written as libsvm text in order of their keys, read back and trained: an example is its line."""
     data = datasets.order_examples(spark, sf_dir)
@@ -379,6 +433,15 @@ def fm_export_read(spark, sf_dir):
     return _flat(read_params_text(spark, path), SCORE.k2, digits=9)
 
 
+def export_twice(spark, sf_dir):
+    """The second export takes the place of the first."""
+    _, params, _ = _orders(spark, sf_dir)
+    path = new_run_dir(spark, "export")
+    write_params_text(params.where("j < 3"), path)
+    write_params_text(params, path)
+    return _flat(read_params_text(spark, path), SCORE.k2, digits=9)
+
+
 QUERIES: dict[str, Query] = {
     "fm_examples_long": fm_examples_long,
     "document_words_long": document_words_long,
@@ -413,6 +476,9 @@ QUERIES: dict[str, Query] = {
     "adam_local_epoch": _local_epoch("adam"),
     "rmsprop_local_epoch": _local_epoch("rmsprop"),
     # Tasks that may hold only some of their shards' parameters.
+    "rmsprop_two_epochs": _local_epoch("rmsprop", epochs=2),
+    "adam_local_epoch_standard": _local_epoch("adam", bias_correction="standard"),
+    "adam_two_epochs_standard": _local_epoch("adam", epochs=2, bias_correction="standard"),
     "adam_local_epoch_runs": _local_epoch("adam", runs=3),
     "adam_local_epoch_weighted": _local_epoch("adam", "label_weighted"),
     "rmsprop_local_epoch_weighted": _local_epoch("rmsprop", "label_weighted"),
@@ -425,6 +491,11 @@ QUERIES: dict[str, Query] = {
     "fm_train_history": fm_train_history,
     "fm_train_documents": fm_train_documents,
     "libsvm_train": libsvm_train,
+    "fm_train_health": fm_train_health,
+    "fm_train_regression": fm_train_regression,
+    "fm_train_terms_off": fm_train_terms_off,
+    "history_sink": history_sink,
+    "export_twice": export_twice,
     "fm_export_lines": fm_export_lines,
     "fm_export_read": fm_export_read,
 }

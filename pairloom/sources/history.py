@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.config import CLASSIFICATION
@@ -31,5 +31,17 @@ def history_line(task: int) -> Column:
     return F.concat_ws("  ", F.format_string("%02d", F.col("epoch")), *numbers, minutes, when)
 
 
-def write_history(history: DataFrame, path: str) -> None:
-    history.write.mode("append").parquet(path)
+def write_history(history: DataFrame, path: str, run: str = "") -> None:
+    """Write rows under ``path`` by run and epoch; a run's epoch that is there already is replaced, all else stays.
+
+    So an epoch can be written as it ends, a repeated write adds nothing, and a run that fails leaves what it reported.
+    """
+    rows = history.withColumn("run", F.lit(run or "run")).withColumn("of_epoch", F.col("epoch"))
+    rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "run", "of_epoch").parquet(path)
+
+
+def read_history(spark: SparkSession, path: str, task: int = CLASSIFICATION, run: str | None = None) -> DataFrame:
+    """``run`` and the columns of the history; of one run if it is given."""
+    rows = spark.read.schema(f"{history_schema(task)}, run string, of_epoch int").parquet(path).drop("of_epoch")
+    return rows if run is None else rows.where(F.col("run") == run)

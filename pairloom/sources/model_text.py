@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import double_text
+from pairloom.plans.scratch import remove, replace_folder
 
 EXPORT_FILES = 30
 
@@ -33,9 +36,17 @@ def export_lines(params: DataFrame, digits: int | None = None, k0: bool = True)
 
 
 def write_params_text(params: DataFrame, path: str, files: int = EXPORT_FILES, k0: bool = True) -> None:
-    """Write the lines in order over ``files`` text files, replacing the target."""
+    """Write the lines in order over ``files`` text files, replacing the target.
+
+    They are written beside the target and take its place when complete, so a failed export leaves the earlier one.
+    """
     lines = export_lines(params, k0=k0).repartitionByRange(files, "part", "j").sortWithinPartitions("part", "j")
-    lines.select("value").write.mode("overwrite").text(path)
+    staged = f"{path.rstrip('/')}._new-{uuid.uuid4().hex}"
+    try:
+        lines.select("value").write.text(staged)
+        replace_folder(params.sparkSession, staged, path)
+    finally:
+        remove(params.sparkSession, staged)
 
 
 def read_params_text(spark: SparkSession, path: str) -> DataFrame:

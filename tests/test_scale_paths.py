@@ -1,5 +1,7 @@
 """Paths for large inputs give the results of the plain ones."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
@@ -13,8 +15,11 @@ from pairloom.operators.gradient import gradient
 from pairloom.operators.params import add_state, init_params
 from pairloom.operators.scoring import score
 from pairloom.plans.fit import fit
-from pairloom.plans.scratch import write_table
-from pairloom.sources.libsvm import read_libsvm
+from pairloom.plans import job
+from pairloom.plans.scratch import new_run_dir, scratch_root, scratch_scope, write_table
+from pairloom.sources.history import read_history, write_history
+from pairloom.sources.libsvm import read_libsvm, write_libsvm
+from pairloom.sources.model_text import read_params_text, write_params_text
 from test_training import frame, random_rows
 
 
@@ -99,8 +104,6 @@ def test_runs_equal_an_unbroken_walk(spark, optimizer, k0, monkeypatch):
 
 
 def write_back(spark, df):
-    from pairloom.plans.scratch import new_run_dir
-
     return write_table(df, new_run_dir(spark, "test"))
 
 
@@ -163,3 +166,82 @@ def test_heavy_shards_are_spread(spark):
     placed = assign_shard(rows, 64, 8, "hash", weights).groupBy("slot").agg(F.sum(F.size("indices") + 1).alias("n")).collect()
     assert sorted(r.n for r in placed) == sorted(loads)
     assert assign_shard(rows, 64, 8, "hash", weights).groupBy("shard").agg(F.count_distinct("slot").alias("n")).where("n > 1").isEmpty()
+
+
+def test_history_by_run_and_epoch(spark, tmp_path):
+    rows = frame(spark, random_rows(40))
+    path = str(tmp_path / "history")
+    cfg = FMConfig(epochs=3, k2=2, num_shards=2)
+
+    def fail_in_second(found):
+        if found["epoch"] == 2:
+            raise RuntimeError("stop")
+
+    with pytest.raises(RuntimeError):
+        fit(rows, rows, cfg, n_features=12, history_path=path, run="2024-01-01", on_epoch=fail_in_second)
+    assert sorted(r.epoch for r in read_history(spark, path).collect()) == [0, 1, 2]
+    model = fit(rows, rows, cfg, n_features=12, history_path=path, run="2024-01-01")
+    write_history(model.history, path, "2024-01-01")
+    write_history(model.history, path, "other")
+    read = read_history(spark, path, run="2024-01-01").drop("run").orderBy("epoch").collect()
+    assert read == model.history.orderBy("epoch").collect()
+    assert read_history(spark, path).count() == 8
+    health = model.health.orderBy("epoch").collect()
+    assert [r.epoch for r in health] == [0, 1, 2, 3] and all(r.n_values == 1 + 12 * 3 and r.n_nan == 0 for r in health)
+
+
+def test_failed_export_leaves_the_earlier_one(spark, tmp_path):
+    path = str(tmp_path / "model")
+    params = write_back(spark, init_params(spark, 5, FMConfig(k2=2)))
+    write_params_text(params, path, files=2)
+    before = sorted(map(tuple, read_params_text(spark, path).collect()))
+    broken = params.withColumn("w", F.when(F.col("j") == 4, F.raise_error(F.lit("bad")).cast("double")).otherwise(F.col("w")))
+    with pytest.raises(PySparkException):
+        write_params_text(broken, path, files=2)
+    assert sorted(map(tuple, read_params_text(spark, path).collect())) == before
+    write_params_text(params.where("j < 3"), path, files=2)
+    assert read_params_text(spark, path).count() == 3
+    assert os.listdir(tmp_path) == ["model"]
+
+
+def test_scratch_folders_are_removed(spark, tmp_path):
+    folder = scratch_root(spark).removeprefix("file:")
+    listed = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    write_libsvm(frame(spark, random_rows(1, n=60)), str(tmp_path / "train"))
+    cfg = job.job_config(2, "adam", 0.05, 4).with_(task_bytes=5_000)
+    before = listed()
+    result = job.run_job(spark, str(tmp_path / "train"), str(tmp_path / "train"), str(tmp_path / "model"), cfg)
+    left = {name.split("-")[1] for name in listed() - before}
+    assert len(listed() - before) == 2 and left == {"fit", "job"}
+    # What the result refers to can still be read.
+    assert result.model.params.count() == result.model.meta.n_features + 1
+    assert result.description.count() == 2 and result.final_means.count() == 2 and result.samples.count() == 6
+    before = listed()
+    (tmp_path / "bad.txt").write_text("1 3:1 2:1\n")
+    with pytest.raises(PySparkException):
+        job.run_job(spark, str(tmp_path / "train"), str(tmp_path / "bad.txt"), str(tmp_path / "model2"), cfg)
+    assert listed() == before
+    with scratch_scope(spark) as scope:
+        kept, gone = new_run_dir(spark, "a"), new_run_dir(spark, "b")
+        for path in (kept, gone):
+            write_table(spark.range(3), path)
+        scope.remove(kept)
+    assert spark.read.parquet(kept).count() == 3 and not os.path.exists(gone.removeprefix("file:"))
+
+
+def test_standard_adam_counts_the_steps_of_a_shard(spark):
+    cfg = FMConfig(optimizer="adam", bias_correction="standard", k2=1, num_shards=1, step_size=0.1, reg=(0, 0, 0), k0=True)
+    meta = ModelMeta.of(cfg, 1)
+    rows = frame(spark, [(i, 1.0, []) for i in range(3)])
+    params = add_state(init_params(spark, 1, cfg), cfg)
+    sharded = number_steps(assign_shard(rows, 1, 1))
+    for epoch in (1, 2):
+        params = write_back(spark, le.local_epoch(sharded, params, meta, cfg, slots=1, epoch=epoch))
+    w = m = s = 0.0
+    for t in range(1, 7):
+        g = 1 / (1 + np.exp(-w)) - 1.0
+        m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
+        w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-8)
+    assert params.where("j = 0").first().w == pytest.approx(w, abs=1e-12)
+    with pytest.raises(ValueError):
+        FMConfig(bias_correction="none")

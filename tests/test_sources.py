@@ -129,7 +129,8 @@ def test_job(spark, tmp_path):
     assert means["train"].pos_mean == pytest.approx(last.train_pos_mean, abs=1e-12)
     assert means["valid"].neg_mean == pytest.approx(last.valid_neg_mean, abs=1e-12)
     assert read_params_text(spark, str(tmp_path / "model")).count() == result.model.meta.n_features + 1
-    write_history(result.model.history, str(tmp_path / "history"))
+    assert spark.read.parquet(str(tmp_path / "history")).count() == 3
+    write_history(result.model.history, str(tmp_path / "history"), "second")
     assert spark.read.parquet(str(tmp_path / "history")).count() == 6
     line = result.model.history.orderBy("epoch").select(history_line(1).alias("line")).first().line
     assert line.startswith("00  ") and "None" in line
