@@ -51,6 +51,8 @@ class FMConfig:
     bias_correction: str = "first_step"
     eval_every: int = 1
     slots: int | None = None
+    # Tasks that evaluate the sets after an epoch; if they are more than the slots, rows get a second placement.
+    score_tasks: int | None = None
     # Parameters are broadcast only when their estimated size is below this.
     broadcast_limit_bytes: int = 64 << 20
     # What a task may hold of its shards' parameters. Shards that use more are walked in several runs of rows.

@@ -15,7 +15,7 @@ from pairloom.config import REGRESSION, FMConfig, ModelMeta
 from pairloom.operators.describe import check_dimension, check_examples, feature_dim, label_range
 from pairloom.operators.evaluation import metrics
 from pairloom.operators.examples import (
-    assign_shard, binarise_label, default_slots, number_steps, shard_weights, wide_form, with_shard_rows,
+    assign_shard, binarise_label, default_slots, number_steps, shard_weights, spread_for_scoring, wide_form, with_shard_rows,
 )
 from pairloom.operators.local_epoch import local_epoch, needed_features, plan_runs
 from pairloom.operators.params import add_state, health_columns, init_params
@@ -131,9 +131,15 @@ def _fit(train, valid, cfg, params, n_features, on_epoch, history_path, run, kee
         meta = ModelMeta.of(cfg, n, low, high)
         if n_features:
             check_dimension(train, meta)
+        # Shards bind training to their slots, but not scoring.
+        tasks = cfg.score_tasks or max(slots, spark.sparkContext.defaultParallelism)
+        scoring_rows = both
+        if tasks > slots:
+            scoring_rows = spread_for_scoring(both, tasks).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(scoring_rows)
         wanted = None
         if not fits_broadcast(meta, cfg.broadcast_limit_bytes):
-            wanted = wanted_features(both, meta).persist(StorageLevel.MEMORY_AND_DISK)
+            wanted = wanted_features(scoring_rows, meta).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(wanted)
         runs = plan_runs(train, needed, cfg)
         if runs[1] > 1:
@@ -145,7 +151,7 @@ def _fit(train, valid, cfg, params, n_features, on_epoch, history_path, run, kee
         lines = []
 
         def report(epoch: int, begin: float | None) -> None:
-            found = _metric_row(both, current, meta, cfg, wanted)
+            found = _metric_row(scoring_rows, current, meta, cfg, wanted)
             minutes = None if begin is None else (time.monotonic() - begin) / 60.0
             lines.append((epoch, *found.values(), minutes, datetime.now()))
             if history_path is not None:

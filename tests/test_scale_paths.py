@@ -245,3 +245,19 @@ def test_standard_adam_counts_the_steps_of_a_shard(spark):
     assert params.where("j = 0").first().w == pytest.approx(w, abs=1e-12)
     with pytest.raises(ValueError):
         FMConfig(bias_correction="none")
+
+
+def test_evaluation_has_more_tasks_than_shards(spark):
+    from pairloom.operators.examples import spread_for_scoring
+
+    rows = frame(spark, random_rows(80))
+    metrics = []
+    for tasks in (1, 6):
+        for limit in (64 << 20, 0):
+            cfg = FMConfig(epochs=1, k2=2, num_shards=1, slots=1, score_tasks=tasks, broadcast_limit_bytes=limit)
+            history = fit(rows, rows, cfg, n_features=12).history.drop("minutes", "finished_at")
+            metrics.append([[round(x, 10) for x in r] for r in history.orderBy("epoch").collect()])
+    assert all(m == metrics[0] for m in metrics)
+    placed = spread_for_scoring(assign_shard(rows, 1, 1), 6)
+    assert placed.rdd.getNumPartitions() == 6 and "shard" not in placed.columns
+    assert placed.groupBy(F.spark_partition_id()).agg(F.count_distinct("slot").alias("n")).where("n > 1").isEmpty()
