@@ -9,10 +9,8 @@ Packing needs only how many pieces there are of each length, a table of at most
 2. Configurations of these few sizes are optimised by column generation: a
    linear program over patterns, new patterns from a knapsack on the duals.
    Rounded-down pattern counts are used, the rest is filled best-fit.
-3. Real pieces take the rounded slots, longest first. The smallest slot of a
-   configuration stays open: rounding left room beside it, so its pieces go
-   best-fit against the real room.
-4. Pieces of open slots, then small lengths, go best-fit, longest first.
+3. Real pieces take the rounded slots of all configurations, longest first.
+4. Large pieces left over, then small lengths, go best-fit against the real room, longest first.
 
 Bins that hold the same lengths are one class, so the plan is a list of runs:
 "pieces a to b of length l go to sequences s, s+1, .. at offset o". Pieces are
@@ -28,6 +26,7 @@ than id and text aren't read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -43,7 +42,7 @@ from pairloom.llm.common import stored, texts
 
 # Lengths up to capacity // SMALL are small; the number of equal-cardinality groups.
 SMALL, GROUPS = 4, 48
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST, ENCODED = 300_000, 64, 2_000
 # Pieces of one length are numbered in so many blocks at least.
 BLOCKS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -128,8 +127,6 @@ def grouped_bins(large: list[tuple[int, int]], capacity: int, groups: int) -> tu
     pools = list(merged.values())
     for bins, pattern in configurations(sizes, demand, capacity):
         slots = [i for i, n in enumerate(pattern.tolist()) for _ in range(n)]
-        if len(slots) > 1:
-            slots.remove(min(slots, key=lambda i: sizes[i]))
         while bins:
             # Every slot takes the longest piece left of its group; a run lasts while all lengths stay.
             wanted: dict[int, int] = {}
@@ -236,6 +233,8 @@ def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One task, one core: threads of the library would multiply its memory and compete with other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -250,8 +249,8 @@ def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text
                 if len(known) > REMEMBERED:
                     known = {}
                 new = sorted(every - known.keys())
-                for i in range(0, len(new), 10_000):
-                    block = new[i : i + 10_000]
+                for i in range(0, len(new), ENCODED):
+                    block = new[i : i + ENCODED]
                     for w, e in zip(block, tokenizer.encode_batch_fast(block, add_special_tokens=False)):
                         known[w] = np.array(e.ids, dtype="<u4").tobytes()
                 rows: list[list] = [[], [], [], [], []]

@@ -237,3 +237,28 @@ def test_copies_and_repetitions_make_no_word_toxic(spark):
     assert model.weights["vile"] > 0 and "house" not in model.weights
     found = {r.doc_id: r for r in toxic_segments.score(docs, model).collect()}
     assert found[1000].predicted == 1 and found[1000].n_passages == 1 and found[5].predicted == 0
+
+
+def test_pieces_hold_the_library_s_ids(awkward, given):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    from pairloom.llm import grouping_pack, queries
+
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    for docs, _ in (awkward, given):
+        want = collections.Counter()
+        for i, t in pairs(docs, "doc_id"):
+            ids = [*library.encode(t, add_special_tokens=False).ids, 1]
+            for piece, start in enumerate(range(0, len(ids), 4096)):
+                part = np.array(ids[start : start + 4096], dtype="<u4")
+                want[i, piece, start, len(part), zlib.crc32(part.tobytes())] += 1
+        rows = grouping_pack.pack_documents(docs, path).collect()
+        assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+        ends = {}
+        for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+            assert r.offset == ends.get(r.sequence_id, 0)
+            ends[r.sequence_id] = r.offset + r.length
+        assert max(ends.values()) <= 4096
