@@ -42,7 +42,9 @@ from pairloom.llm.common import stored, texts
 
 # Lengths up to capacity // SMALL are small; the number of equal-cardinality groups.
 SMALL, GROUPS = 4, 48
-REMEMBERED, LONGEST, ENCODED = 300_000, 64, 2_000
+REMEMBERED, LONGEST, ENCODED = 300_000, 64, 200
+# A character of one id, between blanks: where it stands, a chunk ends.
+MARK = "\x01"
 # Pieces of one length are numbered in so many blocks at least.
 BLOCKS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -225,6 +227,26 @@ def pack_plan(histogram: dict[int, int], capacity: int, groups: int = GROUPS) ->
     return runs
 
 
+def chunks_of(text: str) -> list[str]:
+    """Parts of a text between blanks and line ends.
+
+    The vocabulary is in lower case; an ASCII text may be lowered as a whole, so that more parts are equal.
+    """
+    return (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
+
+
+def encode_chunks(tokenizer, chunks: list[str]) -> list[bytes]:
+    """The ids of each chunk, as bytes; all chunks are encoded as one text and cut at marks between them."""
+    joined = f" {MARK} ".join(chunks)
+    ids, mark = (np.array(tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids, dtype="<u4") for t in (joined, MARK))
+    at = np.flatnonzero(ids == mark[0])
+    if len(mark) != 1 or len(at) != len(chunks) - 1:
+        # A chunk holds the mark itself.
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    whole = ids.tobytes()
+    return [whole[a:b] for a, b in zip([0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(whole)])]
+
+
 def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text: str, id_column: str) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every piece.
 
@@ -244,25 +266,25 @@ def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                split = [t.replace("\n", " ").split(" ") for t in texts(batch["text"])]
+                split = [chunks_of(t) for t in texts(batch["text"])]
                 every = set().union(*split)
                 if len(known) > REMEMBERED:
                     known = {}
-                new = sorted(every - known.keys())
+                new = list(every - known.keys())
                 for i in range(0, len(new), ENCODED):
                     block = new[i : i + ENCODED]
-                    for w, e in zip(block, tokenizer.encode_batch_fast(block, add_special_tokens=False)):
-                        known[w] = np.array(e.ids, dtype="<u4").tobytes()
+                    known.update(zip(block, encode_chunks(tokenizer, block)))
                 rows: list[list] = [[], [], [], [], []]
                 end = np.array([end_id], dtype="<u4").tobytes()
                 for doc_id, words in zip(batch["doc_id"].to_pylist(), split):
-                    ids = b"".join([known[w] for w in words]) + end
+                    ids = b"".join(map(known.__getitem__, words)) + end
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[start : start + 4 * capacity]
                         for column, x in zip(rows, (doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part))):
                             column.append(x)
-                for w in [w for w in every if len(w) > LONGEST]:
-                    del known[w]
+                for w in new:
+                    if len(w) > LONGEST:
+                        del known[w]
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(rows, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])

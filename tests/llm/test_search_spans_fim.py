@@ -247,6 +247,11 @@ def test_pieces_hold_the_library_s_ids(awkward, given):
     from pairloom.llm import grouping_pack, queries
 
     path = queries.tokenizer_file("word_bpe_49k.json")
+    odd = ["a", "B\x01c", "\x01", "", "ΣΑΣ", "don't,stop", "\u0301x", "x" * 100]
+    one = Tokenizer.from_file(path)
+    for block in (odd, [c for c in odd if "\x01" not in c]):
+        want = [np.array(one.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes() for c in block]
+        assert grouping_pack.encode_chunks(one, block) == want
     library = Tokenizer.from_file(path)
     for docs, _ in (awkward, given):
         want = collections.Counter()
