@@ -77,8 +77,7 @@ def test_empty_libsvm(spark, tmp_path):
     assert read_libsvm(spark, str(tmp_path / "none.txt")).collect() == []
 
 
-@pytest.mark.parametrize("optimizer", ["sgd", "adam", "rmsprop"])
-@pytest.mark.parametrize("k0", [True, False])
+@pytest.mark.parametrize("optimizer, k0", [("sgd", True), ("adam", False), ("rmsprop", True)])
 def test_runs_equal_an_unbroken_walk(spark, optimizer, k0, monkeypatch):
     cfg = FMConfig(optimizer=optimizer, k0=k0, k2=3, num_shards=5, step_size=0.1, reg=(0.01, 0.02, 0.03))
     meta = ModelMeta.of(cfg, 12)
