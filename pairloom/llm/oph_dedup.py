@@ -7,19 +7,22 @@ smallest hash in it. An empty bin borrows from the first filled bin in a fixed
 random order of its own, so equal sets of filled bins borrow alike. Bins are read
 in bands; documents that agree in a band share a bucket.
 
-Links are confirmed on full sets. Candidates within a bucket are stars: every
-member against the bucket's centre, a pair per member. A member may be linked to
-another member and not to the centre; so, as long as a bucket's members lie in
-different components, further members become centres, four times as many each
-round, and are compared with members of other components, until no pair of
-different components in a bucket is untested. No link between bucket mates
-that would join components is lost, and no round emits all pairs of a group
-unless each pair was needed.
+Links are confirmed on full sets. Within a bucket candidates are a star: every
+member against the bucket's centre, the member with the smallest share of
+shingles that no other candidate holds; copies of one text lie nearest to it.
+A member may be linked to another member and not to the centre, so buckets whose
+members then lie in different components are closed exactly. A member of ``n``
+shingles of which ``u`` are held by no other open member can only be linked with
+members of at most ``(n - u) (100 + percent) / percent - n`` shingles; where no
+member of another component is that small, it leaves. This is repeated while it
+helps. Who is left is compared across components, by counting common shingles
+in blocks of bounded size against each other; no pair rows are made. No link
+between bucket mates that would join components is lost.
 
 Equal sets are one node, whatever their number. Documents without words have an
 empty set and link with nothing; null text counts as empty. Fewer than ``width``
-words make one shingle. Rows with the same id are taken as one document and
-each keeps its row; a row without id keeps its row with a null component and is
+words make one shingle. Rows with the same id are taken as one document,
+compared by its smallest set, and each keeps its row; a row without id keeps its row with a null component and is
 kept. Ties don't matter: components are named by their smallest id. Other
 columns aren't read.
 
@@ -39,10 +42,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import small, stored, texts
+from pairloom.llm.common import stored, texts
 from pairloom.llm.components import component_labels
 
 REMEMBERED = 300_000
+# Members that one copy of a star's centre serves; members and shingles of a block; rounds go on below this share.
+STAR = 1000
+BLOCK, BLOCK_SHINGLES = 256, 1 << 19
+HELPS = 0.8
 
 
 @dataclass(frozen=True)
@@ -144,28 +151,94 @@ def sketches(docs: DataFrame, how: NearDuplicates, text: str, id_column: str) ->
     return source.mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>")
 
 
-def confirmed(pairs: DataFrame, candidates: DataFrame, how: NearDuplicates) -> DataFrame:
-    """Pairs ``a, b`` whose full sets reach the threshold.
-
-    ``candidates`` has ``id, text`` of all documents in shared buckets. Rows come
-    sorted by ``a``, so a star's centre is hashed once per run of rows.
-    """
+def shingle_sets(docs: DataFrame, how: NearDuplicates) -> DataFrame:
+    """``id, s`` of documents ``id, text``: the sorted shingle hashes, of repeated ids the smallest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, last, left = Shingler(how.width), None, np.empty(0, np.uint64)
+        shingle = Shingler(how.width)
         for batch in batches:
-            keep = []
-            for a, ta, tb in zip(batch["a"].to_pylist(), batch["ta"], batch["tb"]):
-                if a != last:
-                    last, left = a, shingle(ta.as_py())
-                right = shingle(tb.as_py())
-                shared = len(left) + len(right) - len(np.union1d(left, right))
-                keep.append(100 * shared >= how.percent * (len(left) + len(right) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(candidates.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(
-        candidates.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                sets = [shingle(t).view(np.int64) for t in texts(part["text"])]
+                yield pa.RecordBatch.from_arrays([part["id"], pa.array(sets, pa.list_(pa.int64()))], ["id", "s"])
+
+    return docs.mapInArrow(run, "id long, s array<long>").where("size(s) > 0").groupBy("id").agg(F.min("s").alias("s"))
+
+
+def linked(shared: F.Column, a: F.Column, b: F.Column, percent: int) -> F.Column:
+    return 100 * shared >= percent * (a + b - shared)
+
+
+def star_links(stars: DataFrame, sets: DataFrame, how: NearDuplicates) -> DataFrame:
+    """Pairs ``a, b`` of ``stars`` whose full sets reach the threshold. A centre is shipped once per ``STAR`` of its members."""
+    parts = stars.groupBy("a").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
+    centres = parts.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").select(
+        "a", "parts", "sa", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    members = stars.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    members = members.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    pairs = members.select("a", "part", "b", "sb").join(centres.select("a", "part", "sa"), ["a", "part"])
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return pairs.where(linked(shared, F.size("sa"), F.size("sb"), how.percent)).select("a", "b")
+
+
+def private(sets: DataFrame) -> DataFrame:
+    """``id, u``: how many shingles of a set no other set holds, where there are any."""
+    held = sets.select("id", F.explode("s").alias("h")).groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("id"))
+    return held.where("c = 1").groupBy("id").agg(F.count("*").alias("u"))
+
+
+def still_open(members: DataFrame, sets: DataFrame, how: NearDuplicates) -> DataFrame:
+    """Those ``bucket, id, n, label`` that may be linked with a bucket mate of another label."""
+    live = members.select("id").distinct()
+    lone = private(sets.join(live, "id", "left_semi"))
+    most = F.floor((F.col("n") - F.coalesce("u", F.lit(0))) * (100 + how.percent) / how.percent) - F.col("n")
+    members = members.join(lone, "id", "left").select("bucket", "id", "n", "label", most.alias("most"))
+    first = members.groupBy("bucket").agg(F.min(F.struct("n", "label")).alias("first"))
+    members = members.join(first, "bucket")
+    other = members.where("label != first.label").groupBy("bucket").agg(F.min("n").alias("second"))
+    least = F.when(F.col("label") == F.col("first.label"), F.col("second")).otherwise(F.col("first.n"))
+    # A bucket of one label has no second and goes.
+    return members.join(other, "bucket").where(least <= F.col("most")).select("bucket", "id", "n", "label")
+
+
+def closing_links(members: DataFrame, sets: DataFrame, how: NearDuplicates) -> DataFrame:
+    """Links ``a, b`` between bucket mates of different labels: at least one for each member and label it is linked with."""
+    blocks = members.groupBy("bucket").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int")
+    spread = members.join(blocks, "bucket").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.select(
+        "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "label")
+
+    def run(group: pa.Table) -> pa.Table:
+        ids, label, block = (group[c].to_numpy() for c in ("id", "label", "own"))
+        lists = group["s"].combine_chunks()
+        values, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
+        sizes = np.diff(ends, prefix=0)
+        owner = np.repeat(np.arange(len(ids)), sizes)
+        order = np.argsort(values, kind="stable")
+        holders = owner[order]
+        _, of, counts = np.unique(values, return_inverse=True, return_counts=True)
+        starts = np.cumsum(counts) - counts
+        crossing = group["x"][0].as_py() != group["y"][0].as_py()
+        a, b = [], []
+        for i, n in enumerate(sizes):
+            mine = of[ends[i] - n : ends[i]]
+            many = counts[mine]
+            at = np.repeat(starts[mine] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            shared = np.bincount(holders[at], minlength=len(ids))
+            hit = (100 * shared >= how.percent * (n + sizes - shared)) & (label != label[i])
+            if crossing:
+                hit &= block != block[i]
+            hit = np.flatnonzero(hit)
+            _, one = np.unique(label[hit], return_index=True)
+            a += [int(ids[i])] * len(one)
+            b += ids[hit[one]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    full = spread.join(sets, "id")
+    return full.groupBy("bucket", "x", "y").applyInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -176,53 +249,35 @@ def near_duplicates(
     named = rows.where("digest is not null and doc_id is not null")
     sets = stored(named.groupBy("digest").agg(F.min("doc_id").alias("id")), "sets")
     nodes = named.join(sets.select("id", F.col("digest").alias("own")), (F.col("doc_id") == F.col("id")) & (F.col("digest") == F.col("own")))
-    members = nodes.select("id", F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket")).distinct()
-    shared = members.groupBy("bucket").agg(F.count("*").alias("m"), F.min("id").alias("centre")).where("m > 1")
+    members = nodes.select("id", F.explode("keys").alias("bucket")).distinct()
+    shared = members.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
     buckets = stored(members.join(shared, "bucket"), "buckets")
-    ids = stored(buckets.select("id").distinct(), "candidates")
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null")
-    candidates = stored(source.join(small(ids, ids.count(), 16), "id", "left_semi").dropDuplicates(["id"]), "candidates")
-    sizes = buckets.select(F.col("id").alias("centre"), F.col("n").alias("nc")).distinct()
-
-    def near_size(a: str, b: str) -> F.Column:
-        return 100 * F.least(a, b) >= how.percent * F.greatest(a, b)
-
-    stars = buckets.where("id != centre").select("centre", "id", "n").distinct().join(sizes, "centre")
-    pairs = stored(stars.where(near_size("n", "nc")).select(F.col("centre").alias("a"), F.col("id").alias("b")), "pairs")
-    tested, links, share = [pairs], [stored(confirmed(pairs, candidates, how), "links")], 1
-    while True:
-        edges = links[0]
-        for more in links[1:]:
-            edges = edges.union(more)
-        labels = component_labels(edges)
-        # Buckets whose members lie in several components and that have had fewer centres than members.
-        named_members = buckets.join(labels, "id", "left").select(
-            "bucket", "id", "n", "m", F.coalesce("label", "id").alias("label"))
-        # Each bucket's centres so far: its smallest id, and those whose priority was below share / m.
-        # A bucket of two is settled by its star.
-        named_members = named_members.where(F.col("m") > max(share, 2))
-        split = named_members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
-        split = stored(split.select("bucket"), "split")
-        if split.isEmpty():
-            break
-        share *= 4
-        open_ = stored(named_members.join(split, "bucket", "left_semi"), "open")
-        priority = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        centre = priority * F.col("m") < share
-        # At most `bands` buckets per member: a pair is made in the first bucket where one is the other's centre.
-        of_id = open_.groupBy("id").agg(
-            F.collect_list("bucket").alias("in"), F.collect_list(F.when(centre, F.col("bucket"))).alias("leads"))
-        open_ = open_.join(of_id, "id")
-        centres = open_.where(centre).select(
-            "bucket", F.col("id").alias("c"), F.col("n").alias("nc"), F.col("label").alias("lc"), F.col("leads").alias("theirs"))
-        new = open_.join(centres, "bucket").where((F.col("label") != F.col("lc")) & near_size("n", "nc") & (
-            F.array_min(F.array_intersect("in", "theirs")) == F.col("bucket"))).select(
-            F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
-        for old in tested:
-            new = new.join(old, ["a", "b"], "left_anti")
-        pairs = stored(new, "pairs")
-        tested.append(pairs)
-        links.append(stored(confirmed(pairs, candidates, how), "links"))
+    ids = buckets.select("id").distinct()
+    candidates = stored(shingle_sets(source.join(ids, "id", "left_semi"), how), "candidates")
+    # Too many shingles of its own: linked with nobody.
+    n, u = F.col("n"), F.coalesce("u", F.lit(0))
+    worth = candidates.select("id", F.size("s").cast("long").alias("n")).join(private(candidates), "id", "left").where(
+        100 * (n - u) >= how.percent * n).select("id", "n", (u / n).alias("apart"))
+    alive = stored(buckets.join(worth, "id"), "alive")
+    centre = alive.groupBy("bucket").agg(F.min(F.struct("apart", "id", "n")).alias("c"))
+    stars = alive.join(centre, "bucket").where("id != c.id").where(
+        100 * F.least("n", "c.n") >= how.percent * F.greatest("n", "c.n"))
+    stars = stored(stars.select(F.col("c.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    links = stored(star_links(stars, candidates, how), "links")
+    labels = component_labels(links)
+    left = alive.join(labels, "id", "left").select("bucket", "id", "n", F.coalesce("label", "id").alias("label"))
+    split = left.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where(
+        "x != y and m > 2").select("bucket")  # a bucket of two is settled by its star
+    left = stored(left.join(split, "bucket"), "open")
+    before, now = None, left.count()
+    while now and (before is None or now < HELPS * before):
+        left = stored(still_open(left, candidates, how), "open")
+        before, now = now, left.count()
+    if now:
+        more = stored(closing_links(left, candidates, how), "links")
+        if not more.isEmpty():
+            labels = component_labels(links.union(more))
     of_set = sets.join(labels, "id", "left").select(F.col("digest").alias("own"), F.coalesce("label", "id").alias("component"))
     # Rows without a set are apart from the join, so they aren't one hot null key.
     has = rows.where("digest is not null and doc_id is not null").select("doc_id", "n_shingles", F.col("digest").alias("own"))

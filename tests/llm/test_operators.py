@@ -7,11 +7,14 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pairloom.llm import (
     batch_bpe, grouping_pack, hash_forest, hd_language, kd_shards, line_quality, oph_dedup, pii_labelers, queries,
     token_counts, toxic_segments,
 )
+from pairloom.llm.common import stored
+from pairloom.llm.components import component_labels
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, spans string, host string"
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -133,6 +136,30 @@ def test_chains_inside_a_bucket_are_joined(spark):
     assert got == brute_components(texts, 3, 85)
 
 
+def test_open_buckets_are_closed_in_blocks(spark, monkeypatch):
+    """Every member under its own label in one bucket: blocks against blocks find all components."""
+    monkeypatch.setattr(oph_dedup, "BLOCK", 7)
+    rnd = random.Random(8)
+    texts = {}
+    for group in range(3):
+        base = [f"g{group}w{i}" for i in range(120)]
+        for i in range(20):
+            copy = list(base)
+            for _ in range(rnd.randint(0, 9)):
+                copy[rnd.randrange(120)] = f"e{group}_{i}_{rnd.random()}"
+            texts[100 * group + i] = " ".join(copy)
+    how = oph_dedup.NearDuplicates(3, 85, 40, 8)
+    frame = spark.createDataFrame(list(texts.items()), "id long, text string")
+    sets = stored(oph_dedup.shingle_sets(frame, how), "sets")
+    members = sets.select(F.lit(1).cast("long").alias("bucket"), "id", F.size("s").cast("long").alias("n"), F.col("id").alias("label"))
+    labels = {r.id: r.label for r in component_labels(oph_dedup.closing_links(members, sets, how)).collect()}
+    want = {i: c for i, (_, c) in brute_components(texts, 3, 85).items()}
+    assert {i: labels.get(i, i) for i in texts} == want
+    left = {r.id for r in oph_dedup.still_open(members, sets, how).collect()}
+    sizes = collections.Counter(want.values())
+    assert {i for i in texts if sizes[want[i]] > 1} <= left
+
+
 def test_boilerplate_is_removed_and_copies_are_not(spark):
     rnd = random.Random(1)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
