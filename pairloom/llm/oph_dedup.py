@@ -214,8 +214,8 @@ def closing_links(members: DataFrame, sets: DataFrame, how: NearDuplicates) -> D
     def run(group: pa.Table) -> pa.Table:
         ids, label, block = (group[c].to_numpy() for c in ("id", "label", "own"))
         lists = group["s"].combine_chunks()
-        values, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
-        sizes = np.diff(ends, prefix=0)
+        values, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+        ends = np.cumsum(sizes)
         owner = np.repeat(np.arange(len(ids)), sizes)
         order = np.argsort(values, kind="stable")
         holders = owner[order]
