@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import stored, texts
+from pairloom.llm.common import small, stored, texts
 from pairloom.llm.components import component_labels
 
 REMEMBERED = 300_000
@@ -253,7 +253,9 @@ def near_duplicates(
     shared = members.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
     buckets = stored(members.join(shared, "bucket"), "buckets")
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null")
-    ids = buckets.select("id").distinct()
+    ids = stored(buckets.select("id").distinct(), "ids")
+    # Else all texts are shuffled; a row of a hash table takes several times its eight bytes.
+    ids = small(ids, ids.count(), 64)
     candidates = stored(shingle_sets(source.join(ids, "id", "left_semi"), how), "candidates")
     # Too many shingles of its own: linked with nobody.
     n, u = F.col("n"), F.coalesce("u", F.lit(0))
