@@ -5,13 +5,15 @@ its words lie in three-word windows that occur twice or more in it.
 
 Line frequency: lines are normalised (trimmed, lower case, runs of white space
 as one space, digit runs as 0) and hashed. Per host and line the distinct
-documents are counted; documents whose two smallest line hashes agree are copies
-and count as one. A line is boilerplate if its count is above ``min_documents``
-and above ``share`` of the host's distinct documents, and if no one set of copies makes up most of its
-occurrences (then it is repeated content, which deduplication handles; pages with
-hardly a line of their own count as such copies too). Lines
-above the limits are removed; a document is depleted, and rejected, if fewer
-than ``left`` of its words remain.
+documents are counted; documents with the same set of lines are copies and count
+as one. A line is boilerplate if its count is above ``min_documents`` and above
+``share`` of the host's distinct documents. Lines above the limits are removed; a
+document is depleted, and rejected, if fewer than ``left`` of its words remain.
+
+Two settings, off by default, spare groups of copies where deduplication follows.
+With ``ends``, documents whose ``ends`` smallest and largest line hashes agree count
+as one. With ``copies``, a line stays if one such set makes up more than this share
+of its occurrences; pages with hardly a line of their own then count as copies too.
 
 All of it is DataFrame expressions. A row's windows are packed as (hash, position)
 in one long each and sorted inside the row, so no word is shuffled. Line counts
@@ -41,8 +43,9 @@ SYMBOLS = "[#*$%&|<>]+"
 class LineLimits:
     min_documents: int = 20
     share: float = 0.01
-    copies: float = 0.5
     left: float = 0.5
+    ends: int | None = None
+    copies: float | None = None
 
 
 def normal(line: Column) -> Column:
@@ -68,17 +71,19 @@ def lines_of(text: Column) -> Column:
 
 def boilerplate(docs: DataFrame, limits: LineLimits) -> DataFrame:
     """``host, frequent`` (array of line hashes) of a table with ``host, lines`` (array of structs with hash ``h``)."""
-    # A document's sketch: its two smallest and two largest line hashes.
     lines = docs.where("size(lines) > 0").select("host", F.array_sort(F.array_distinct("lines.h")).alias("lines"))
-    sketched = lines.withColumn("sketch", F.xxhash64(
-        F.slice("lines", 1, 2), F.slice(F.reverse("lines"), 1, 2)))
+    told_by = ("lines",) if limits.ends is None else (
+        F.slice("lines", 1, limits.ends), F.slice(F.reverse("lines"), 1, limits.ends))
+    sketched = lines.withColumn("sketch", F.xxhash64(*told_by))
     documents = sketched.groupBy("host", "sketch").count().groupBy("host").agg(F.count("*").alias("documents"))
     counted = (
         sketched.select("host", "sketch", F.explode("lines").alias("line"))
         .groupBy("host", "line", "sketch").count()
         .groupBy("host", "line").agg(F.count("*").alias("n"), F.max("count").alias("most"), F.sum("count").alias("all")))
     # Cheap limit first: the join sees few lines.
-    often = counted.where((F.col("n") > limits.min_documents) & (F.col("most") <= limits.copies * F.col("all")))
+    often = counted.where(F.col("n") > limits.min_documents)
+    if limits.copies is not None:
+        often = often.where(F.col("most") <= limits.copies * F.col("all"))
     return often.join(documents, "host").where(F.col("n") > limits.share * F.col("documents")).groupBy("host").agg(
         F.sort_array(F.collect_list("line")).alias("frequent"))
 
@@ -164,14 +169,14 @@ lines AS (
   FROM (SELECT rid, host, unnest(string_split(text, E'\n')) AS line FROM docs)
   WHERE regexp_matches(line, '[^ \t-\r]')),
 pairs AS (SELECT DISTINCT rid, host, h FROM lines),
-sketches AS (SELECT rid, host, [list_sort(list(h))[1:2], list_reverse_sort(list(h))[1:2]] AS sketch FROM pairs GROUP BY ALL),
+sketches AS (SELECT rid, host, {sketch} AS sketch FROM pairs GROUP BY ALL),
 hosts AS (SELECT host, count(DISTINCT sketch) AS documents FROM sketches GROUP BY host),
 counted AS (
   SELECT host, h, count(*) AS n, max(c) AS most, sum(c) AS occurrences FROM (
     SELECT p.host, h, sketch, count(*) AS c FROM pairs p JOIN sketches USING (rid) GROUP BY ALL) GROUP BY ALL),
 frequent AS (
   SELECT host, h FROM counted JOIN hosts USING (host)
-  WHERE n > {min_documents} AND most <= {copies} * occurrences AND n > {share} * documents),
+  WHERE n > {min_documents} AND {spared} AND n > {share} * documents),
 removed AS (SELECT rid, count(*) AS lines, sum(n) AS words FROM lines JOIN frequent USING (host, h) GROUP BY rid),
 dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid),
 words AS (SELECT rid, regexp_extract_all(text, '[^ \t-\r]+') AS w FROM docs),
@@ -195,5 +200,8 @@ FROM counts
 
 
 def sql(limits: LineLimits = LineLimits()) -> str:
+    ends = f"[1:{limits.ends}]"
+    sketch = "list_sort(list(h))" if limits.ends is None else f"[list_sort(list(h)){ends}, list_reverse_sort(list(h)){ends}]"
+    spared = "true" if limits.copies is None else f"most <= {limits.copies} * occurrences"
     return SQL.format(
-        min_documents=limits.min_documents, copies=limits.copies, share=limits.share, left=limits.left)
+        min_documents=limits.min_documents, sketch=sketch, spared=spared, share=limits.share, left=limits.left)
