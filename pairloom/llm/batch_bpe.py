@@ -5,7 +5,9 @@ round looks up the rank of each adjacent pair by binary search over the sorted
 pair keys, finds each word's lowest rank and merges its occurrences from left
 to right, for all words at once. Words end when no pair of theirs has a rank.
 Word results are kept in a table of bounded size, so frequent words are merged
-once per task.
+once per task. A word above ``LONG`` bytes would need as many rounds as it has ranks, so
+it is merged by itself from a queue of its pairs, lowest rank and leftmost first, in
+time near its length.
 
 Null text counts as empty: no tokens, decoded as the empty text. Each input row
 gives one output row, also repeated rows and null ids; other columns are not
@@ -15,6 +17,7 @@ read. Texts are processed whole; a long run without word break is one word.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,6 +34,8 @@ from pairloom.llm.common import texts
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 # Words remembered per task, and the longest remembered one in characters.
 REMEMBERED, LONGEST = 200_000, 64
+# Words above this many bytes are merged by a queue.
+LONG = 512
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 NO_RANK = np.int64(1 << 62)
 
@@ -61,6 +66,7 @@ class Vocabulary:
         keys = np.array([ids[a] * self.base + ids[b] for a, b in merges], dtype=np.int64)
         self.order = np.argsort(keys, kind="stable")
         self.keys = keys[self.order]
+        self.rank_of = dict(zip(self.keys.tolist(), self.order.tolist()))
         self.merged = np.array([ids[a + b] for a, b in merges], dtype=np.int64)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -68,9 +74,34 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.order[at], NO_RANK)
 
+    def encode_long(self, word: bytes) -> np.ndarray:
+        """Token ids of one long word, from a queue of (rank, place) and links between the symbols left."""
+        start = self.of_byte[np.frombuffer(word, np.uint8)]
+        ranks = np.append(self.ranks(start[:-1], start[1:]), NO_RANK)
+        queue = [(r, i) for i, r in enumerate(ranks.tolist()) if r != NO_RANK]
+        heapq.heapify(queue)
+        symbols, pair, n = start.tolist(), ranks.tolist(), len(start)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while queue:
+            rank, i = heapq.heappop(queue)
+            if pair[i] != rank:  # one of its symbols was merged since
+                continue
+            gone = after[i]
+            right = after[i] = after[gone]
+            symbols[i], symbols[gone], pair[gone] = int(self.merged[rank]), -1, -1
+            if right < n:
+                before[right] = i
+            for a, b in ((before[i], i), (i, right)):
+                if a >= 0:
+                    pair[a] = self.rank_of.get(symbols[a] * self.base + symbols[b], NO_RANK) if b < n else NO_RANK
+                    if pair[a] != NO_RANK:
+                        heapq.heappush(queue, (pair[a], a))
+        return np.array([s for s in symbols if s >= 0], dtype=np.int64)
+
     def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
         """Token ids of each word, found in rounds over all words."""
-        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(words)
+        out = [self.encode_long(w) if len(w) > LONG else np.empty(0, np.int64) for w in words]
+        words = [b"" if len(w) > LONG else w for w in words]
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         symbols = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), sizes)
