@@ -2,25 +2,26 @@
 
 Candidates are spans of the base patterns (always kept) and of looser patterns that
 alone prove little: phone numbers without country code, social security
-numbers, account numbers (IBAN), obfuscated e-mail addresses and names after a
-form of address. Labelers vote for or against each candidate or abstain:
+numbers, account numbers (IBAN), obfuscated e-mail addresses, names after a
+form of address and secrets (keys, tokens, passwords). Labelers vote for or against each candidate or abstain:
 
 * regex: the strict form of the kind, with checksum or valid groups
 * gazetteer: known reserved or dummy values speak against, known provider and
   country parts for it
 * context before: words that announce such data stand in front of it
 * context against: words that announce something else (version, invoice, ..)
-* border: letters or digits touch the span
+* border: letters or digits touch the span; a secret must follow an assignment
 
 Votes are counted per kind and pattern of votes (a table bounded by the number of
 patterns). Expectation-maximisation on these counts estimates each labeler's
 reliability and the share of true spans. The resulting probabilities train the
-final classifier, a logistic regression over kind, votes and shape of the
-span; candidates with a probability of at least ``threshold`` are kept.
+final classifier, a logistic regression over kind, votes and form of the
+span: its digits, its distinct characters, the sign before it; candidates with a probability of at least ``threshold`` are kept.
 
 Everything that touches rows is DataFrame expressions. Positions come from the pieces
 between matches; patterns start at a run's border or where the last match ended,
-with possessive repeats, so no pattern rescans a long run. Spans are stored once
+with possessive repeats, so no pattern rescans a long run, and ends are running sums
+in levels, so a text full of matches takes near linear time. Spans are stored once
 and read for counting and for deciding.
 
 Null text is empty. An input row gives one output row, also repeated rows and null
@@ -31,6 +32,7 @@ base one stays; a looser span inside a base span is dropped. An empty table lear
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +50,9 @@ PATTERNS = {
     "local_phone": r"(?<![0-9A-Za-z+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
-    "spelled_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]{1,63})++",
-    "name": r"(?<![0-9A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señora?)\.? [A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30})?",
+    "spelled_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]++)++",
+    "name": r"(?<![0-9A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señora?)\.? [A-Z][a-z]++(?: [A-Z][a-z]++)?",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{16,}+",
 }
 ORDER = {kind: i for i, kind in enumerate(PATTERNS)}
 # A cheap test that a text may hold a kind at all.
@@ -63,6 +66,7 @@ NEEDS = {
     "iban": lambda t: t.rlike("[A-Z]{2}[0-9]{2}"),
     "spelled_email": lambda t: t.rlike(r"[\[(]at[\])]"),
     "name": lambda t: t.rlike("(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señora?)[. ]"),
+    "secret": lambda t: t.rlike("[A-Za-z0-9+/_-]{16}"),
 }
 ANNOUNCED = {
     "email": "mail|contact|write|schreib|courriel|correo",
@@ -74,11 +78,15 @@ ANNOUNCED = {
     "iban": "iban|account|konto|compte|cuenta",
     "spelled_email": "mail|contact|write|schreib|courriel|correo",
     "name": "name|contact|from|signed|author|dear",
+    "secret": "token|secret|passw|pwd|api|key|bearer|auth|credential",
 }
+AGAINST_SECRET = "sha|md5|digest|checksum|commit|revision|hash|uuid"
 AGAINST = "version|release|invoice|order|part|isbn|serial|chapter|section|build|page"
-GAZETTEER_FOR = r"gmail|yahoo|outlook|hotmail|proton|^\+(?:1|33|34|44|49)[ (.-]|^(?:DE|FR|ES|GB|IT|NL)[0-9]"
-GAZETTEER_AGAINST = r"^(?:127|0|255)\.|^0+$|^(.)\1+$|^123-45-6789|555-01[0-9]{2}$|noreply|no-reply"
+GAZETTEER_FOR = r"^(?:AKIA|ghp_|gho_|sk-|sk_|xox[abp]-|AIza)|gmail|yahoo|outlook|hotmail|proton|^\+(?:1|33|34|44|49)[ (.-]|^(?:DE|FR|ES|GB|IT|NL)[0-9]"
+GAZETTEER_AGAINST = r"^(?:127|0|255)\.|^0+$|^(.)\1+$|^123-45-6789|555-01[0-9]{2}$|noreply|no-reply|(?i:example|sample|dummy|changeme|placeholder)"
 LABELERS = ("regex", "gazetteer", "announced", "against", "border")
+# Digits, distinct characters, sign before: the form of a span, each with values 0 to 3.
+FORM = ("digits", "variety", "lead")
 CONTEXT = 24
 
 
@@ -96,49 +104,93 @@ def valid(kind: str, m: Column) -> Column:
         return m.rlike(r"^\(?[2-9][0-9]{2}\)?[ .-]?[2-9]")
     if kind == "ssn":
         return ~m.rlike("^(?:000|666|9)|-00-|-0000$")
+    if kind == "secret":
+        return (F.length(m) >= 20) & (n >= 3) & m.rlike("[A-Za-z](?:[^A-Za-z]*+[A-Za-z]){2}")
     if kind == "iban":
         return m.rlike("^(?:AT|BE|CH|DE|ES|FR|GB|IE|IT|LU|NL|PT)[0-9]{2}")
     return F.lit(True)
 
 
-def kind_spans(kind: str, text: Column) -> Column:
-    """Array of candidates of one kind with position, votes and shape."""
-    pattern = F.lit(PATTERNS[kind])
-    matches, pieces = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, PATTERNS[kind], -1)
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is evaluated once."""
+    return F.transform(F.array(value), use)[0]
 
-    def spans(m: Column, p: Column) -> Column:
-        ends = F.transform(m, lambda x, i: F.length(x) + F.length(F.get(p, i)))
 
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running totals, from 0, of an array of whole numbers, each element included.
+
+    Totals of 32 elements and of 32 such blocks are made first, so an element adds up at most 63 numbers
+    and those before its block of 1024.
+    """
+    fold = lambda part: F.aggregate(part, F.lit(0), combine)
+    blocks = lambda x: F.transform(
+        F.filter(x, lambda _, i: i % 32 == 0), lambda _, b: fold(F.slice(x, b * 32 + 1, F.lit(32))))
+    first = lambda i: F.shiftleft(F.shiftright(i, 5), 5) + 1
+
+    def before(parts: Column, wholes: Column) -> Column:
+        """Total of the elements before each of ``parts``, given those before each block of 32 of them."""
+        return F.transform(parts, lambda _, i: combine(
+            F.get(wholes, F.shiftright(i, 5)), fold(F.slice(parts, first(i), i % 32))))
+
+    def of(x: Column, one: Column, two: Column) -> Column:
+        tops = F.transform(two, lambda _, c: fold(F.slice(two, F.lit(1), c)))
+        return bind(tops, lambda t: bind(before(one, t), lambda b: F.transform(
+            x, lambda v, i: combine(combine(F.get(b, F.shiftright(i, 5)), fold(F.slice(x, first(i), i % 32))), v))))
+
+    return bind(values, lambda x: bind(blocks(x), lambda one: bind(blocks(one), lambda two: of(x, one, two))))
+
+
+def matches(text: Column) -> Column:
+    """Array with the matches, the pieces between them and the ends of the matches of every kind, null if it can't occur."""
+    found = F.array(*[F.when(NEEDS[k](text), F.struct(
+        F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias("m"), F.split(text, p, -1).alias("p"))) for k, p in PATTERNS.items()])
+
+    def ends(s: Column) -> Column:
+        steps = F.transform(s["m"], lambda x, i: F.length(x) + F.length(F.get(s["p"], i)))
+        return running(steps, lambda a, y: a + y)
+
+    return F.transform(found, lambda s: F.struct(s["m"].alias("m"), s["p"].alias("p"), ends(s).alias("ends")))
+
+
+def kind_spans(kind: str, found: Column) -> Column:
+    """Array of candidates of one kind with position, votes and form."""
+
+    def spans(m: Column, p: Column, ends: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
-            end = F.aggregate(F.slice(ends, 1, i + 1), F.lit(0), lambda a, y: a + y)
+            end = F.get(ends, i)
             before, after = F.lower(F.right(F.get(p, i), F.lit(CONTEXT))), F.left(F.get(p, i + 1), F.lit(1))
             touch = F.concat(F.right(F.get(p, i), F.lit(1)), F.lit("\n"), after)
+            secret = kind == "secret"
+            border = (
+                F.when(before.rlike("[=:] ?[\"'`]?$"), 1).otherwise(-1) if secret
+                else F.when(touch.rlike("[0-9A-Za-z]"), -1).otherwise(1))
             ok = valid(kind, x)
             votes = F.struct(
                 F.when(ok, 1).otherwise(-1).alias("regex"),
                 F.when(x.rlike(GAZETTEER_AGAINST), -1).when(x.rlike(GAZETTEER_FOR), 1).otherwise(0).alias("gazetteer"),
-                F.when(before.rlike(ANNOUNCED[kind]), 1).otherwise(0).alias("announced"),
-                F.when(before.rlike(AGAINST), -1).otherwise(0).alias("against"),
-                F.when(touch.rlike("[0-9A-Za-z]"), -1).otherwise(1).alias("border"))
+                F.when(before.rlike(ANNOUNCED[kind]), 1).otherwise(-1 if secret else 0).alias("announced"),
+                F.when(before.rlike(f"{AGAINST}|{AGAINST_SECRET}" if secret else AGAINST), -1).otherwise(0).alias("against"),
+                border.alias("border"))
             shape = F.least(F.lit(3), F.floor(F.length(F.regexp_replace(x, "[^0-9]", "")) / 5)).cast("int")
+            variety = F.least(F.lit(3), F.floor(F.size(F.array_distinct(F.split(x, ""))) / 5)).cast("int")
+            lead = F.when(before.rlike("[=:\"'`]$"), 2).when(before.rlike("[^ \n]$"), 1).otherwise(0)
             return F.struct(
                 (end - F.length(x)).alias("start"), F.lit(ORDER[kind]).alias("place"), end.alias("end"), F.lit(kind).alias("kind"),
-                ok.alias("ok"), votes.alias("votes"), shape.alias("shape"))
+                ok.alias("ok"), votes.alias("votes"), F.struct(*[
+                    v.alias(name) for name, v in zip(FORM, (shape, variety, lead))]).alias("form"))
 
-        found = F.transform(m, one)
-        return F.filter(found, lambda s: s["ok"]) if kind in BASE else found
+        every = F.transform(m, one)
+        return F.filter(every, lambda s: s["ok"]) if kind in BASE else every
 
-    # Both arrays are bound once, not evaluated anew for each use.
-    bound = F.transform(F.array(F.struct(matches.alias("m"), pieces.alias("p"))), lambda s: spans(s["m"], s["p"]))
-    return F.when(NEEDS[kind](text), bound[0])
+    return spans(found["m"], found["p"], found["ends"])
 
 
 def candidates(docs: DataFrame, text: str, id_column: str) -> DataFrame:
     """``doc_id, spans`` (sorted by start, then kind) of every row, stored."""
     source = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kinds = source.select("doc_id", *[kind_spans(k, F.col("text")).alias(k) for k in PATTERNS])
-    every = F.flatten(F.filter(F.array(*PATTERNS), lambda a: a.isNotNull()))
-    return stored(kinds.select("doc_id", F.sort_array(every).alias("spans")), "spans")
+    every = bind(matches(F.col("text")), lambda found: F.flatten(F.filter(
+        F.array(*[kind_spans(k, found[i]) for k, i in ORDER.items()]), lambda a: a.isNotNull())))
+    return stored(source.select("doc_id", F.sort_array(every).alias("spans")), "spans")
 
 
 def vote_model(patterns: dict[tuple, int], rounds: int = 100) -> tuple[dict[tuple, float], list[tuple[float, float]], float]:
@@ -170,11 +222,11 @@ def vote_model(patterns: dict[tuple, int], rounds: int = 100) -> tuple[dict[tupl
     return dict(truth), rates, share
 
 
-def vector(kind: str, votes: tuple, shape: int) -> list[float]:
-    """Features: constant, kinds, votes for and against per labeler, shape."""
+def vector(kind: str, votes: tuple, form: tuple) -> list[float]:
+    """Features: constant, kinds, votes for and against per labeler, form."""
     return [
         1.0, *[float(kind == k) for k in PATTERNS], *[float(v > 0) for v in votes], *[float(v < 0) for v in votes],
-        *[float(shape == s) for s in range(4)]]
+        *[float(v == s) for v in form for s in range(4)]]
 
 
 def span_classifier(rows: list[tuple[list[float], float, int]], rounds: int = 300, ridge: float = 0.1) -> list[float]:
@@ -194,12 +246,12 @@ def span_classifier(rows: list[tuple[list[float], float, int]], rounds: int = 30
     return weights
 
 
-def learn(spans: DataFrame) -> dict[tuple[str, tuple, int], float]:
-    """Probability of every (kind, votes, shape) that occurs."""
+def learn(spans: DataFrame) -> dict[tuple[str, tuple, tuple], float]:
+    """Probability of every (kind, votes, form) that occurs."""
     s = F.col("s")
     counted = spans.select(F.explode("spans").alias("s")).groupBy(
-        s["kind"].alias("kind"), s["votes"].alias("votes"), s["shape"].alias("shape")).count().collect()
-    rows = [(r["kind"], tuple(r["votes"]), r["shape"], r["count"]) for r in counted]
+        s["kind"].alias("kind"), s["votes"].alias("votes"), s["form"].alias("form")).count().collect()
+    rows = [(r["kind"], tuple(r["votes"]), tuple(r["form"]), r["count"]) for r in counted]
     truth: dict[tuple[str, tuple], float] = {}
     for kind in {r[0] for r in rows}:
         patterns: dict[tuple, int] = {}
@@ -216,13 +268,14 @@ def decided(spans: DataFrame, threshold: float) -> DataFrame:
     """``doc_id, spans``: base spans and those the classifier accepts."""
     accepted = [key for key, p in learn(spans).items() if p >= threshold and key[0] not in BASE]
     signature = lambda x: F.concat_ws(
-        " ", x["kind"], *[x["votes"][name].cast("string") for name in LABELERS], x["shape"].cast("string"))
-    # At most kinds * 3 ** labelers * shapes strings.
-    names = F.array(*[F.lit(" ".join(map(str, (k, *v, h)))) for k, v, h in sorted(accepted)]) if accepted else F.array().cast("array<string>")
+        " ", x["kind"], *[x["votes"][name].cast("string") for name in LABELERS], *[x["form"][name].cast("string") for name in FORM])
+    # At most kinds * 3 ** labelers * 4 ** forms strings, a few dozen in practice.
+    names = F.array(*[F.lit(" ".join(map(str, (k, *v, *h)))) for k, v, h in sorted(accepted)]) if accepted else F.array().cast("array<string>")
     base = lambda x: x["kind"].isin(*BASE)
-    inside = lambda x: F.exists("spans", lambda y: base(y) & (y["start"] <= x["start"]) & (y["end"] >= x["end"]))
-    return spans.select("doc_id", F.filter(
-        "spans", lambda x: base(x) | (F.array_contains(names, signature(x)) & ~inside(x))).alias("spans"))
+    # Spans are sorted by start, base kinds first: the furthest end of a base span so far tells what lies inside one.
+    reach = running(F.transform("spans", lambda x: F.when(base(x), x["end"]).otherwise(0)), lambda a, y: F.greatest(a, y))
+    return spans.select("doc_id", bind(reach, lambda ends: F.filter("spans", lambda x, i: base(x) | (
+        F.array_contains(names, signature(x)) & (F.get(ends, i) < x["end"])))).alias("spans"))
 
 
 def joined_spans(spans: Column) -> Column:
@@ -234,13 +287,14 @@ def of_kind(spans: str, kind: str) -> Column:
 
 
 def personal_data(docs: DataFrame, threshold: float = 0.5, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """``doc_id``, counts and digest of base spans, all ``spans`` of every row."""
+    """``doc_id``, counts and digest of base spans, all ``spans`` and their number ``n_spans`` of every row."""
     found = decided(candidates(docs, text, id_column), threshold)
     base = F.filter("spans", lambda x: x["kind"].isin(*BASE))
     return found.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         *[F.size(of_kind("spans", k)).cast("long").alias(f"n_{k}") for k in BASE],
-        F.sha2(joined_spans(base).cast("binary"), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
+        F.sha2(joined_spans(base).cast("binary"), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"))
 
 
 def mask(docs: DataFrame, threshold: float = 0.5, text: str = "text") -> DataFrame:

@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -404,3 +406,69 @@ def test_empty_tables(spark):
         batch_bpe.encode_digests(none, path("byte_bpe_50k.json")),
     ):
         assert df.count() == 0
+
+
+def test_long_words_and_texts_full_of_matches_take_linear_time(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice(letters) for _ in range(n)) for letters, n in (
+        ("abcdefghijklmnopqrstuvwxyz", 100_000), ("的一是不了人我在有他这中大来上", 20_000), ("a", 5_000), ("ab", 513))]
+    library = Tokenizer.from_file(path)
+    vocabulary = batch_bpe.vocabulary(path)
+    began = time.monotonic()
+    got = vocabulary.encode_words([w.encode() for w in [*words, "short"]])
+    assert time.monotonic() - began < 30
+    for w, ids in zip([*words, "short"], got):
+        assert ids.tolist() == library.encode(w, add_special_tokens=False).ids
+    # 20,000 addresses and as many local numbers in one text.
+    full = " ".join(f"u{i}@m{i}.example.org 212 555 {i % 10000:04d}" for i in range(20_000))
+    frame = spark.createDataFrame([(1, full)], "doc_id long, text string")
+    began = time.monotonic()
+    row = pii_labelers.personal_data(frame).first()
+    assert time.monotonic() - began < 60 and row.n_email == 20_000
+    said = [f"email:{m.start()}:{m.end()}" for m in re.finditer(BASE[0][1], full)]
+    assert [x for x in row.spans.split(",") if x.startswith("email")] == said
+
+
+def test_running_totals(spark):
+    rnd = random.Random(5)
+    for n in (0, 1, 31, 32, 33, 1024, 1025, 3000):
+        x = [rnd.randint(0, 9) for _ in range(n)]
+        frame = spark.createDataFrame([(x,)], "x array<int>")
+        add, most = frame.select(
+            pii_labelers.running(F.col("x"), lambda a, y: a + y), pii_labelers.running(F.col("x"), lambda a, y: F.greatest(a, y))).first()
+        assert add == list(itertools.accumulate(x)) and most == list(itertools.accumulate(x, max))
+
+
+def test_secrets_are_found_and_harmless_runs_are_not(spark):
+    rnd = random.Random(6)
+    hexa = lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(40))
+    secrets = [(i, f'word token = "{hexa()}" word') for i in range(40)]
+    harmless = [(100 + i, f"fixed in commit {hexa()} today") for i in range(40)]
+    words = [(200 + i, "an extraordinarily-long-compound-word and chapter_1_of_the_book") for i in range(20)]
+    frame = spark.createDataFrame(secrets + harmless + words, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii_labelers.personal_data(frame).collect()}
+    assert all(got[i] == "secret:14:54" for i in range(40))
+    assert not any(got[i] for i in range(100, 220) if i in got)
+    masked = {r.doc_id: r.text for r in pii_labelers.mask(frame).collect()}
+    assert masked[0] == 'word token = "<secret>" word' and masked[100] == harmless[0][1]
+
+
+def test_distinct_pages_of_one_template_are_depleted(spark):
+    """Common lines make up most of each page, whatever its extreme hashes are."""
+    rnd = random.Random(4)
+    line = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    common = [line(10) for _ in range(20)]
+    data = [(i, "\n".join([*common, line(5), line(5)]), "h") for i in range(60)]
+    data += [(100 + i, data[0][1], "h") for i in range(50)]  # exact copies count once
+    data += [(200 + i, "\n".join(line(10) for _ in range(20)), "g") for i in range(3)]
+    same = "\n".join(line(10) for _ in range(20))
+    data += [(300 + i, same, "g") for i in range(60)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in line_quality.quality(frame).collect()}
+    assert all(not got[i].kept and got[i].n_removed_lines == 20 for i in [*range(60), *range(100, 150)])
+    assert all(r.kept for i, r in got.items() if i >= 200)
+    sparing = line_quality.LineLimits(ends=2, copies=0.5)
+    assert {r.doc_id for r in line_quality.quality(frame, sparing).where("kept").collect()} >= {*range(200, 203), *range(300, 360)}
