@@ -24,6 +24,8 @@ from pairloom.llm.queries import tokenizer_file
 
 # A document whose best cosine is below this resembles no learned language.
 LEAST_LANGUAGE_SCORE = 0.02
+# Groups of copies are the next stage's work: it keeps one of each, so none may be rejected here.
+SPARING_COPIES = line_quality.LineLimits(ends=2, copies=0.5)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +38,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # The whole row travels as the id, so no join brings the text back.
     rows = docs.select(F.struct(*docs.columns).alias("row"), "text", "source")
-    good = line_quality.quality(rows, id_column="row").where("kept")
+    good = line_quality.quality(rows, SPARING_COPIES, id_column="row").where("kept")
     return good.select(*[F.col("doc_id")[c].alias(c) for c in docs.columns])
 
 
