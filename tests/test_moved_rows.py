@@ -10,7 +10,7 @@ from pairloom.operators.gradient import gradient
 from pairloom.operators.params import init_params
 from pairloom.operators.scoring import example_sums, score
 from pairloom.plans.session import settings
-from pairloom.sources.vocabulary import build_vocabulary, gathered, indexed_examples, text_tokens
+from pairloom.sources.vocabulary import build_vocabulary, gathered, indexed_examples, indexed_rows, text_tokens
 
 SCHEMA = "example_id long, label double, indices array<int>, values array<double>"
 
@@ -85,3 +85,20 @@ def test_a_wrong_number_of_slots_is_told_or_harmless(spark):
     want = {(r.example_id, r.label): r.raw for r in score(placed, params, meta).collect()}
     got = {(r.example_id, r.label): r.raw for r in score(placed, params, meta, limit_bytes=0).collect()}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_indexing_beyond_the_limit_makes_no_row_per_token(spark):
+    pair = "array<struct<token string, x double>>"
+    rows = [(i % 40, float(i % 2), [(f"t{i % 7}", 1.0), (f"u{i % 5}", 2.0), ("new", 3.0)]) for i in range(60)]
+    rows += [(100, 1.0, []), (101, 1.0, None), (None, 0.0, [("t1", 1.0)]), (None, 0.0, [("t1", 1.0)]), (102, None, [("u2", 1.0)])]
+    rows += [(103, float("nan"), [("t2", 1.0)]), (103, float("nan"), [("t1", 5.0)]), (104, -0.0, [(None, 1.0)]), (104, 0.0, [("u1", None)])]
+    table = spark.createDataFrame(rows, f"example_id long, label double, tokens {pair}")
+    tokens = table.select(F.explode("tokens.token").alias("token")).where("token is not null and token <> 'new'")
+    vocabulary = build_vocabulary(tokens)
+    with settings(spark):
+        small, large = (indexed_rows(table, vocabulary, n) for n in (1 << 26, 0))
+        plan = plan_of(large)
+        assert "Generate" not in plan and "ObjectHashAggregate" not in plan
+        assert small.dtypes == large.dtypes
+        got = [sorted((tuple(map(str, r)) for r in df.collect())) for df in (small, large)]
+    assert got[0] == got[1] and len(got[0]) == 46
