@@ -26,7 +26,9 @@ than id and text aren't read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -42,9 +44,27 @@ from pairloom.llm.common import stored, texts
 
 # Lengths up to capacity // SMALL are small; the number of equal-cardinality groups.
 SMALL, GROUPS = 4, 48
-REMEMBERED, LONGEST, ENCODED = 300_000, 64, 200
+REMEMBERED, LONGEST, ENCODED, ENCODED_WHOLE = 300_000, 64, 2000, 200
+# What the last token of a word ends with, and no other.
+WORD_END = "</w>"
 # A character of one id, between blanks: where it stands, a chunk ends.
 MARK = "\x01"
+# What the word pattern below is equal to, as a tokenizer file states it.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+# Plain: ASCII and the Latin letters and signs up to U+017F, which NFC leaves alone and whose lower case is one character.
+# A special token, which the library looks for before it lowers a text, begins with "<|".
+NOT_PLAIN = re.compile("<\\||[^\x00-\x7f\xa1-\u012f\u0131-\u017f]")
+_LETTERS, _DIGITS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\x09-\\x0d {_LETTERS}{_DIGITS}]+|\n")
+# Bytes as the printable characters that byte-level vocabularies are made of: visible ones stand for themselves, and
+# the blank stays, as words are joined by it.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARACTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE) if b != 0x20}
 # Pieces of one length are numbered in so many blocks at least.
 BLOCKS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -230,9 +250,10 @@ def pack_plan(histogram: dict[int, int], capacity: int, groups: int = GROUPS) ->
 def chunks_of(text: str) -> list[str]:
     """Parts of a text between blanks and line ends.
 
-    The vocabulary is in lower case; an ASCII text may be lowered as a whole, so that more parts are equal.
+    The vocabulary is in lower case; a text of plain characters may be lowered as a whole, so that more parts are equal.
     """
-    return (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
+    plain = "<|" not in text if text.isascii() else not NOT_PLAIN.search(text)
+    return (text.lower() if plain else text).replace("\n", " ").split(" ")
 
 
 def encode_chunks(tokenizer, chunks: list[str]) -> list[bytes]:
@@ -247,11 +268,82 @@ def encode_chunks(tokenizer, chunks: list[str]) -> list[bytes]:
     return [whole[a:b] for a, b in zip([0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(whole)])]
 
 
+class WordEncoder:
+    """The ids of chunks, word by word: each distinct word is merged once.
+
+    The library's merges run without its normalizer and splitter, which cost several times as much, so words are
+    cut here. That is done for chunks of plain characters only, where lower case and the classes of characters are
+    those of the vocabulary's own pattern; other chunks, and all with another pattern, go through the whole library.
+    """
+
+    def __init__(self, tokenizer, path: str) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        model = parts["model"]
+        self._whole = tokenizer
+        self._by_word = (
+            parts["normalizer"] == NORMALIZER and parts["pre_tokenizer"] == SPLITTER
+            and model["type"] == "BPE" and model["end_of_word_suffix"] == WORD_END
+            and all(t["content"].startswith("<|") for t in parts["added_tokens"])
+        )
+        self._known: dict[str, bytes] = {}
+        if self._by_word:
+            self._merges = Tokenizer(tokenizer.model)
+            self._merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self._ends = np.zeros(1 + max(model["vocab"].values()), dtype=bool)
+            self._ends[[i for token, i in model["vocab"].items() if token.endswith(WORD_END)]] = True
+
+    def encode(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Every chunk, none of which holds a line end, with its ids, in any order."""
+        for i in range(0, len(chunks), ENCODED):
+            block = chunks[i : i + ENCODED]
+            other = []
+            if not self._by_word:
+                block, other = [], block
+            elif NOT_PLAIN.search("\n".join(block)):
+                other = [c for c in block if NOT_PLAIN.search(c)]
+                block = [c for c in block if not NOT_PLAIN.search(c)]
+            if block:
+                yield from zip(block, self._plain(block))
+            for at in range(0, len(other), ENCODED_WHOLE):
+                part = other[at : at + ENCODED_WHOLE]
+                yield from zip(part, encode_chunks(self._whole, part))
+
+    def _plain(self, chunks: list[str]) -> list[bytes]:
+        words = WORD.findall("\n".join(chunks).lower())
+        if len(self._known) > REMEMBERED:
+            self._known.clear()
+        known = self._known
+        known["\n"] = b""
+        new = [w for w in set(words) if w not in known]
+        if new:
+            visible = [w for w in new if w.isascii() and w.isprintable()]
+            others = [w for w in new if not (w.isascii() and w.isprintable())]
+            new = visible + others
+            given = [" ".join(visible), " ".join(others).encode().decode("latin-1").translate(BYTE_CHARACTERS)]
+            encoded = self._merges.encode_batch_fast(given, add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, dtype="<u4") for e in encoded])
+            ends = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
+            if len(ends) != len(new):
+                raise ValueError("a word of the vocabulary's pattern did not end with one token")
+            whole = ids.tobytes()
+            known.update(zip(new, [whole[a:b] for a, b in zip([0, *ends], ends)]))
+        parts = list(map(known.__getitem__, words))
+        lines = [i for i, word in enumerate(words) if word == "\n"]
+        found = [b"".join(parts[a:b]) for a, b in zip([0, *lines], [*lines, len(parts)])]
+        for word in new:
+            if len(word) > LONGEST:
+                del known[word]
+        return found
+
+
 def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text: str, id_column: str) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every piece.
 
     The vocabulary's words never hold white space, so texts are encoded chunk by
-    chunk between spaces and line ends, each distinct chunk once per task.
+    chunk between spaces and line ends, each distinct chunk once per task, and a new chunk word by word.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,6 +354,7 @@ def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        encoder = WordEncoder(tokenizer, path)
         known: dict[str, bytes] = {}
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
@@ -270,10 +363,8 @@ def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text
                 every = set().union(*split)
                 if len(known) > REMEMBERED:
                     known = {}
-                new = list(every - known.keys())
-                for i in range(0, len(new), ENCODED):
-                    block = new[i : i + ENCODED]
-                    known.update(zip(block, encode_chunks(tokenizer, block)))
+                new = [c for c in every if c not in known]
+                known.update(encoder.encode(new))
                 rows: list[list] = [[], [], [], [], []]
                 end = np.array([end_id], dtype="<u4").tobytes()
                 for doc_id, words in zip(batch["doc_id"].to_pylist(), split):

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -267,3 +268,26 @@ def test_pieces_hold_the_library_s_ids(awkward, given):
             assert r.offset == ends.get(r.sequence_id, 0)
             ends[r.sequence_id] = r.offset + r.length
         assert max(ends.values()) <= 4096
+
+
+def test_packing_cuts_words_as_the_library_does(spark):
+    from tokenizers import Tokenizer
+
+    from pairloom.llm import grouping_pack, queries
+
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    words = grouping_pack.WordEncoder(library, path)
+    drawn = random.Random(5)
+    pool = [chr(c) for c in range(0x180)] + list("'stremvld'  Σςé́İ漢٠") + ["<|startoftext|>", "<|STARTOFTEXT|>", "x" * 80]
+    # Plain texts, and some with characters that only the library may cut.
+    odd = ["".join(drawn.choices(pool if i % 2 else pool[:0x180], k=drawn.randint(0, 14))) for i in range(2000)]
+    for text in odd:
+        chunks = grouping_pack.chunks_of(text)
+        known = dict(words.encode(chunks))
+        got = np.frombuffer(b"".join(known[c] for c in chunks), dtype="<u4").tolist()
+        assert got == library.encode(text, add_special_tokens=False).ids, repr(text)
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    for row in grouping_pack.pack_documents(docs, path).collect():
+        ids = [*library.encode(odd[row.doc_id], add_special_tokens=False).ids, 1]
+        assert row.ids_crc32 == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
