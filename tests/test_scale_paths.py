@@ -15,7 +15,7 @@ from pairloom.operators.gradient import gradient
 from pairloom.operators.params import add_state, init_params
 from pairloom.operators.scoring import score
 from pairloom.plans.fit import fit
-from pairloom.plans import job
+from pairloom.plans import job, queries
 from pairloom.plans.scratch import new_run_dir, scratch_root, scratch_scope, write_table
 from pairloom.sources.history import read_history, write_history
 from pairloom.sources.libsvm import read_libsvm, write_libsvm
@@ -260,3 +260,34 @@ def test_evaluation_has_more_tasks_than_shards(spark):
     placed = spread_for_scoring(assign_shard(rows, 1, 1), 6)
     assert placed.rdd.getNumPartitions() == 6 and "shard" not in placed.columns
     assert placed.groupBy(F.spark_partition_id()).agg(F.count_distinct("slot").alias("n")).where("n > 1").isEmpty()
+
+
+def test_training_slots_follow_cores_and_memory(spark):
+    examples = frame(spark, random_rows(1, 400))
+    cfg = FMConfig(k2=3, num_shards=64)
+    cores = spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        assert le.walk_slots(examples, cfg) == min(64, cores)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    # Tasks for so few parameter rows that more slots are needed, up to one a shard.
+    assert cores < le.walk_slots(examples, cfg.with_(task_bytes=30 * le.row_bytes_in_task(cfg))) <= 64
+    assert le.walk_slots(examples, cfg.with_(task_bytes=1)) == 64
+
+
+def test_epochs_read_rows_placed_once(spark, sf_dir, monkeypatch):
+    seen = []
+
+    def spy(sharded, params, meta, cfg, **given):
+        seen.append((sharded, given))
+        assert "step" in sharded.columns and sharded.storageLevel.useMemory
+        assert given["needed"].storageLevel.useMemory and given["runs"][1] == 1
+        return le.local_epoch(sharded, params, meta, cfg, **given)
+
+    monkeypatch.setattr(queries, "local_epoch", spy)
+    queries.QUERIES["adam_two_epochs_standard"](spark, sf_dir).count()
+    assert [given["epoch"] for _, given in seen] == [1, 2]
+    assert seen[0][0] is seen[1][0] and seen[0][1]["needed"] is seen[1][1]["needed"]
+    assert not seen[0][0].storageLevel.useMemory
