@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pairloom.llm.common import stored, texts
+from pairloom.llm.common import stored_by_texts, texts
 
 # Lengths up to capacity // SMALL are small; the number of equal-cardinality groups.
 SMALL, GROUPS = 4, 48
@@ -429,5 +429,5 @@ def pack_documents(
     docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, text: str = "text", id_column: str = "doc_id",
 ) -> DataFrame:
     """Tokenize, cut and pack; one row per piece with its sequence and offset."""
-    pieces = stored(tokenize_pieces(docs, path, capacity, end_id, text, id_column), "pieces")
+    pieces = stored_by_texts(tokenize_pieces(docs, path, capacity, end_id, text, id_column), "pieces")
     return pack_pieces(pieces, capacity)

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import small, stored, texts
+from pairloom.llm.common import small, stored, stored_by_texts, texts
 from pairloom.llm.components import component_labels
 
 REMEMBERED = 300_000
@@ -245,7 +245,7 @@ def near_duplicates(
     docs: DataFrame, how: NearDuplicates = NearDuplicates(), text: str = "text", id_column: str = "doc_id",
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
-    rows = stored(sketches(docs, how, text, id_column), "sketches")
+    rows = stored_by_texts(sketches(docs, how, text, id_column), "sketches")
     named = rows.where("digest is not null and doc_id is not null")
     sets = stored(named.groupBy("digest").agg(F.min("doc_id").alias("id")), "sets")
     nodes = named.join(sets.select("id", F.col("digest").alias("own")), (F.col("doc_id") == F.col("id")) & (F.col("digest") == F.col("own")))
@@ -256,7 +256,7 @@ def near_duplicates(
     ids = stored(buckets.select("id").distinct(), "ids")
     # Else all texts are shuffled; a row of a hash table takes several times its eight bytes.
     ids = small(ids, ids.count(), 64)
-    candidates = stored(shingle_sets(source.join(ids, "id", "left_semi"), how), "candidates")
+    candidates = stored_by_texts(shingle_sets(source.join(ids, "id", "left_semi"), how), "candidates")
     # Too many shingles of its own: linked with nobody.
     n, u = F.col("n"), F.coalesce("u", F.lit(0))
     worth = candidates.select("id", F.size("s").cast("long").alias("n")).join(private(candidates), "id", "left").where(

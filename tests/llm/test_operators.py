@@ -12,10 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.llm import (
-    batch_bpe, grouping_pack, hash_forest, hd_language, kd_shards, line_quality, oph_dedup, pii_labelers, queries,
+    batch_bpe, common, grouping_pack, hash_forest, hd_language, kd_shards, line_quality, oph_dedup, pii_labelers, queries,
     token_counts, toxic_segments,
 )
-from pairloom.llm.common import stored
+from pairloom.llm.common import ROWS_AT_ONCE, TEXTS_AT_ONCE, stored, stored_by_texts
 from pairloom.llm.components import component_labels
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, spans string, host string"
@@ -472,3 +472,25 @@ def test_distinct_pages_of_one_template_are_depleted(spark):
     assert all(r.kept for i, r in got.items() if i >= 200)
     sparing = line_quality.LineLimits(ends=2, copies=0.5)
     assert {r.doc_id for r in line_quality.quality(frame, sparing).where("kept").collect()} >= {*range(200, 203), *range(300, 360)}
+
+
+def test_workers_get_few_texts_at_once(spark, docs, monkeypatch):
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    rows = spark.range(0, 3 * TEXTS_AT_ONCE + 1, 1, 1).mapInArrow(sizes, "n long")
+    assert sorted(r.n for r in stored_by_texts(rows, "sizes").collect()) == [1, *[TEXTS_AT_ONCE] * 3]
+    before, seen = spark.conf.get(ROWS_AT_ONCE), {}
+
+    def spy(df, purpose):
+        seen[purpose] = int(spark.conf.get(ROWS_AT_ONCE))
+        return stored(df, purpose)
+
+    monkeypatch.setattr(common, "stored", spy)
+    grouping_pack.pack_documents(docs, queries.tokenizer_file("word_bpe_49k.json")).count()
+    oph_dedup.near_duplicates(docs).count()
+    assert seen == dict.fromkeys(("pieces", "sketches", "candidates"), TEXTS_AT_ONCE)
+    assert spark.conf.get(ROWS_AT_ONCE) == before
