@@ -33,6 +33,8 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ from pairloom.llm.common import stored_by_texts, texts
 
 # Lengths up to capacity // SMALL are small; the number of equal-cardinality groups.
 SMALL, GROUPS = 4, 48
-REMEMBERED, LONGEST, ENCODED, ENCODED_WHOLE = 300_000, 64, 2000, 200
+REMEMBERED, LONGEST, ENCODED, ENCODED_WHOLE = 200_000, 64, 20_000, 200
 # What the last token of a word ends with, and no other.
 WORD_END = "</w>"
 # A character of one id, between blanks: where it stands, a chunk ends.
@@ -58,13 +60,15 @@ SPLITTER = {"type": "Sequence", "pretokenizers": [
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 # Plain: ASCII and the Latin letters and signs up to U+017F, which NFC leaves alone and whose lower case is one character.
 # A special token, which the library looks for before it lowers a text, begins with "<|".
-NOT_PLAIN = re.compile("<\\||[^\x00-\x7f\xa1-\u012f\u0131-\u017f]")
+NOT_PLAIN = re.compile("[^\x00-\x7f\xa1-\u012f\u0131-\u017f]")
 _LETTERS, _DIGITS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
 WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\x09-\\x0d {_LETTERS}{_DIGITS}]+|\n")
 # Bytes as the printable characters that byte-level vocabularies are made of: visible ones stand for themselves, and
 # the blank stays, as words are joined by it.
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_CHARACTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE) if b != 0x20}
+BYTE_POINTS = np.arange(256, dtype="<u4")
+BYTE_POINTS[np.setdiff1d(BYTE_POINTS, _VISIBLE)] = 0x100 + np.arange(256 - len(_VISIBLE))
+BYTE_POINTS[0x20] = 0x20
 # Pieces of one length are numbered in so many blocks at least.
 BLOCKS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -247,13 +251,16 @@ def pack_plan(histogram: dict[int, int], capacity: int, groups: int = GROUPS) ->
     return runs
 
 
+def plain(text: str) -> bool:
+    return "<|" not in text and (text.isascii() or not NOT_PLAIN.search(text))
+
+
 def chunks_of(text: str) -> list[str]:
     """Parts of a text between blanks and line ends.
 
     The vocabulary is in lower case; a text of plain characters may be lowered as a whole, so that more parts are equal.
     """
-    plain = "<|" not in text if text.isascii() else not NOT_PLAIN.search(text)
-    return (text.lower() if plain else text).replace("\n", " ").split(" ")
+    return (text.lower() if plain(text) else text).replace("\n", " ").split(" ")
 
 
 def encode_chunks(tokenizer, chunks: list[str]) -> list[bytes]:
@@ -269,7 +276,7 @@ def encode_chunks(tokenizer, chunks: list[str]) -> list[bytes]:
 
 
 class WordEncoder:
-    """The ids of chunks, word by word: each distinct word is merged once.
+    """The ids of chunks, word by word.
 
     The library's merges run without its normalizer and splitter, which cost several times as much, so words are
     cut here. That is done for chunks of plain characters only, where lower case and the classes of characters are
@@ -277,66 +284,78 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer, path: str) -> None:
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
-        model = parts["model"]
-        self._whole = tokenizer
+        normalizer, splitter = (
+            json.loads(x.__getstate__()) if x else None for x in (tokenizer.normalizer, tokenizer.pre_tokenizer))
+        self._whole, self._path = tokenizer, path
         self._by_word = (
-            parts["normalizer"] == NORMALIZER and parts["pre_tokenizer"] == SPLITTER
-            and model["type"] == "BPE" and model["end_of_word_suffix"] == WORD_END
-            and all(t["content"].startswith("<|") for t in parts["added_tokens"])
+            normalizer == NORMALIZER and splitter == SPLITTER
+            and isinstance(tokenizer.model, models.BPE) and tokenizer.model.end_of_word_suffix == WORD_END
+            and all(t.content.startswith("<|") for t in tokenizer.get_added_tokens_decoder().values())
         )
-        self._known: dict[str, bytes] = {}
         if self._by_word:
             self._merges = Tokenizer(tokenizer.model)
             self._merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-            self._ends = np.zeros(1 + max(model["vocab"].values()), dtype=bool)
-            self._ends[[i for token, i in model["vocab"].items() if token.endswith(WORD_END)]] = True
+            vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+            self._ends = np.zeros(1 + max(vocabulary.values()), dtype=bool)
+            self._ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def encode(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
         """Every chunk, none of which holds a line end, with its ids, in any order."""
+        for block, ids in self.blocks(chunks):
+            yield from zip(block, ids)
+
+    def blocks(self, chunks: list[str]) -> Iterator[tuple[list[str], list[bytes]]]:
+        """``encode``, block by block."""
         for i in range(0, len(chunks), ENCODED):
             block = chunks[i : i + ENCODED]
             other = []
             if not self._by_word:
                 block, other = [], block
-            elif NOT_PLAIN.search("\n".join(block)):
-                other = [c for c in block if NOT_PLAIN.search(c)]
-                block = [c for c in block if not NOT_PLAIN.search(c)]
+            elif not plain("\n".join(block)):
+                other = [c for c in block if not plain(c)]
+                block = [c for c in block if plain(c)]
             if block:
-                yield from zip(block, self._plain(block))
+                yield block, self._plain(block)
             for at in range(0, len(other), ENCODED_WHOLE):
                 part = other[at : at + ENCODED_WHOLE]
-                yield from zip(part, encode_chunks(self._whole, part))
+                yield part, encode_chunks(self._whole, part)
 
     def _plain(self, chunks: list[str]) -> list[bytes]:
         words = WORD.findall("\n".join(chunks).lower())
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
-        known = self._known
-        known["\n"] = b""
-        new = [w for w in set(words) if w not in known]
-        if new:
-            visible = [w for w in new if w.isascii() and w.isprintable()]
-            others = [w for w in new if not (w.isascii() and w.isprintable())]
-            new = visible + others
-            given = [" ".join(visible), " ".join(others).encode().decode("latin-1").translate(BYTE_CHARACTERS)]
-            encoded = self._merges.encode_batch_fast(given, add_special_tokens=False)
-            ids = np.concatenate([np.array(e.ids, dtype="<u4") for e in encoded])
-            ends = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
-            if len(ends) != len(new):
-                raise ValueError("a word of the vocabulary's pattern did not end with one token")
-            whole = ids.tobytes()
-            known.update(zip(new, [whole[a:b] for a, b in zip([0, *ends], ends)]))
-        parts = list(map(known.__getitem__, words))
-        lines = [i for i, word in enumerate(words) if word == "\n"]
-        found = [b"".join(parts[a:b]) for a, b in zip([0, *lines], [*lines, len(parts)])]
-        for word in new:
-            if len(word) > LONGEST:
-                del known[word]
-        return found
+        # A line end is no word to the merges.
+        distinct = set(words) - {"\n"}
+        place = {word: i for i, word in enumerate(distinct)}
+        place["\n"] = len(distinct)
+        joined = " ".join(distinct)
+        if not (joined.isascii() and joined.isprintable()):
+            joined = BYTE_POINTS[np.frombuffer(joined.encode(), np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.array(self._merges.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(distinct) or len(ids) and ends[-1] != len(ids):
+            raise ValueError(f"{self._path}: a word of the vocabulary's pattern did not end with one token")
+        lengths = np.append(np.diff(ends, prepend=0), 0)
+        starts = np.append(ends, 0) - lengths
+        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        many = lengths[at]
+        until = np.cumsum(many)
+        whole = ids[np.repeat(starts[at] - until + many, many) + np.arange(many.sum())].tobytes()
+        cuts = [0, *(4 * until[at == len(distinct)]).tolist(), len(whole)]
+        return [whole[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """Read once by a worker, for all its tasks."""
+    # One task, one core: threads of the library would multiply its memory and compete with other tasks.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return WordEncoder(tokenizer, path)
 
 
 def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text: str, id_column: str) -> DataFrame:
@@ -347,32 +366,36 @@ def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # One task, one core: threads of the library would multiply its memory and compete with other tasks.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        encoder = WordEncoder(tokenizer, path)
+        encoder = word_encoder(path)
         known: dict[str, bytes] = {}
+        end = np.array([end_id], dtype="<u4").tobytes()
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                split = [chunks_of(t) for t in texts(batch["text"])]
-                every = set().union(*split)
-                if len(known) > REMEMBERED:
-                    known = {}
-                new = [c for c in every if c not in known]
-                known.update(encoder.encode(new))
+                chunks: list[str] = []
+                parts: list[bytes | None] = []
+                ends = []
+                for t in texts(batch["text"]):
+                    words = chunks_of(t)
+                    chunks += words
+                    parts += map(known.get, words)
+                    ends.append(len(chunks))
+                missing = [i for i, part in enumerate(parts) if part is None]
+                new = list({chunks[i] for i in missing})
+                for block, ids in encoder.blocks(new):
+                    known.update(zip(block, ids))
+                for i in missing:
+                    parts[i] = known[chunks[i]]
                 rows: list[list] = [[], [], [], [], []]
-                end = np.array([end_id], dtype="<u4").tobytes()
-                for doc_id, words in zip(batch["doc_id"].to_pylist(), split):
-                    ids = b"".join(map(known.__getitem__, words)) + end
+                for doc_id, first, last in zip(batch["doc_id"].to_pylist(), [0, *ends], ends):
+                    ids = b"".join(parts[first:last]) + end
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[start : start + 4 * capacity]
                         for column, x in zip(rows, (doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part))):
                             column.append(x)
+                if len(known) > REMEMBERED:
+                    # Those of this batch stay, frequent ones among them.
+                    known = dict(zip(chunks, parts))
                 for w in new:
                     if len(w) > LONGEST:
                         del known[w]

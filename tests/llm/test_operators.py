@@ -379,6 +379,30 @@ def test_packing_is_valid_and_tight(docs, awkward):
         assert collections.Counter((r.doc_id, r.piece, r.start, r.length) for r in found) == want
 
 
+def test_packing_reads_its_vocabulary_once_and_merges_each_word_once():
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    encoder = grouping_pack.word_encoder(path)
+    assert grouping_pack.word_encoder(path) is encoder
+    merged, merges = [], encoder._merges
+
+    class Counting:
+        def encode_batch_fast(self, given, **how):
+            merged.extend(w for t in given for w in t.split(" "))
+            return merges.encode_batch_fast(given, **how)
+
+    chunks = [a + b for a in ("house", "garden", "tree", "\xe4pfel") for b in ("", ".", ",", "...", "(house)")] * 300
+    try:
+        encoder._merges = Counting()
+        found = dict(encoder.encode(chunks))
+    finally:
+        encoder._merges = merges
+    # Four words and five runs of signs: "." "," "..." "(" ")".
+    assert len(merged) == 9
+    for chunk in set(chunks):
+        ids = encoder._whole.encode(chunk, add_special_tokens=False).ids
+        assert np.frombuffer(found[chunk], "<u4").tolist() == ids
+
+
 def test_plans_hold_every_piece():
     rnd = random.Random(7)
     for _ in range(20):
