@@ -153,27 +153,29 @@ def fit(
 
 def annotate(docs: DataFrame, model: Profiles, text: str = "text") -> DataFrame:
     """``row`` (a struct of all columns of ``docs``), ``lang_pred, score`` of every row."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
-    return _labelled(rows, model, "row")
+    return _labelled(docs.select(F.struct(*docs.columns).alias("row"), labels(model)(F.col(text)).alias("found")))
 
 
 def predict(docs: DataFrame, model: Profiles, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row."""
-    source = docs.select(
-        F.struct(F.col(id_column).cast("long").alias("doc_id"), (~learning_row(F.col(id_column))).alias("held_out")).alias("row"),
-        F.col(text).alias("text"))
-    return _labelled(source, model, "row").select("row.doc_id", "row.held_out", "lang_pred", "score")
+    row = F.struct(F.col(id_column).cast("long").alias("doc_id"), (~learning_row(F.col(id_column))).alias("held_out"))
+    found = _labelled(docs.select(row.alias("row"), labels(model)(F.col(text)).alias("found")))
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
-def _labelled(source: DataFrame, model: Profiles, carried: str) -> DataFrame:
-    """``carried, lang_pred, score`` of a table with ``carried, text``."""
+def _labelled(found: DataFrame) -> DataFrame:
+    return found.select("row", "found.lang_pred", "found.score")
+
+
+def labels(model: Profiles):
+    """A function of a text column: ``lang_pred, score``. Only the texts go to Python workers, not the rows they stand in."""
     size = model.prototypes.shape[1]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bundle = Bundler(model.alphabet, size)
-        for batch in batches:
+        for column in columns:
             found, scores = [], []
-            for _, part in _parts(batch["text"]):
+            for _, part in _parts(column):
                 vectors = unit(bundle(part))
                 cosines = vectors @ model.prototypes.T
                 known = vectors.any(axis=1) & bool(len(model.languages))
@@ -181,11 +183,10 @@ def _labelled(source: DataFrame, model: Profiles, carried: str) -> DataFrame:
                 for i, b in enumerate(best.tolist()):
                     found.append(model.languages[b] if known[i] else UNDETERMINED)
                     scores.append(min(1.0, max(0.0, float(cosines[i, b]))) if known[i] else 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [batch[carried], pa.array(found, pa.string()), pa.array(scores, pa.float64())], [carried, "lang_pred", "score"])
+            yield pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    kind = source.schema[carried].dataType.simpleString()
-    return source.mapInArrow(run, f"{carried} {kind}, lang_pred string, score double")
+    # Called so, a filter on the result does not have it computed twice.
+    return F.arrow_udf(run, "lang_pred string, score double").asNondeterministic()
 
 
 def identify(docs: DataFrame, **names: str) -> DataFrame:

@@ -275,6 +275,16 @@ def brute_segments(scores):
     return search(0, len(scores))
 
 
+def test_only_texts_go_to_the_language_workers(docs):
+    model = hd_language.fit(docs, hd_language.learning_row(docs.doc_id))
+    marked = hd_language.annotate(docs, model).where("lang_pred != 'und' and score > 0.02").select("row.*")
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    # Whole rows stay in the JVM, and the filter has no second pass over the texts.
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+    want = {r.doc_id for r in hd_language.predict(docs, model).where("lang_pred != 'und' and score > 0.02").collect()}
+    assert marked.columns == docs.columns and {r.doc_id for r in marked.collect()} == want
+
+
 def test_segments_equal_the_definition():
     rng = np.random.default_rng(0)
     for _ in range(200):
